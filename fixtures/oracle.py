@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from fixtures.queries import (
+    ARRIVAL,
     DELETED_JSON,
     DELETED_ZIP,
+    DOCUMENT,
     FRESHNESS_SECONDS,
     FULL_BATCH,
     MARKER,
     PURGE_DATE,
     RETAINED_YEARS,
+    ROUTE,
+    ROUTE_DAY,
     SINCE,
     SMALL_BATCH,
 )
@@ -250,13 +254,22 @@ def oracle_sql(lines_per_document: int = LINES_PER_DOCUMENT) -> dict[str, str]:
     years_ago = f"TIMESTAMP '{AS_OF}' - INTERVAL {365 * RETAINED_YEARS} DAY"
     fresh_ledger = f"SELECT {_LEDGER_COLUMNS} FROM (SELECT *, TIMESTAMP '{BATCH_AT}' AS processed_at FROM ledger)"
     by_position = "'20' || substr(zip_file_name, 8, 2) || '-' || substr(zip_file_name, 10, 2) || '-' || substr(zip_file_name, 12, 2)"
-    route = "event_code = 'CI' AND arrival_port_code = 'STN' AND departure_port_code = 'P07' AND week_of_year = 20"
+    route = (
+        f"event_code = '{ROUTE['event_code']}' AND arrival_port_code = '{ROUTE['arrival']}' "
+        f"AND departure_port_code = '{ROUTE['departure']}' AND week_of_year = {ROUTE['week']}"
+    )
     bodies = {
         "list_after_marker": f"SELECT zip_file_name FROM archives WHERE zip_file_name > '{MARKER}' ORDER BY 1",
         "next_marker": f"SELECT coalesce(max(zip_file_name), '{MARKER}') AS next_marker FROM archives WHERE NOT contains(zip_file_name, '{MARKER}')",
         "bootstrap_marker": "SELECT max(zip_file_name) AS marker FROM stored_zip",
         "bootstrap_marker_empty": f"SELECT 'drt_dq_' || strftime(TIMESTAMP '{AS_OF}' - INTERVAL 1 DAY, '%y%m%d') || '_000000_0000.zip' AS marker",
         "last_persisted_file": "SELECT max(zip_file_name) AS last_file FROM stored_zip",
+        "zip_scan": """SELECT zip_file_name, zip_ok, CAST(NULL AS BIGINT) AS entry_index, CAST(NULL AS VARCHAR) AS json_file_name,
+            CAST(NULL AS BIGINT) AS occurrence, CAST(NULL AS VARCHAR) AS event_code FROM archives
+            UNION ALL SELECT zip_file_name, true,
+            row_number() OVER (PARTITION BY zip_file_name ORDER BY entry_index) - 1, json_file_name,
+            row_number() OVER (PARTITION BY zip_file_name, json_file_name ORDER BY entry_index),
+            CASE WHEN parse_ok THEN CASE WHEN repeated THEN 'XX' ELSE event_code END END FROM flagged""",
         "parse_manifest": f"""SELECT {_ENTRY}, parse_ok,
             CASE WHEN parse_ok THEN CASE WHEN repeated THEN 'XX' ELSE event_code END END AS event_code,
             CASE WHEN parse_ok THEN arrival_port_code END AS arrival_port_code,
@@ -332,11 +345,13 @@ def oracle_sql(lines_per_document: int = LINES_PER_DOCUMENT) -> dict[str, str]:
         "arrival_lookup": f"""SELECT {_LEDGER_COLUMNS}, CAST(scheduled AS DATE) AS scheduled_on,
             CAST(dayofweek(scheduled) AS INTEGER) AS day_of_week, CAST(weekofyear(scheduled) AS INTEGER) AS week,
             CAST(year(scheduled) AS INTEGER) AS year FROM stored_json
-            WHERE arrival_port_code = 'LHR' AND CAST(scheduled AS DATE) = DATE '{PURGE_DATE}' AND event_code = 'DC'""",
+            WHERE arrival_port_code = '{ARRIVAL['port']}' AND CAST(scheduled AS DATE) = DATE '{ARRIVAL['date']}'
+            AND event_code = '{ARRIVAL['event_code']}'""",
         "route_week_lookup": f"SELECT * FROM facts WHERE {route}",
-        "route_week_day_lookup": f"SELECT * FROM facts WHERE {route} AND day_of_week = 3",
-        "document_age_lookup": """SELECT * FROM facts WHERE event_code = 'DC' AND arrival_port_code = 'MAN'
-            AND document_type = 'P' AND nationality_country_code = 'N07' AND age >= 30""",
+        "route_week_day_lookup": f"SELECT * FROM facts WHERE {route} AND day_of_week = {ROUTE_DAY}",
+        "document_age_lookup": f"""SELECT * FROM facts WHERE event_code = '{DOCUMENT['event_code']}'
+            AND arrival_port_code = '{DOCUMENT['arrival']}' AND document_type = '{DOCUMENT['document_type']}'
+            AND nationality_country_code = '{DOCUMENT['nationality']}' AND age >= {DOCUMENT['min_age']}""",
         "stream_ingest": fresh_ledger,
         "stream_replay": _streamed_counts(),
     }
@@ -348,8 +363,8 @@ def oracle_sql(lines_per_document: int = LINES_PER_DOCUMENT) -> dict[str, str]:
             CAST(year(ts) AS INTEGER) AS full_year, CAST(month(ts) AS INTEGER) AS month,
             CAST(day(ts) AS INTEGER) AS day, CAST(minute(ts) AS INTEGER) AS minute FROM events""",
         "date_shift": "SELECT event_id, ts + INTERVAL 36 HOUR AS later, ts - INTERVAL 90 SECOND AS earlier FROM events",
-        "epoch_millis": """SELECT event_id, epoch_ms(ts) AS millis, make_timestamp(epoch_ms(ts) * 1000) AS from_millis
-            FROM events""",
+        "epoch_millis": """SELECT event_id, epoch_us(ts) // 1000 AS millis,
+            make_timestamp(epoch_us(ts) // 1000 * 1000) AS from_millis FROM events""",
         "date_format_iso": "SELECT event_id, strftime(ts, '%y%m%d') AS yymmdd, strftime(ts, '%Y-%m-%d') AS iso_date FROM events",
     }
     return {key: derived + body for key, body in bodies.items()} | plain

@@ -22,12 +22,16 @@ from landfall.sources import documents, feed, tables
 
 # Parameters of the registered queries; oracle.py uses the same ones.
 MARKER = "drt_dq_230701_000000_0000.zip"
-PURGE_DATE = "2022-03-07"
+PURGE_DATE = "2023-04-03"
 SMALL_BATCH, FULL_BATCH = 3, 500
 SINCE = "2020-06-01"
 RETAINED_YEARS = 5
 DELETED_JSON, DELETED_ZIP = "m_58.json", "legacy_000000_1.zip"
 FRESHNESS_SECONDS = [300, 200 * 24 * 60 * 60]
+ARRIVAL = {"port": "STN", "date": "2021-01-31", "event_code": "DC"}
+ROUTE = {"event_code": "DC", "arrival": "MAN", "departure": "P02", "week": 24}
+ROUTE_DAY = 0
+DOCUMENT = {"event_code": "DC", "arrival": "LHR", "document_type": "I", "nationality": "N19", "min_age": 30}
 
 _ENTRY = ["zip_file_name", "entry_index", "json_file_name"]
 
@@ -74,9 +78,9 @@ def last_persisted_file(spark, sf):
 
 def zip_scan(spark, sf):
     """Archives built from the entries, read back as archives."""
-    return archives.scanned(Fixture(spark, sf)).select(
+    return documents.parse(archives.scanned(Fixture(spark, sf))).select(
         "zip_file_name", "zip_ok", "entry_index", "json_file_name", "occurrence",
-        F.length("content").alias("n_chars"),
+        F.col("manifest.EventCode").alias("event_code"),
     )
 
 
@@ -410,19 +414,19 @@ def pipeline_freshness(spark, sf):
 
 
 def arrival_lookup(spark, sf):
-    return quality.arrivals(json_ledger(spark, sf), "LHR", PURGE_DATE, "DC")
+    return quality.arrivals(json_ledger(spark, sf), **ARRIVAL)
 
 
 def route_week_lookup(spark, sf):
-    return quality.route_week(facts(spark, sf), "CI", "STN", "P07", 20)
+    return quality.route_week(facts(spark, sf), **ROUTE)
 
 
 def route_week_day_lookup(spark, sf):
-    return quality.route_week(facts(spark, sf), "CI", "STN", "P07", 20, 3)
+    return quality.route_week(facts(spark, sf), **ROUTE, day=ROUTE_DAY)
 
 
 def document_age_lookup(spark, sf):
-    return quality.document_age(facts(spark, sf), "DC", "MAN", "P", "N07", 30)
+    return quality.document_age(facts(spark, sf), **DOCUMENT)
 
 
 # --- streaming ------------------------------------------------------------------------------------

@@ -220,11 +220,11 @@ def stored(spark: SparkSession, sf_dir: str) -> Store:
     if key not in _STORES:
         fixture = Fixture(spark, sf_dir)
         store = Store(spark, fresh_path(spark, "store"), period="year")
-        run_batch(
-            store, fixture.prior_rows(), fixture.prior_pairs().select("zip_file_name").distinct(),
-            0, instant(PRIOR_AT),
-        )
-        run_batch(store, fixture.archive_rows(), fixture.archive_names(), 1, instant(BATCH_AT))
+        runs = [(fixture.prior_rows(), PRIOR_AT), (fixture.archive_rows(), BATCH_AT)]
+        for batch_id, (derived, processed_at) in enumerate(runs):
+            rows = tables.written(derived, fresh_path(spark, "archive-rows"))
+            headers = rows.filter(F.col("entry_index").isNull())
+            run_batch(store, rows, headers, batch_id, instant(processed_at))
         _STORES[key] = store
     return _STORES[key]
 

@@ -87,7 +87,7 @@ def updated_rows(
     touched = rows_to_update(json_ledger, zip_ledger, date, since)
     copies = touched.groupBy(*PAIR).agg(F.count("*").alias("_copies"))
     wanted = facts.join(
-        touched.select(F.col("json_file_name").alias("json_file")), "json_file", "left_semi"
+        touched.select(F.col("json_file_name").alias("json_file")).distinct(), "json_file", "left_semi"
     )
     summary = first_summary(manifest_counts(wanted))
     kept = [n for n in touched.columns if n not in (*schema.VOYAGE_COLUMNS, *schema.COUNT_COLUMNS)]
@@ -108,7 +108,7 @@ def earliest_unpopulated(json_ledger: DataFrame, zip_ledger: DataFrame, since: s
     """One row: the first archive date from `since` on with a good document lacking counts, or null."""
     waiting = json_ledger.filter(
         F.col("non_interactive_total_count").isNull() & F.col("success")
-    ).select("zip_file_name")
+    ).select("zip_file_name").distinct()
     archives = zip_ledger.filter(F.col("success") & (F.col("created_on") >= since))
     return archives.join(waiting, "zip_file_name", "left_semi").agg(
         F.min("created_on").alias("earliest_date")

@@ -66,8 +66,8 @@ def ledger_limits_broken(manifest: Column, counts: list[Column], names: dict[str
 
 
 def assess(parsed: DataFrame) -> DataFrame:
-    """Add the voyage columns, the best passengers, the summary counts and `verdict`: the outcome the
-    document would have if it were new. No shuffle."""
+    """Add the voyage columns, the best passengers and their number, the summary counts and `verdict`: the
+    outcome the document would have if it were new. No shuffle."""
     manifest = F.col("manifest")
     best = F.col("best_passengers")
     counts = [F.col(name) for name in schema.COUNT_COLUMNS]
@@ -85,6 +85,7 @@ def assess(parsed: DataFrame) -> DataFrame:
         )
         .withColumns(
             {
+                "best_count": F.size(best),
                 "fact_limits_broken": fact_limits_broken(manifest, best, F.col("json_file_name")),
                 "ledger_limits_broken": ledger_limits_broken(
                     manifest, counts, {n: F.col(n) for n in ("zip_file_name", "json_file_name")}
@@ -99,7 +100,7 @@ def assess(parsed: DataFrame) -> DataFrame:
             F.when(~F.col("parse_ok"), BAD_JSON)
             .when(F.col("scheduled").isNull(), BAD_SCHEDULE)
             .when(
-                (F.col("voyage_number").isNull() & (F.size(best) > 0))
+                (F.col("voyage_number").isNull() & (F.col("best_count") > 0))
                 | F.col("fact_limits_broken")
                 | F.col("ledger_limits_broken")
                 | F.col("_undatable"),

@@ -21,7 +21,9 @@ def recorded_pairs(ledger: DataFrame, archives: DataFrame | None = None) -> Data
     """Distinct pairs of the ledger, only those of the given archives if there are any."""
     pairs = ledger.select(*PAIR)
     if archives is not None:
-        pairs = pairs.join(archives.select("zip_file_name"), "zip_file_name", "left_semi")
+        pairs = pairs.join(
+            archives.select("zip_file_name").distinct(), "zip_file_name", "left_semi"
+        )
     return pairs.distinct()
 
 

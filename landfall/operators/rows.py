@@ -78,7 +78,7 @@ def zip_totals(classified: DataFrame) -> DataFrame:
         F.count_if(outcome != classify.ALREADY_PROCESSED).alias("total"),
         F.count_if(outcome == classify.OK).alias("successful"),
         F.coalesce(
-            F.sum(F.when(outcome == classify.OK, F.size("best_passengers"))), F.lit(0)
+            F.sum(F.when(outcome == classify.OK, F.col("best_count"))), F.lit(0)
         ).alias("fact_rows"),
         F.count_if(
             (outcome == classify.OK) & dates.is_suspicious(F.col("scheduled"), F.col("created_on"))

@@ -21,11 +21,21 @@ class RunMetrics:
     zips_processed: int
 
 
-def classified(archive_rows: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Outcome per entry, as one lazy plan: parsed and judged row by row, then matched with the few
-    pairs that repeat or are recorded already."""
-    keys = archive_rows.filter(F.col("entry_index").isNotNull()).select(*dedupe.PAIR, "entry_index")
-    exceptional = dedupe.exceptions(keys, dedupe.recorded_pairs(ledger))
+def classified(archive_rows: DataFrame, ledger: DataFrame, archives: DataFrame | None = None) -> DataFrame:
+    """Outcome per entry: parsed and judged row by row, then matched with the few pairs that repeat or are
+    recorded already.
+
+    Those pairs are found first, from narrow keys, and written. The planner then knows their size: it sends
+    them to the documents if they are small, so that no document is shuffled, and else joins by shuffle.
+    Rows that carry `occurrence` have had their repeats counted by the source.
+    """
+    recorded = dedupe.recorded_pairs(ledger, archives)
+    if "occurrence" in archive_rows.columns:
+        exceptional = dedupe.recorded_exceptions(recorded)
+    else:
+        keys = archive_rows.filter(F.col("entry_index").isNotNull()).select(*dedupe.PAIR, "entry_index")
+        exceptional = dedupe.exceptions(keys, recorded)
+    exceptional = tables.written(exceptional, fresh_path(archive_rows.sparkSession, "exceptions"))
     assessed = classify.assess(documents.parse(archive_rows))
     return classify.with_outcome(dedupe.mark_processed(assessed, exceptional))
 
@@ -41,32 +51,19 @@ def run_batch(
 
     `archives` lists the names in `archive_rows`; it is used instead of the rows themselves so that no
     archive is opened just to look up its name in the ledger. Repeating a batch id replaces what that
-    batch wrote, and only what earlier batches recorded counts as processed. Rows without `occurrence`
-    have their repeats found by grouping.
+    batch wrote, and only what earlier batches recorded counts as processed.
     """
-    spark = store.spark
-    ledger = store.read(tables.JSON_LEDGER, before_batch=batch_id)
-    recorded = dedupe.recorded_pairs(ledger, archives)
-    if "occurrence" in archive_rows.columns:
-        exceptional = dedupe.recorded_exceptions(recorded)
-    else:
-        keys = archive_rows.filter(F.col("entry_index").isNotNull())
-        exceptional = dedupe.exceptions(keys.select(*dedupe.PAIR, "entry_index"), recorded)
-    exceptional = tables.written(exceptional, fresh_path(spark, "exceptions"))
-
     outcome = F.col("outcome")
     observed = Observation()
     staged = (
-        classify.with_outcome(
-            dedupe.mark_processed(classify.assess(documents.parse(archive_rows)), exceptional)
-        )
+        classified(archive_rows, store.recorded_for(archives, batch_id), archives)
         .withColumn("best_passengers", F.when(outcome == classify.OK, F.col("best_passengers")))
         .withColumn(
             "manifest", F.struct(*[F.col(f"manifest.{key}") for key in schema.VOYAGE_KEYS])
         )
         .select(
             "zip_file_name", "zip_ok", "entry_index", "json_file_name", "outcome", "manifest",
-            "scheduled", "voyage_number", "created_on", "best_passengers", *schema.COUNT_COLUMNS,
+            "scheduled", "voyage_number", "created_on", "best_passengers", "best_count", *schema.COUNT_COLUMNS,
         )
         .observe(
             observed,
@@ -75,7 +72,7 @@ def run_batch(
             F.count_if(F.col("entry_index").isNull()).alias("zips_processed"),
         )
     )
-    staged = tables.written(staged, fresh_path(spark, "classified"))
+    staged = tables.written(staged, fresh_path(store.spark, "classified"))
 
     store.write_batch(tables.PASSENGER_FACT, rows.passenger_facts(staged), batch_id)
     store.write_batch(tables.JSON_LEDGER, rows.json_ledger_rows(staged, processed_at), batch_id)

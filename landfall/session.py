@@ -8,9 +8,20 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# All instants are UTC. A join or grouping must not inherit a coarser distribution: documents grouped after a
+# join on their archive are spread by both keys, so that one huge archive is not the work of one task, and
+# the join itself stays free to be split where it is skewed.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.requireAllClusterKeysForDistribution": "true",
+}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """All instants are UTC, whatever the machine's zone is."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     return spark
 
 

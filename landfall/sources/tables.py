@@ -69,6 +69,19 @@ class Store:
             rows = rows.filter(F.col("batch_id") < before_batch)
         return rows.drop(*PARTITIONS)
 
+    def recorded_for(self, archives: DataFrame, before_batch: int) -> DataFrame:
+        """JSON ledger rows that earlier batches may have written for the given archives.
+
+        The period follows from the archive's name, so only the periods that occur are read. They are
+        calendar values, hence few, whatever the number of archives.
+        """
+        periods = [row[0] for row in archives.select(self._period(JSON_LEDGER)).distinct().collect()]
+        return (
+            self.partitioned(JSON_LEDGER)
+            .filter(F.col("period").isin(periods) & (F.col("batch_id") < before_batch))
+            .drop(*PARTITIONS)
+        )
+
     def write_batch(self, table: str, rows: DataFrame, batch_id: int) -> None:
         self.replace_partitions(
             table,
