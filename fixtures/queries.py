@@ -127,15 +127,12 @@ def zip_ledger_rows(spark, sf):
 
 
 def _passenger_list(spark, sf, chosen) -> DataFrame:
-    return (
-        _parsed(spark, sf)
-        .select(*_ENTRY, F.explode(chosen(F.col("manifest.PassengerList"))).alias("p"))
-        .select(
-            *_ENTRY,
-            F.col("p.PassengerIdentifier").alias("passenger_identifier"),
-            F.col("p.DocumentType").alias("document_type"),
-            F.col("p.InTransitFlag").alias("in_transit_flag"),
-        )
+    chosen_list = chosen(F.col("manifest.PassengerList"))
+    return rows.each_passenger(_parsed(spark, sf), chosen_list, *_ENTRY).select(
+        *_ENTRY,
+        F.col("p.PassengerIdentifier").alias("passenger_identifier"),
+        F.col("p.DocumentType").alias("document_type"),
+        F.col("p.InTransitFlag").alias("in_transit_flag"),
     )
 
 
@@ -238,10 +235,9 @@ def voyage_number(spark, sf):
 
 
 def age_or_default(spark, sf):
-    return (
-        _parsed(spark, sf)
-        .select(*_ENTRY, F.explode("manifest.PassengerList").alias("p"))
-        .select(*_ENTRY, F.col("p.Age").alias("age_text"), values.age_or_default(F.col("p.Age")).alias("age"))
+    everybody = F.col("manifest.PassengerList")
+    return rows.each_passenger(_parsed(spark, sf), everybody, *_ENTRY).select(
+        *_ENTRY, F.col("p.Age").alias("age_text"), values.age_or_default(F.col("p.Age")).alias("age")
     )
 
 

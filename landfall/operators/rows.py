@@ -19,9 +19,22 @@ _LEDGER_VOYAGE = {
 }
 
 
+def each_passenger(documents: DataFrame, passengers: Column, *columns: Column | str) -> DataFrame:
+    """The given columns and one passenger `p` per row; a document without passengers yields none.
+
+    A plain explode would make the optimizer derive a filter on the list and move it below the parser, which
+    would then parse every document once more for each mention in that filter.
+    """
+    return documents.select(*columns, F.explode_outer(passengers).alias("p")).filter(
+        F.col("p").isNotNull()
+    )
+
+
 def passenger_facts(classified: DataFrame) -> DataFrame:
     """One row per best passenger of each good document; only those are exploded."""
-    good = classified.filter(F.col("outcome") == classify.OK).select(
+    good = each_passenger(
+        classified.filter(F.col("outcome") == classify.OK),
+        F.col("best_passengers"),
         F.col("manifest.EventCode").alias("event_code"),
         F.col("manifest.ArrivalPortCode").alias("arrival_port_code"),
         F.col("manifest.DeparturePortCode").alias("departure_port_code"),
@@ -29,7 +42,6 @@ def passenger_facts(classified: DataFrame) -> DataFrame:
         F.col("manifest.CarrierCode").alias("carrier_code"),
         dates.or_epoch(F.col("scheduled")).alias("scheduled_date"),
         F.col("json_file_name").alias("json_file"),
-        F.explode("best_passengers").alias("p"),
     )
     return good.select(
         "event_code",

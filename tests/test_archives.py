@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+import struct
+
+import pytest
+
+from landfall.sources.archives import archive_files, archive_rows
+from samples import archive, files, manifest
+
+
+def scan(spark, content: bytes):
+    rows = archive_rows(files(spark, {"a.zip": content})).collect()
+    headers = [r for r in rows if r.entry_index is None]
+    entries = sorted((r for r in rows if r.entry_index is not None), key=lambda r: r.entry_index)
+    assert len(headers) == 1
+    return headers[0].zip_ok, [(r.json_file_name, r.occurrence, r.content) for r in entries]
+
+
+def test_entries_in_order(spark):
+    assert scan(spark, archive([("b.json", "{}"), ("a.json", "x"), ("b.json", "y")])) == (
+        True, [("b.json", 1, "{}"), ("a.json", 1, "x"), ("b.json", 2, "y")],
+    )
+
+
+def test_empty_and_foreign_content_have_no_entries(spark):
+    assert scan(spark, archive([])) == (True, [])
+    assert scan(spark, b"no archive at all") == (True, [])
+    assert scan(spark, b"") == (True, [])
+
+
+def test_corrupt_archive_gives_nothing(spark):
+    good = archive([("a.json", "x" * 5000), ("b.json", "".join(map(str, range(3000))))])
+    damaged = bytearray(good)
+    damaged[-400 - 200] ^= 0xFF
+    assert scan(spark, bytes(damaged)) == (False, [])
+    assert scan(spark, good[: len(good) // 2]) == (False, [])
+    assert scan(spark, b"PK\x03\x04torn") == (False, [])
+
+
+def test_bad_utf8_is_replaced(spark):
+    assert scan(spark, archive([("a.json", b"a\xffb")])) == (True, [("a.json", 1, "a�b")])
+
+
+def test_large_archive_is_checked_before_it_is_emitted(spark):
+    """Above the in-memory bound entries are decoded one at a time, still all or nothing."""
+    big = [(f"{i}.json", str(i) * 25_000_000) for i in range(4)]
+    content = archive(big)
+    ok, entries = scan(spark, content)
+    assert ok and [(n, o, len(t)) for n, o, t in entries] == [(n, 1, 25_000_000) for n, _ in big]
+    damaged = bytearray(content)
+    central = content.index(b"PK\x01\x02")
+    checksum = struct.unpack_from("<I", damaged, central + 16)[0]
+    struct.pack_into("<I", damaged, central + 16, checksum ^ 1)
+    assert scan(spark, bytes(damaged)) == (False, [])
+
+
+@pytest.fixture
+def folder(tmp_path):
+    for day in (1, 2, 3):
+        name = f"drt_dq_21010{day}_000000_0000.zip"
+        (tmp_path / name).write_bytes(archive([(f"{day}.json", manifest())]))
+    return tmp_path
+
+
+def test_files_after_marker_are_pruned_from_the_scan(spark, folder):
+    files_after = archive_files(spark, str(folder), after="drt_dq_210102_000000_0000.zip")
+    assert [r.zip_file_name for r in files_after.collect()] == ["drt_dq_210103_000000_0000.zip"]
+    execution = files_after._jdf.queryExecution().executedPlan()
+    execution.executeTake(10)
+    scans = [leaf for leaf in _leaves(execution)]
+    assert [leaf.metrics().apply("numFiles").value() for leaf in scans] == [1]
+
+
+def _leaves(plan):
+    leaves = plan.collectLeaves()
+    return [leaves.apply(i) for i in range(leaves.size())]
+
+
+def test_names_need_no_content(spark, folder):
+    plan = archive_files(spark, str(folder)).select("zip_file_name")._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<>" in plan
+
+
+def test_scan_of_a_folder(spark, folder):
+    rows = archive_rows(archive_files(spark, str(folder))).collect()
+    assert len(rows) == 6 and all(r.zip_ok for r in rows)
