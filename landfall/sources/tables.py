@@ -63,11 +63,13 @@ class Store:
                 raise
             return self.spark.createDataFrame([], columns)
 
-    def read(self, table: str, before_batch: int | None = None) -> DataFrame:
-        rows = self.partitioned(table)
-        if before_batch is not None:
-            rows = rows.filter(F.col("batch_id") < before_batch)
-        return rows.drop(*PARTITIONS)
+    def read(self, table: str) -> DataFrame:
+        return self.partitioned(table).drop(*PARTITIONS)
+
+    def last_batch_id(self) -> int:
+        """The largest batch id in any table, -1 if there is none."""
+        last = [self.partitioned(table).agg(F.max("batch_id")).first()[0] for table in SCHEMAS]
+        return max([-1, *[batch_id for batch_id in last if batch_id is not None]])
 
     def recorded_for(self, archives: DataFrame, before_batch: int) -> DataFrame:
         """JSON ledger rows that earlier batches may have written for the given archives.

@@ -34,12 +34,14 @@ def _lines(frame: pd.DataFrame) -> list[tuple[str, ...]]:
 
 
 def differences(spark_rows: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> str:
-    """Empty if equal, else what differs."""
+    """Empty if equal and not without rows, else what differs."""
     left = spark_rows.toPandas()
     right = connection.execute(sql).df()
     if sorted(left.columns) != sorted(right.columns):
         return f"columns {sorted(left.columns)} vs {sorted(right.columns)}"
     a, b = _lines(left), _lines(right)
+    if not a:
+        return "no rows"
     if len(a) != len(b):
         return f"rows {len(a)} vs {len(b)}"
     wrong = [(x, y) for x, y in zip(a, b) if x != y]
