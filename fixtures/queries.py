@@ -359,7 +359,7 @@ def _names(spark, sf, limit) -> DataFrame:
 
 
 def purge_batch(spark, sf):
-    return _names(spark, sf, SMALL_BATCH)
+    return _names(spark, sf, SMALL_BATCH).select("json_file_name")
 
 
 def purge_remaining_fact(spark, sf):

@@ -29,12 +29,12 @@ def with_expiry(zip_ledger: DataFrame, as_of: Column, years: int) -> DataFrame:
 
 
 def purge_batch(json_ledger: DataFrame, zip_ledger: DataFrame, date: str, limit: int) -> DataFrame:
-    """The first `limit` document names of the date, in order and with repeats."""
-    archives = zip_ledger.filter(F.col("created_on") == date).select("zip_file_name")
+    """The first `limit` document names of the date, in order and with repeats; and the date."""
+    archives = zip_ledger.filter(F.col("created_on") == date).select("zip_file_name", "created_on")
     return (
         json_ledger.select("zip_file_name", "json_file_name")
         .join(archives, "zip_file_name")
-        .select("json_file_name")
+        .select("json_file_name", "created_on")
         .orderBy("json_file_name")
         .limit(limit)
     )
@@ -54,17 +54,19 @@ def remaining_json(json_ledger: DataFrame, names: DataFrame, limit: int) -> Data
     return _by_name(json_ledger, names, "json_file_name", limit, "left_anti").select(*json_ledger.columns)
 
 
-def closing_date(names: DataFrame, date: str, limit: int) -> DataFrame:
+def closing_date(zip_ledger: DataFrame, names: DataFrame, date: str, limit: int) -> DataFrame:
     """The date as one row if this batch is its last (fewer names than the limit), else no row."""
+    dated = zip_ledger.filter(F.col("created_on") == date).select("created_on").distinct()
+    counted = names.groupBy("created_on").agg(F.count("*").alias("_n"))
     return (
-        names.agg(F.count("*").alias("_n"))
-        .filter(F.col("_n") < limit)
-        .select(F.lit(date).alias("created_on"))
+        dated.join(F.broadcast(counted), "created_on", "left")
+        .filter(F.coalesce("_n", F.lit(0)) < limit)
+        .select("created_on")
     )
 
 
 def remaining_zips(zip_ledger: DataFrame, names: DataFrame, date: str, limit: int) -> DataFrame:
-    closing = F.broadcast(closing_date(names, date, limit))
+    closing = F.broadcast(closing_date(zip_ledger, names, date, limit))
     return zip_ledger.join(closing, "created_on", "left_anti").select(*zip_ledger.columns)
 
 
@@ -77,7 +79,7 @@ def purge_counts(
     limit: int,
 ) -> DataFrame:
     """One row: deleted facts, documents and archives."""
-    closing = F.broadcast(closing_date(names, date, limit))
+    closing = F.broadcast(closing_date(zip_ledger, names, date, limit))
     gone = [
         ("deleted_manifests", _by_name(facts.select("json_file"), names, "json_file", limit, "left_semi")),
         (

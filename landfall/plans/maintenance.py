@@ -54,14 +54,16 @@ def purge_date(store: Store, date: str, limit: int) -> PurgeCounts:
         ),
         fresh_path(store.spark, "purge-names"),
     )
-    hit = names.distinct()
+    closing = tables.written(
+        retention.closing_date(store.read(tables.ZIP_LEDGER), names, date, limit),
+        fresh_path(store.spark, "purge-date"),
+    )
+    hit = names.select("json_file_name").distinct()
     manifests = _delete(
         store, tables.PASSENGER_FACT, hit.withColumnRenamed("json_file_name", "json_file"), "json_file"
     )
     jsons = _delete(store, tables.JSON_LEDGER, hit, "json_file_name")
-    zips = _delete(
-        store, tables.ZIP_LEDGER, retention.closing_date(names, date, limit), "created_on"
-    )
+    zips = _delete(store, tables.ZIP_LEDGER, closing, "created_on")
     return PurgeCounts(manifests, jsons, zips)
 
 

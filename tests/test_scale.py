@@ -109,6 +109,7 @@ def test_no_pairwise_joins_anywhere(spark):
 
 
 def test_filters_and_columns_reach_the_stored_tables(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
     plan = physical(registry.document_age_lookup(spark, SF_DIR))
     assert "EqualTo(arrival_port_code,LHR)" in plan and "GreaterThanOrEqual(age,30)" in plan
     plan = physical(registry.oldest_date(spark, SF_DIR))
