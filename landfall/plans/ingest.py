@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from landfall import schema
 from landfall.operators import classify, dedupe, rows
-from landfall.session import fresh_path
+from landfall.session import fresh_path, scratch
 from landfall.sources import documents, tables
 from landfall.sources.tables import Store
 
@@ -21,7 +21,12 @@ class RunMetrics:
     zips_processed: int
 
 
-def classified(archive_rows: DataFrame, ledger: DataFrame, archives: DataFrame | None = None) -> DataFrame:
+def classified(
+    archive_rows: DataFrame,
+    ledger: DataFrame,
+    archives: DataFrame | None = None,
+    exceptions_path: str | None = None,
+) -> DataFrame:
     """Outcome per entry: parsed and judged row by row, then matched with the few pairs that repeat or are
     recorded already.
 
@@ -35,7 +40,8 @@ def classified(archive_rows: DataFrame, ledger: DataFrame, archives: DataFrame |
     else:
         keys = archive_rows.filter(F.col("entry_index").isNotNull()).select(*dedupe.PAIR, "entry_index")
         exceptional = dedupe.exceptions(keys, recorded)
-    exceptional = tables.written(exceptional, fresh_path(archive_rows.sparkSession, "exceptions"))
+    path = exceptions_path or fresh_path(archive_rows.sparkSession, "exceptions")
+    exceptional = tables.written(exceptional, path)
     assessed = classify.assess(documents.parse(archive_rows))
     return classify.with_outcome(dedupe.mark_processed(assessed, exceptional))
 
@@ -53,11 +59,23 @@ def run_batch(
     archive is opened just to look up its name in the ledger. Repeating a batch id replaces what that
     batch wrote, and only what earlier batches recorded counts as processed.
     """
+    with scratch(store.spark, "ingest") as folder:
+        observed = Observation()
+        recorded = store.recorded_for(archives, batch_id)
+        found = classified(archive_rows, recorded, archives, f"{folder}/exceptions")
+        staged = tables.written(_staged(found, observed), f"{folder}/classified")
+        store.write_batch(tables.PASSENGER_FACT, rows.passenger_facts(staged), batch_id)
+        store.write_batch(tables.JSON_LEDGER, rows.json_ledger_rows(staged, processed_at), batch_id)
+        totals = rows.zip_totals(staged)
+        store.write_batch(tables.ZIP_LEDGER, rows.zip_ledger_rows(totals, processed_at), batch_id)
+        return RunMetrics(**observed.get)
+
+
+def _staged(found: DataFrame, observed: Observation) -> DataFrame:
+    """What the three tables need of a classified entry, counted on the way."""
     outcome = F.col("outcome")
-    observed = Observation()
-    staged = (
-        classified(archive_rows, store.recorded_for(archives, batch_id), archives)
-        .withColumn("best_passengers", F.when(outcome == classify.OK, F.col("best_passengers")))
+    return (
+        found.withColumn("best_passengers", F.when(outcome == classify.OK, F.col("best_passengers")))
         .withColumn(
             "manifest", F.struct(*[F.col(f"manifest.{key}") for key in schema.VOYAGE_KEYS])
         )
@@ -72,11 +90,3 @@ def run_batch(
             F.count_if(F.col("entry_index").isNull()).alias("zips_processed"),
         )
     )
-    staged = tables.written(staged, fresh_path(store.spark, "classified"))
-
-    store.write_batch(tables.PASSENGER_FACT, rows.passenger_facts(staged), batch_id)
-    store.write_batch(tables.JSON_LEDGER, rows.json_ledger_rows(staged, processed_at), batch_id)
-    store.write_batch(
-        tables.ZIP_LEDGER, rows.zip_ledger_rows(rows.zip_totals(staged), processed_at), batch_id
-    )
-    return RunMetrics(**observed.get)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.operators import backfill, retention
-from landfall.session import fresh_path
+from landfall.session import scratch
 from landfall.sources import tables
 from landfall.sources.tables import PARTITIONS, Store
 
@@ -20,7 +20,7 @@ class PurgeCounts:
     zips: int = 0
 
 
-def _delete(store: Store, table: str, hit: DataFrame, column: str) -> int:
+def _delete(store: Store, table: str, hit: DataFrame, column: str, folder: str) -> int:
     """Delete rows whose `column` is in `hit` (distinct keys). Returns how many went.
 
     One pass over the key column finds the touched partitions. Only their list, one short row per
@@ -35,7 +35,7 @@ def _delete(store: Store, table: str, hit: DataFrame, column: str) -> int:
         .agg(F.count("*").alias("rows"), F.count("_hit").alias("hits"))
         .filter("hits > 0")
     )
-    touched = tables.written(touched, fresh_path(store.spark, "touched"))
+    touched = tables.written(touched, f"{folder}/touched-{table}")
     shrunk = touched.filter("hits < rows").select(*PARTITIONS)
     if not shrunk.isEmpty():
         kept = stored.join(shrunk, PARTITIONS, "left_semi").join(hit, column, "left_anti")
@@ -48,23 +48,21 @@ def _delete(store: Store, table: str, hit: DataFrame, column: str) -> int:
 def purge_date(store: Store, date: str, limit: int) -> PurgeCounts:
     """Delete up to `limit` documents of the date from facts and JSON ledger, and the date's archives
     with the last batch. Facts go first: a run that breaks off selects the same names again."""
-    names = tables.written(
-        retention.purge_batch(
-            store.read(tables.JSON_LEDGER), store.read(tables.ZIP_LEDGER), date, limit
-        ),
-        fresh_path(store.spark, "purge-names"),
-    )
-    closing = tables.written(
-        retention.closing_date(store.read(tables.ZIP_LEDGER), names, date, limit),
-        fresh_path(store.spark, "purge-date"),
-    )
-    hit = names.select("json_file_name").distinct()
-    manifests = _delete(
-        store, tables.PASSENGER_FACT, hit.withColumnRenamed("json_file_name", "json_file"), "json_file"
-    )
-    jsons = _delete(store, tables.JSON_LEDGER, hit, "json_file_name")
-    zips = _delete(store, tables.ZIP_LEDGER, closing, "created_on")
-    return PurgeCounts(manifests, jsons, zips)
+    with scratch(store.spark, "purge") as folder:
+        zip_ledger = store.read(tables.ZIP_LEDGER)
+        names = tables.written(
+            retention.purge_batch(store.read(tables.JSON_LEDGER), zip_ledger, date, limit), f"{folder}/names"
+        )
+        closing = tables.written(
+            retention.closing_date(zip_ledger, names, date, limit), f"{folder}/closing"
+        )
+        json_names = names.select("json_file_name").distinct()
+        fact_names = json_names.withColumnRenamed("json_file_name", "json_file")
+        return PurgeCounts(
+            _delete(store, tables.PASSENGER_FACT, fact_names, "json_file", folder),
+            _delete(store, tables.JSON_LEDGER, json_names, "json_file_name", folder),
+            _delete(store, tables.ZIP_LEDGER, closing, "created_on", folder),
+        )
 
 
 def purge_expired(store: Store, as_of: Column, years: int, limit: int) -> PurgeCounts:
@@ -78,18 +76,15 @@ def purge_expired(store: Store, as_of: Column, years: int, limit: int) -> PurgeC
 def backfill_summary(store: Store, date: str | None = None, since: str | None = None) -> int:
     """Recompute the summary columns for one date, or for all from `since` on. Returns rows updated."""
     ledger = store.partitioned(tables.JSON_LEDGER)
-    zips = store.read(tables.ZIP_LEDGER)
-    updated = tables.written(
-        backfill.updated_rows(ledger, zips, store.read(tables.PASSENGER_FACT), date, since),
-        fresh_path(store.spark, "updated"),
-    )
-    touched = updated.select(*PARTITIONS).distinct()
-    archives = updated.select("zip_file_name").distinct()
-    untouched_rows = ledger.join(touched, PARTITIONS, "left_semi").join(
-        archives, "zip_file_name", "left_anti"
-    )
-    if not updated.isEmpty():
-        store.replace_partitions(
-            tables.JSON_LEDGER, updated.unionByName(untouched_rows).select(*ledger.columns)
+    zips, facts = store.read(tables.ZIP_LEDGER), store.read(tables.PASSENGER_FACT)
+    with scratch(store.spark, "backfill") as folder:
+        updated = tables.written(
+            backfill.updated_rows(ledger, zips, facts, date, since), f"{folder}/updated"
         )
-    return updated.count()
+        touched = updated.select(*PARTITIONS).distinct()
+        archives = updated.select("zip_file_name").distinct()
+        others = ledger.join(touched, PARTITIONS, "left_semi").join(archives, "zip_file_name", "left_anti")
+        changed = updated.count()
+        if changed:
+            store.replace_partitions(tables.JSON_LEDGER, updated.unionByName(others).select(*ledger.columns))
+        return changed

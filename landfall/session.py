@@ -4,18 +4,21 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
 # All instants are UTC. A join or grouping must not inherit a coarser distribution: documents grouped after a
 # join on their archive are spread by both keys, so that one huge archive is not the work of one task, and
-# the join itself stays free to be split where it is skewed.
+# the join itself stays free to be split where it is skewed. Archives go to Python by size, not by number.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.requireAllClusterKeysForDistribution": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 
@@ -43,3 +46,18 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has used yet."""
     return f"{shared_folder(spark)}/landfall-{label}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A fresh path for the intermediate tables of one job, gone when the job is done."""
+    path = fresh_path(spark, label)
+    try:
+        yield path
+    finally:
+        remove(spark, path)

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from landfall import schema
 from landfall.functions import dates
+from landfall.session import prepare, remove
 
 PASSENGER_FACT, JSON_LEDGER, ZIP_LEDGER = "passenger_fact", "json_ledger", "zip_ledger"
 SCHEMAS = {
@@ -35,7 +36,7 @@ class Store:
     """Tables below `root`. `period` is day (default), month or year, by the volume of a day."""
 
     def __init__(self, spark: SparkSession, root: str, period: str = "day"):
-        self.spark = spark
+        self.spark = prepare(spark)
         self.root = root.rstrip("/")
         self._period_chars = {"day": 10, "month": 7, "year": 4}[period]
 
@@ -108,13 +109,8 @@ class Store:
 
     def drop_partitions(self, table: str, partitions: Iterable[tuple[str, int]]) -> None:
         """Remove whole partitions. A dynamic overwrite cannot: it leaves alone what gets no row."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for period, batch_id in partitions:
-            folder = jvm.org.apache.hadoop.fs.Path(
-                f"{self.path(table)}/period={period}/batch_id={batch_id}"
-            )
-            folder.getFileSystem(conf).delete(folder, True)
+            remove(self.spark, f"{self.path(table)}/period={period}/batch_id={batch_id}")
 
 
 def written(rows: DataFrame, path: str) -> DataFrame:
