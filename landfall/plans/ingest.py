@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from landfall import schema
 from landfall.operators import classify, dedupe, rows
 from landfall.session import fresh_path, scratch
-from landfall.sources import documents, tables
+from landfall.sources import archives, documents, feed, tables
 from landfall.sources.tables import Store
 
 
@@ -24,7 +24,7 @@ class RunMetrics:
 def classified(
     archive_rows: DataFrame,
     ledger: DataFrame,
-    archives: DataFrame | None = None,
+    names: DataFrame | None = None,
     exceptions_path: str | None = None,
 ) -> DataFrame:
     """Outcome per entry: parsed and judged row by row, then matched with the few pairs that repeat or are
@@ -34,7 +34,7 @@ def classified(
     them to the documents if they are small, so that no document is shuffled, and else joins by shuffle.
     Rows that carry `occurrence` have had their repeats counted by the source.
     """
-    recorded = dedupe.recorded_pairs(ledger, archives)
+    recorded = dedupe.recorded_pairs(ledger, names)
     if "occurrence" in archive_rows.columns:
         exceptional = dedupe.recorded_exceptions(recorded)
     else:
@@ -49,20 +49,20 @@ def classified(
 def run_batch(
     store: Store,
     archive_rows: DataFrame,
-    archives: DataFrame,
+    names: DataFrame,
     batch_id: int,
     processed_at: Column,
 ) -> RunMetrics:
     """Classify once, then write facts, JSON ledger and zip ledger from the written classification.
 
-    `archives` lists the names in `archive_rows`; it is used instead of the rows themselves so that no
+    `names` lists the archives in `archive_rows`; it is used instead of the rows themselves so that no
     archive is opened just to look up its name in the ledger. Repeating a batch id replaces what that
     batch wrote, and only what earlier batches recorded counts as processed.
     """
     with scratch(store.spark, "ingest") as folder:
         observed = Observation()
-        recorded = store.recorded_for(archives, batch_id)
-        found = classified(archive_rows, recorded, archives, f"{folder}/exceptions")
+        recorded = store.recorded_for(names, batch_id)
+        found = classified(archive_rows, recorded, names, f"{folder}/exceptions")
         staged = tables.written(_staged(found, observed), f"{folder}/classified")
         store.write_batch(tables.PASSENGER_FACT, rows.passenger_facts(staged), batch_id)
         store.write_batch(tables.JSON_LEDGER, rows.json_ledger_rows(staged, processed_at), batch_id)
@@ -71,6 +71,19 @@ def run_batch(
         return RunMetrics(**observed.get)
 
 
+def ingest_new_files(
+    store: Store, path: str, as_of: Column, processed_at: Column | None = None
+) -> RunMetrics:
+    """One batch of every archive named after the last recorded one (or after the day before `as_of` where
+    nothing is recorded), for runs that are scheduled rather than streamed."""
+    marker = feed.bootstrap_marker(store.read(tables.ZIP_LEDGER), as_of).first().marker
+    files = feed.without_marker(archives.archive_files(store.spark, path, after=marker), marker)
+    batch_id = store.last_batch_id() + 1
+    return run_batch(
+        store, archives.archive_rows(files), files, batch_id, as_of if processed_at is None else processed_at
+    )
+
+
 def _staged(found: DataFrame, observed: Observation) -> DataFrame:
     """What the three tables need of a classified entry, counted on the way."""
     outcome = F.col("outcome")

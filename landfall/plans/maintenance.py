@@ -65,6 +65,24 @@ def purge_date(store: Store, date: str, limit: int) -> PurgeCounts:
         )
 
 
+def _delete_key(store: Store, table: str, column: str, key: str) -> int:
+    hit = store.spark.createDataFrame([(key,)], f"{column} string")
+    with scratch(store.spark, "delete") as folder:
+        return _delete(store, table, hit, column, folder)
+
+
+def delete_facts(store: Store, json_file: str) -> int:
+    return _delete_key(store, tables.PASSENGER_FACT, "json_file", json_file)
+
+
+def delete_json(store: Store, json_file_name: str) -> int:
+    return _delete_key(store, tables.JSON_LEDGER, "json_file_name", json_file_name)
+
+
+def delete_zip(store: Store, zip_file_name: str) -> int:
+    return _delete_key(store, tables.ZIP_LEDGER, "zip_file_name", zip_file_name)
+
+
 def purge_expired(store: Store, as_of: Column, years: int, limit: int) -> PurgeCounts:
     """Purge the oldest date if it is beyond retention, else nothing."""
     target = retention.retention_target(store.read(tables.ZIP_LEDGER), as_of, years).first()
@@ -88,3 +106,26 @@ def backfill_summary(store: Store, date: str | None = None, since: str | None =
         if changed:
             store.replace_partitions(tables.JSON_LEDGER, updated.unionByName(others).select(*ledger.columns))
         return changed
+
+
+def backfill_created_on(store: Store) -> int:
+    """Fill missing archive dates where the name holds one. Returns rows updated."""
+    zips = store.partitioned(tables.ZIP_LEDGER)
+    filled = F.col("created_on").isNull() & F.col("filled_on").isNotNull()
+    with scratch(store.spark, "created-on") as folder:
+        candidates = backfill.with_created_on(zips.withColumn("was", F.col("created_on"))).select(
+            *[c for c in zips.columns if c != "created_on"],
+            F.col("was").alias("created_on"),
+            F.col("created_on").alias("filled_on"),
+        )
+        touched = tables.written(
+            candidates.filter(filled).groupBy(*PARTITIONS).agg(F.count("*").alias("changed")),
+            f"{folder}/touched",
+        )
+        rewritten = candidates.join(touched.select(*PARTITIONS), PARTITIONS, "left_semi").withColumn(
+            "created_on", F.coalesce("created_on", "filled_on")
+        )
+        changed = touched.agg(F.coalesce(F.sum("changed"), F.lit(0))).first()[0]
+        if changed:
+            store.replace_partitions(tables.ZIP_LEDGER, rewritten.select(*zips.columns))
+        return changed

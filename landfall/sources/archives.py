@@ -32,9 +32,12 @@ def archive_files(spark: SparkSession, path: str, after: str | None = None) -> D
     return files.select(name.alias("zip_file_name"), "length", "content")
 
 
-def archive_stream(spark: SparkSession, path: str, files_per_batch: int) -> DataFrame:
+def archive_stream(spark: SparkSession, path: str, files_per_batch: int, **options) -> DataFrame:
+    """Every file once. Options go to the file source: with many old files, `cleanSource` or `maxFileAge`
+    keeps the listing of each batch short."""
     return (
         spark.readStream.format("binaryFile")
+        .options(**options)
         .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)

@@ -7,7 +7,16 @@ from pyspark.sql import functions as F
 
 from landfall import schema
 from landfall.operators import backfill, quality, retention
-from landfall.plans.maintenance import PurgeCounts, backfill_summary, purge_date, purge_expired
+from landfall.plans.maintenance import (
+    PurgeCounts,
+    backfill_created_on,
+    backfill_summary,
+    delete_facts,
+    delete_json,
+    delete_zip,
+    purge_date,
+    purge_expired,
+)
 from landfall.session import fresh_path
 from landfall.sources import feed
 from landfall.sources.tables import JSON_LEDGER, PASSENGER_FACT, ZIP_LEDGER, Store
@@ -228,3 +237,23 @@ def test_lookups(spark):
     ])
     row = quality.arrivals(ledger, "LHR", "2024-04-22", "DC").first()
     assert (str(row.scheduled_on), row.day_of_week, row.week, row.year) == ("2024-04-22", 1, 17, 2024)
+
+
+def test_delete_jobs(store):
+    assert delete_facts(store, "2a") == 2 and delete_facts(store, "2a") == 0
+    assert delete_json(store, "1a") == 1
+    assert delete_zip(store, ZIP[3]) == 1 and delete_zip(store, "none.zip") == 0
+    assert content(store) == (
+        ["1a", "2b", "2c", "3a"],
+        [(ZIP[2], "2a"), (ZIP[2], "2b"), (ZIP[2], "2c"), (ZIP[3], "2a"), (ZIP[3], "3a")],
+        [ZIP[1], ZIP[2]],
+    )
+
+
+def test_created_on_job(spark):
+    made = Store(spark, fresh_path(spark, "test-store"))
+    made.write_batch(ZIP_LEDGER, zip_rows(spark, [(ZIP[1], None), (ZIP[2], "1999-01-01"), ("legacy.zip", None)]), 0)
+    assert backfill_created_on(made) == 1
+    found = {r.zip_file_name: r.created_on for r in made.read(ZIP_LEDGER).collect()}
+    assert found == {ZIP[1]: DAY[1], ZIP[2]: "1999-01-01", "legacy.zip": None}
+    assert backfill_created_on(made) == 0
