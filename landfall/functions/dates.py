@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 DATED_ARCHIVE_NAME = r"\Adrt_dq_[0-9]{6}_[0-9]{6}_[0-9]{4}\.zip\z"
 SUSPICIOUS_AFTER_MILLIS = 2 * 24 * 60 * 60 * 1000
 USUAL_SCHEDULE = "yyyy-MM-dd'T'HH:mm[:ss]X"
-CALENDAR_SCHEDULE = (
-    r"\A(?:([+-]?[0-9]{1,9})(?:-([0-9]{1,2})(?:-([0-9]{1,2}))?)?)?"
-    r"T(?:([0-9]{1,2})(?::([0-9]{1,2})(?::([0-9]{1,2}))?)?(?:[.,]([0-9]{1,9}))?)?Z\z"
-)
+CALENDAR_DATE = r"\A(?:([+-]?[0-9]{1,9})(?:-([0-9]{1,2})(?:-([0-9]{1,2}))?)?)?T"
+ORDINAL_DATE = r"\A([+-]?[0-9]{1,9})-([0-9]{3})T"
+WEEK_DATE = r"\A([+-]?[0-9]{1,9})-W([0-9]{1,2})(?:-([0-9]))?T"
+TIME_OF_DAY = r"T(?:([0-9]{1,2})(?::([0-9]{1,2})(?::([0-9]{1,2}))?)?(?:[.,]([0-9]{1,9}))?)?Z\z"
 
 
 def _two_digit_date(name: Column) -> Column:
@@ -41,25 +41,58 @@ def schedule_text(date: Column, time: Column) -> Column:
     return F.concat(date, F.lit("T"), time, F.lit("Z"))
 
 
+def _number(text: Column, pattern: str, group: int, default: int) -> Column:
+    return F.coalesce(F.regexp_extract(text, pattern, group).try_cast("int"), F.lit(default))
+
+
+def _written_date(text: Column) -> Column:
+    """Midnight of 2022-06-01, 2022-6-1, 2022-06, 2022, 2022-152 or 2022-W22-3; null for no such date.
+    What is left out is its first: January, day one, Monday; without any date it is 1970-01-01."""
+    def day(year: Column, month: Column, of_month: Column) -> Column:
+        zero = F.lit(0)
+        return F.try_make_timestamp(year, month, of_month, zero, zero, zero, F.lit("UTC"))
+
+    def later(start: Column, days: Column) -> Column:
+        return F.date_add(start.cast("date"), days).cast("timestamp")
+
+    one = F.lit(1)
+    calendar = day(
+        _number(text, CALENDAR_DATE, 1, 1970), _number(text, CALENDAR_DATE, 2, 1), _number(text, CALENDAR_DATE, 3, 1)
+    )
+    year = _number(text, ORDINAL_DATE, 1, 0)
+    ordinal = later(day(year, one, one), _number(text, ORDINAL_DATE, 2, 0) - 1)
+    week_year, week, weekday = (
+        _number(text, WEEK_DATE, 1, 0), _number(text, WEEK_DATE, 2, 0), _number(text, WEEK_DATE, 3, 1),
+    )
+    first_monday = F.date_trunc("week", day(week_year, one, F.lit(4)))
+    by_week = later(first_monday, (week - 1) * 7 + weekday - 1)
+    return (
+        F.when(text.rlike(CALENDAR_DATE), calendar)
+        .when(text.rlike(ORDINAL_DATE), F.when(F.year(ordinal) == year, ordinal))
+        .when(
+            text.rlike(WEEK_DATE) & weekday.between(1, 7) & (F.weekofyear(by_week) == week), by_week
+        )
+    )
+
+
 def _unusual_schedule(text: Column) -> Column:
-    """Reduced or loosely padded calendar forms: 2022-6-1T9:05, 2022-06T10, 2022-06-01T, T10:00."""
-    def part(group: int, default: int) -> Column:
-        return F.coalesce(F.regexp_extract(text, CALENDAR_SCHEDULE, group).try_cast("int"), F.lit(default))
+    """Other ISO forms, loosely padded or reduced: 2022-6-1T9:05, 2022-06T10, 2022-06-01T, T10:00."""
+    hours, minutes, seconds = (_number(text, TIME_OF_DAY, group, 0) for group in (1, 2, 3))
 
     def present(group: int) -> Column:
-        return F.regexp_extract(text, CALENDAR_SCHEDULE, group) != ""
+        return F.regexp_extract(text, TIME_OF_DAY, group) != ""
 
-    seconds = part(6, 0)
-    whole = F.try_make_timestamp(
-        part(1, 1970), part(2, 1), part(3, 1), part(4, 0), part(5, 0), seconds, F.lit("UTC")
-    )
     # A decimal part belongs to the smallest unit written.
-    unit = F.when(present(6), 1_000).when(present(5), 60_000).otherwise(3_600_000)
-    digits = F.regexp_extract(text, CALENDAR_SCHEDULE, 7)
-    fraction = F.coalesce(F.concat(F.lit("0."), digits).try_cast("decimal(10,9)"), F.lit(0).cast("decimal(10,9)"))
-    millis = F.floor(fraction * unit)
-    shape_ok = text.rlike(CALENDAR_SCHEDULE) & (text != F.lit("TZ")) & (seconds < 60)
-    return F.when(shape_ok, F.timestamp_millis(F.unix_millis(whole) + millis.cast("long")))
+    unit = F.when(present(3), 1_000).when(present(2), 60_000).otherwise(3_600_000)
+    digits = F.regexp_extract(text, TIME_OF_DAY, 4)
+    fraction = F.coalesce(
+        F.concat(F.lit("0."), digits).try_cast("decimal(10,9)"), F.lit(0).cast("decimal(10,9)")
+    )
+    millis = (hours * 3_600_000 + minutes * 60_000 + seconds * 1_000) + F.floor(fraction * unit).cast("long")
+    # With a single T, the date before it and the time after it are the whole text.
+    one_t = ~text.rlike(r"(?s)T.*T") & (text != F.lit("TZ"))
+    shape_ok = one_t & text.rlike(TIME_OF_DAY) & (hours < 24) & (minutes < 60) & (seconds < 60)
+    return F.when(shape_ok, F.timestamp_millis(F.unix_millis(_written_date(text)) + millis))
 
 
 def scheduled(date: Column, time: Column) -> Column:

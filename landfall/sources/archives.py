@@ -18,6 +18,8 @@ ARCHIVE_ROW = (
 )
 # The largest array a row can hold; a longer object is reported as unreadable without fetching it.
 LONGEST_ARCHIVE = 2**31 - 1024
+# A longer archive's entries are spread over tasks before they are parsed; the others stay where they are.
+SPREAD_ABOVE = 128 * 1024 * 1024
 
 
 def archive_files(spark: SparkSession, path: str, after: str | None = None) -> DataFrame:
@@ -121,15 +123,17 @@ def _exploder():
 
 def archive_rows(files: DataFrame) -> DataFrame:
     """Header and entry rows of `files` (zip_file_name, content and, from a file source, length)."""
+    def exploded(some: DataFrame) -> DataFrame:
+        return some.select("zip_file_name", "content").mapInArrow(_exploder(), ARCHIVE_ROW)
+
     if "length" not in files.columns:
-        return files.select("zip_file_name", "content").mapInArrow(_exploder(), ARCHIVE_ROW)
-    readable = files.filter(F.col("length") <= LONGEST_ARCHIVE)
-    oversized = files.filter(F.col("length") > LONGEST_ARCHIVE)
-    return (
-        readable.select("zip_file_name", "content")
-        .mapInArrow(_exploder(), ARCHIVE_ROW)
-        .unionByName(unreadable_headers(oversized), allowMissingColumns=True)
-    )
+        return exploded(files)
+    # The file source tests the length before it opens a file, so each branch fetches its own files only.
+    length = F.col("length")
+    usual = exploded(files.filter(length <= SPREAD_ABOVE))
+    large = exploded(files.filter((length > SPREAD_ABOVE) & (length <= LONGEST_ARCHIVE)))
+    oversized = unreadable_headers(files.filter(length > LONGEST_ARCHIVE))
+    return usual.unionByName(large.hint("rebalance")).unionByName(oversized, allowMissingColumns=True)
 
 
 def unreadable_headers(archives: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import struct
 
 import pytest
 
+from landfall.sources import archives
 from landfall.sources.archives import archive_files, archive_rows
 from samples import archive, files, manifest
 
@@ -84,3 +85,22 @@ def test_names_need_no_content(spark, folder):
 def test_scan_of_a_folder(spark, folder):
     rows = archive_rows(archive_files(spark, str(folder))).collect()
     assert len(rows) == 6 and all(r.zip_ok for r in rows)
+
+
+def test_large_and_oversized_archives(spark, folder, monkeypatch):
+    """Same rows whether an archive is usual or large; an oversized one is only reported."""
+    (folder / "empty.zip").write_bytes(archive([]))
+    found = archive_files(spark, str(folder))
+    usual = sorted(map(repr, archive_rows(found).collect()))
+    monkeypatch.setattr(archives, "SPREAD_ABOVE", 100)
+    assert sorted(map(repr, archive_rows(found).collect())) == usual
+    monkeypatch.setattr(archives, "LONGEST_ARCHIVE", 100)
+    rows = archive_rows(found).collect()
+    assert sorted((r.zip_file_name[:6], r.zip_ok, r.entry_index) for r in rows) == [
+        ("drt_dq", False, None)] * 3 + [("empty.", True, None)
+    ]
+
+
+def test_length_is_tested_before_a_file_is_opened(spark, folder):
+    plan = archive_files(spark, str(folder)).filter("length > 100")._jdf.queryExecution().toString()
+    assert "GreaterThan(length,100)" in plan.split("PushedFilters")[1]

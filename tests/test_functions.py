@@ -45,6 +45,20 @@ def test_created_on_by_position_needs_a_calendar_date(spark):
         ("2016-03-02", "", datetime(2016, 3, 2)),
         ("", "06:00", datetime(1970, 1, 1, 6, 0)),
         ("", "", None),
+        ("2022-152", "10:00", datetime(2022, 6, 1, 10, 0)),
+        ("2020-366", "", datetime(2020, 12, 31)),
+        ("2022-366", "10:00", None),
+        ("2022-000", "10:00", None),
+        ("2022-W22-3", "10:00", datetime(2022, 6, 1, 10, 0)),
+        ("2022-W22", "", datetime(2022, 5, 30)),
+        ("2020-W53-7", "", datetime(2021, 1, 3)),
+        ("2022-W53-1", "10:00", None),
+        ("2022-W00-1", "10:00", None),
+        ("2022-W22-8", "10:00", None),
+        ("2022-13", "10:00", None),
+        ("2022-06-01T", "10:00", None),
+        ("2022", "06:00", datetime(2022, 1, 1, 6, 0)),
+        ("2016-03-02", "06:00.5", datetime(2016, 3, 2, 6, 0, 30)),
         ("2022x06x01", "10x00", None),
         ("2022-06-31", "10:00", None),
         ("2022-06-01", "24:00", None),
