@@ -1,5 +1,5 @@
-"""Headline queries at one scale, as one JSON line. Each time is that of the whole query, derivation of the
-manifests included, except for the stored tables: writing them is timed on its own as `store_write`."""
+"""Headline queries at one scale, as one JSON line. Deriving the manifests from the tables and writing the
+stored tables by two ingest jobs are timed on their own, as `derive_archives` and `ingest_jobs`."""
 
 from __future__ import annotations
 
@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from fixtures import queries as registry  # noqa: E402
-from fixtures.views import Fixture, stored  # noqa: E402
+from fixtures.views import inputs, stored  # noqa: E402
 
 HEADLINE = [
     "classify_outcome", "ingest_batch", "passenger_fact", "json_ledger", "zip_totals", "zip_scan",
@@ -37,7 +37,6 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    Fixture(spark, sf_dir).entries().limit(1).collect()
 
     seconds: dict[str, float] = {}
 
@@ -46,7 +45,8 @@ def main() -> None:
         action()
         seconds[name] = round(time.perf_counter() - start, 3)
 
-    timed("store_write", lambda: stored(spark, sf_dir))
+    timed("derive_archives", lambda: inputs(spark, sf_dir))
+    timed("ingest_jobs", lambda: stored(spark, sf_dir))
     known = registry.registered()
     for name in HEADLINE:
         timed(

@@ -1,7 +1,7 @@
 """The registered queries. Each runs an operator of the library over whole tables.
 
-Queries that make documents into rows run the lazy ingest plan on the derived archives. Queries over the
-three stored tables read what the ingest job has written for this session.
+Documents are derived from the given tables and written once per session, as the archives a service would
+find in its storage. Queries over the three stored tables read what the ingest job has made of them.
 """
 
 from __future__ import annotations
@@ -13,12 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fixtures import archives
-from fixtures.views import AS_OF, BATCH_AT, Fixture, facts, instant, json_ledger, stored, zip_ledger
+from fixtures.views import AS_OF, BATCH_AT, Fixture, facts, inputs, instant, json_ledger, zip_ledger
 from landfall import schema
 from landfall.functions import dates, passengers, values
 from landfall.operators import backfill, classify, dedupe, quality, retention, rows
 from landfall.plans.ingest import classified
 from landfall.sources import documents, feed, tables
+from landfall.sources.archives import archive_rows
 
 # Parameters of the registered queries; oracle.py uses the same ones.
 MARKER = "drt_dq_230701_000000_0000.zip"
@@ -43,11 +44,11 @@ def _no_ledger(spark: SparkSession) -> DataFrame:
 
 
 def _classified(spark: SparkSession, sf: str) -> DataFrame:
-    return classified(Fixture(spark, sf).archive_rows(), _no_ledger(spark))
+    return classified(inputs(spark, sf).archive_rows(), _no_ledger(spark))
 
 
 def _parsed(spark: SparkSession, sf: str) -> DataFrame:
-    return documents.parse(Fixture(spark, sf).entries())
+    return documents.parse(inputs(spark, sf).entries())
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
@@ -57,11 +58,11 @@ def _events(spark: SparkSession, sf: str) -> DataFrame:
 # --- scans and feed -------------------------------------------------------------------------------
 
 def list_after_marker(spark, sf):
-    return feed.list_after(Fixture(spark, sf).archive_names().select("zip_file_name"), MARKER)
+    return feed.list_after(inputs(spark, sf).archive_names().select("zip_file_name"), MARKER)
 
 
 def next_marker(spark, sf):
-    return feed.next_marker(Fixture(spark, sf).archive_names(), MARKER)
+    return feed.next_marker(inputs(spark, sf).archive_names(), MARKER)
 
 
 def bootstrap_marker(spark, sf):
@@ -78,7 +79,7 @@ def last_persisted_file(spark, sf):
 
 def zip_scan(spark, sf):
     """Archives built from the entries, read back as archives."""
-    return documents.parse(archives.scanned(Fixture(spark, sf))).select(
+    return documents.parse(archive_rows(archives.zipped(inputs(spark, sf).archive_rows()))).select(
         "zip_file_name", "zip_ok", "entry_index", "json_file_name", "occurrence",
         F.col("manifest.EventCode").alias("event_code"),
     )
@@ -104,8 +105,8 @@ def parse_manifest(spark, sf):
 
 def ingest_batch(spark, sf):
     """One whole run after an earlier one: per archive, what was handled and written."""
-    fixture = Fixture(spark, sf)
-    totals = rows.zip_totals(classified(fixture.archive_rows(), fixture.prior_pairs()))
+    source = inputs(spark, sf)
+    totals = rows.zip_totals(classified(source.archive_rows(), source.prior_pairs()))
     return totals.withColumns(
         {
             "success": F.col("successful") > 0,
@@ -194,17 +195,17 @@ def run_metrics(spark, sf):
 
 
 def first_occurrence(spark, sf):
-    return dedupe.first_occurrence(Fixture(spark, sf).keyed_entries())
+    return dedupe.first_occurrence(inputs(spark, sf).keys())
 
 
 def unprocessed_entries(spark, sf):
-    fixture = Fixture(spark, sf)
-    return dedupe.unprocessed(fixture.keyed_entries().select(*_ENTRY), fixture.prior_pairs())
+    source = inputs(spark, sf)
+    return dedupe.unprocessed(source.keys(), source.prior_pairs())
 
 
 def json_has_been_processed(spark, sf):
-    fixture = Fixture(spark, sf)
-    return dedupe.with_recorded_flag(fixture.keyed_entries().select(*_ENTRY), fixture.prior_pairs())
+    source = inputs(spark, sf)
+    return dedupe.with_recorded_flag(source.keys(), source.prior_pairs())
 
 
 def ledger_after_batch(spark, sf):
@@ -216,7 +217,7 @@ def ledger_after_batch(spark, sf):
 
 def created_on(spark, sf):
     name = F.col("zip_file_name")
-    return Fixture(spark, sf).archive_names().select(name, dates.created_on(name).alias("created_on"))
+    return inputs(spark, sf).archive_names().select(name, dates.created_on(name).alias("created_on"))
 
 
 def scheduled_ts(spark, sf):
@@ -429,12 +430,12 @@ def document_age_lookup(spark, sf):
 
 def stream_ingest(spark, sf):
     """The JSON ledger after the archives went through the stream, in several batches."""
-    return archives.streamed(Fixture(spark, sf)).read(tables.JSON_LEDGER)
+    return archives.streamed(spark, sf).read(tables.JSON_LEDGER)
 
 
 def stream_replay(spark, sf):
     """Rows per table after every archive came a second time."""
-    store = archives.streamed(Fixture(spark, sf), times=2)
+    store = archives.streamed(spark, sf, times=2)
     counted = [
         store.read(table).agg(F.count("*").alias("row_count")).select(F.lit(table).alias("table_name"), "row_count")
         for table in (tables.PASSENGER_FACT, tables.JSON_LEDGER, tables.ZIP_LEDGER)

@@ -192,39 +192,66 @@ class Fixture:
         )
 
     def archive_rows(self) -> DataFrame:
-        """Header and entry rows, as a scan of the archives would give them."""
+        """Header and entry rows, as a scan of the archives would give them; plus `prior`."""
         return (
             self.entries()
-            .drop("prior")
             .withColumn("zip_ok", F.lit(True))
             .unionByName(self.archive_names(), allowMissingColumns=True)
         )
 
+
+class Inputs:
+    """The derived archives as a table, and the views of it that queries start from."""
+
+    def __init__(self, archive_rows: DataFrame):
+        self._rows = archive_rows
+        self._is_entry = F.col("entry_index").isNotNull()
+
+    def archive_rows(self) -> DataFrame:
+        return self._rows.drop("prior")
+
+    def entries(self) -> DataFrame:
+        return self._rows.filter(self._is_entry).drop("prior", "zip_ok")
+
+    def keys(self) -> DataFrame:
+        return self._rows.filter(self._is_entry).select("zip_file_name", "entry_index", "json_file_name")
+
+    def archive_names(self) -> DataFrame:
+        return self._rows.filter(~self._is_entry).select("zip_file_name", "zip_ok")
+
     def prior_pairs(self) -> DataFrame:
         """What an earlier run has recorded: a third of the documents."""
-        return self.keyed_entries().filter("prior").select("zip_file_name", "json_file_name")
+        return self._rows.filter("prior").select("zip_file_name", "json_file_name")
 
     def prior_rows(self) -> DataFrame:
         """The archives as that earlier run saw them."""
-        entries = self.entries().filter("prior").drop("prior").withColumn("zip_ok", F.lit(True))
         names = self.prior_pairs().select("zip_file_name").distinct().withColumn("zip_ok", F.lit(True))
-        return entries.unionByName(names, allowMissingColumns=True)
+        return self._rows.filter("prior").drop("prior").unionByName(names, allowMissingColumns=True)
 
 
+_INPUTS: dict[tuple[str, str], Inputs] = {}
 _STORES: dict[tuple[str, str], Store] = {}
 
 
+def inputs(spark: SparkSession, sf_dir: str) -> Inputs:
+    """The archives of the given tables, derived and written once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _INPUTS:
+        rows = Fixture(spark, sf_dir).archive_rows()
+        _INPUTS[key] = Inputs(tables.written(rows, fresh_path(spark, "archive-rows")))
+    return _INPUTS[key]
+
+
 def stored(spark: SparkSession, sf_dir: str) -> Store:
     """The three tables after the earlier run and a full one, written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORES:
-        fixture = Fixture(spark, sf_dir)
+        source = inputs(spark, sf_dir)
         store = Store(spark, fresh_path(spark, "store"), period="year")
-        runs = [(fixture.prior_rows(), PRIOR_AT), (fixture.archive_rows(), BATCH_AT)]
-        for batch_id, (derived, processed_at) in enumerate(runs):
-            rows = tables.written(derived, fresh_path(spark, "archive-rows"))
-            headers = rows.filter(F.col("entry_index").isNull())
-            run_batch(store, rows, headers, batch_id, instant(processed_at))
+        runs = [(source.prior_rows(), PRIOR_AT), (source.archive_rows(), BATCH_AT)]
+        for batch_id, (rows, processed_at) in enumerate(runs):
+            names = rows.filter(F.col("entry_index").isNull())
+            run_batch(store, rows, names, batch_id, instant(processed_at))
         _STORES[key] = store
     return _STORES[key]
 
