@@ -70,3 +70,14 @@ def small_or_plain(rows: DataFrame, most: int = 300_000) -> DataFrame:
 def fold(doc_id: Column, of: int) -> Column:
     """crc32 of doc_id as text, modulo `of`; null ids count as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % of
+
+
+def with_text_hash(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("text_hash", F.xxhash64("text"))
+
+
+def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The rows of `docs` whose doc_id and text are not among `rejected(doc_id, text_hash)`; all columns stay."""
+    keys = rejected.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
+    return docs.join(small_or_plain(keys), same, "left_anti")

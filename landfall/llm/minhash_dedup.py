@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm import similar, words
 from landfall.llm.components import connected_components
-from landfall.llm.frames import Workspace, map_batches, small_or_plain, text_bytes
+from landfall.llm.frames import Workspace, map_batches, small_or_plain, text_bytes, with_text_hash, without
 
 BANDS, ROWS = 32, 6
 
@@ -58,8 +58,9 @@ def _features(k: int, bands: int, rows: int):
             counts.append(len(own))
             keys.append(words.set_key(own) if len(own) else None)
             band_keys.append(signer.band_keys(own) if len(own) else None)
-        columns = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(keys, pa.int64()), pa.array(band_keys, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "node", "bands"])
+        columns = [batch.column("doc_id"), batch.column("text_hash"), pa.array(counts, pa.int64()), pa.array(keys, pa.int64())]
+        columns.append(pa.array(band_keys, pa.list_(pa.int64())))
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_shingles", "node", "bands"])
 
     return features
 
@@ -77,7 +78,7 @@ def _sets(k: int):
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """`docs(doc_id, text, ...)` -> one row for each row: doc_id, n_shingles, component_id, kept.
+    """`docs(doc_id, text, ...)` -> one row for each row: doc_id, text_hash (of Spark), n_shingles, component_id, kept.
 
     Documents are linked where the Jaccard similarity of their sets of `shingle`-word shingles is at least
     `percent` / 100; component_id is the smallest doc_id of the linked ones. Equal sets are one node, so copies cost one
@@ -88,8 +89,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     """
     work = Workspace(docs.sparkSession, "near-duplicates")
     plain = docs.select("doc_id", "text")
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, node long, bands array<long>"
-    features = work.table(map_batches(plain, _features(shingle, bands, rows), schema), "features")
+    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, n_shingles long, node long, bands array<long>"
+    features = work.table(map_batches(with_text_hash(plain), _features(shingle, bands, rows), schema), "features")
     nodes = features.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("first_doc"), F.first("bands").alias("bands"))
     nodes = work.table(nodes, "nodes")
     groups = similar.candidate_groups(work, nodes.select("node", "bands"))
@@ -103,6 +104,21 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     low = members.join(lowest, "component").select("node", "low")
     by_node = nodes.select("node", "first_doc").join(low, "node", "left").select("node", F.coalesce("low", "first_doc").alias("low"))
     by_node = work.table(by_node, "lowest")
-    named = features.select("doc_id", "n_shingles", "node").join(by_node, "node", "left")
+    named = features.select("doc_id", "text_hash", "n_shingles", "node").join(by_node, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("low"))
-    return named.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return named.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of `docs`, with all their columns, of which one document of each group of near duplicates is left; of
+    rows that repeat a kept doc_id, one is left."""
+    work = Workspace(docs.sparkSession, "deduplicated")
+    verdicts = work.table(near_duplicates(docs, shingle, percent), "verdicts")
+    left = without(docs, verdicts.filter("not kept"))
+    repeated = verdicts.filter("kept").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id"))
+    repeated = work.table(repeated, "repeated")
+    if repeated.isEmpty():
+        return left
+    same = left["doc_id"].eqNullSafe(F.col("_id"))
+    once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(repeated, same, "left_anti").unionByName(once)
