@@ -1,0 +1,184 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+import public_tokenizers
+import sentencepiece
+from landfall.llm import chat_format, language_id, queries_text, token_counts
+from landfall.llm.frames import read_table
+
+SF, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
+
+
+# --- token counts ---
+
+LIBRARY = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(token_counts.MODEL))
+COUNTER = token_counts.TokenCounter(public_tokenizers.path(token_counts.MODEL))
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from(" \n▁ \t<>s/0xA.,'éß中\u00a0"), st.characters(exclude_categories=["Cs"])), max_size=60))
+def test_counts_equal_the_library(text):
+    assert COUNTER.count(text) == len(LIBRARY.encode(text))
+
+
+def test_single_tokens_are_single_and_forgetting_changes_nothing(monkeypatch):
+    assert all(len(LIBRARY.encode(text)) == 1 for text in COUNTER.whole if text)
+    monkeypatch.setattr(token_counts, "REMEMBERED", 5)
+    counter = token_counts.TokenCounter(public_tokenizers.path(token_counts.MODEL))
+    rng = random.Random(1)
+    for _ in range(50):
+        text = " ".join("".join(rng.choices("abcdeéz", k=9)) for _ in range(rng.randrange(12)))
+        assert counter.count(text) == len(LIBRARY.encode(text))
+
+
+def test_all_documents_counted(spark):
+    docs = read_table(spark, SMALL, "documents").select("doc_id", "text").withColumn("n_tokens", F.lit("x"))
+    odd = spark.createDataFrame([(-1, None), (-2, ""), (-3, "<s> </s> <unk>  \n "), (-4, "y" * 300_000), (None, "a")], "doc_id long, text string")
+    rows = docs.unionByName(odd, allowMissingColumns=True)
+    expected = sorted((str(r.doc_id), len((r.text or "").encode()), len(LIBRARY.encode(r.text or ""))) for r in rows.collect())
+    got = token_counts.token_counts(rows).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_tokens) for r in got) == expected
+    assert all(r.over_limit == (r.n_tokens > 4096) for r in got)
+    assert token_counts.token_counts(docs.filter("false")).collect() == []
+
+
+# --- language ---
+
+def test_held_out_language_accuracy(spark):
+    docs = read_table(spark, SF, "documents")
+    langs = {r.doc_id: r.lang for r in docs.collect()}
+    got = language_id.language_id(docs).collect()
+    assert len(got) == len(langs)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.held_out]
+    assert sum(r.lang_pred == langs[r.doc_id] for r in held) >= 0.98 * len(held)
+    assert sum(r.rejected for r in held) <= 0.05 * len(held)
+
+
+def test_held_out_rows_are_not_learnt_from(spark):
+    docs = read_table(spark, SMALL, "documents")
+    other = docs.withColumn("lang", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, "xx").otherwise(F.col("lang")))
+    a, b = (sorted((r.doc_id, r.lang_pred, r.score) for r in language_id.language_id(x).collect()) for x in (docs, other))
+    assert a == b
+
+
+def test_texts_without_letters_and_without_models(spark):
+    docs = read_table(spark, SMALL, "documents").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(-1, None, "en"), (-2, "", None), (-3, "12 .. \u0301 😀", "en"), (-4, "𝔄𝔅", None), (-5, "the " * 400_000, None)], docs.schema)
+    got = {r.doc_id: r for r in language_id.language_id(docs.unionByName(odd)).collect()}
+    assert [got[i].lang_pred for i in (-1, -2, -3)] == ["und"] * 3 and {got[i].score for i in (-1, -2, -3)} == {0.0}
+    assert got[-4].lang_pred in {"en", "de", "fr", "es"} and got[-5].lang_pred == "en"
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in language_id.language_id(unlabelled).collect()} == {"und"}
+    assert language_id.language_id(docs.filter("false")).collect() == []
+
+
+def test_probabilities_sum_to_one_and_equal_the_textbook_formula(spark):
+    """Kneser-Ney by dictionaries, over the same characters."""
+    import numpy as np
+
+    from landfall.llm.frames import Workspace
+
+    texts = ["the cat sat on the mat", "a cat and the hat", "banana band"]
+    rows = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    work = Workspace(spark, "test-models")
+    model = language_id._fit(work, language_id._order_tables(work, rows))["en"]
+    grams: dict = {}
+    for text in texts:
+        padded = "   " + text
+        for i in range(3, len(padded)):
+            grams[padded[i - 3 : i + 1]] = grams.get(padded[i - 3 : i + 1], 0) + 1
+    tables = [grams]
+    for _ in range(3):
+        below: dict = {}
+        for g in tables[0]:
+            below[g[1:]] = below.get(g[1:], 0) + 1
+        tables.insert(0, below)
+
+    def probability(gram):
+        if not gram:
+            return 1 / 65536
+        table = tables[len(gram) - 1]
+        ones, twos = (sum(v == i for v in table.values()) for i in (1, 2))
+        d = ones / (ones + 2 * twos) if ones and twos else 0.5
+        after = [v for g, v in table.items() if g[:-1] == gram[:-1]]
+        if not after:
+            return probability(gram[1:])
+        return max(table.get(gram, 0) - d, 0) / sum(after) + d * len(after) / sum(after) * probability(gram[1:])
+
+    wanted = [*grams, "zzzz", "athe", "  qu"]
+    codes = np.array([sum(ord(c) << 16 * (3 - i) for i, c in enumerate(g)) for g in wanted], np.uint64)
+    assert np.allclose(model.probability(4, codes), [probability(g) for g in wanted])
+
+
+# --- chat ---
+
+def _digest(turns):
+    own = "".join(f"{role}\n{text}\n" for role, text in turns)
+    loss = "".join(text for role, text in turns if role == "assistant")
+    return len(turns), hashlib.sha256(own.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
+
+
+def _conversations(rows):
+    out: dict = {}
+    for r in sorted(rows, key=lambda r: (r.turn is not None, r.turn or 0, r.role or "", r.text or "")):
+        out.setdefault(r.conv_id, []).append((r.role or "", r.text or ""))
+    return out
+
+
+def test_conversations_are_read_back_whole(spark):
+    rows = queries_text.conversations(spark, SF)
+    expected = {c: _digest(t) for c, t in _conversations(rows.collect()).items()}
+    got = queries_text.op6_chat_format(spark, SF).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == expected
+    assert -7 in expected and all(r.formatted_chars > 0 for r in got)
+
+
+_piece = st.text(alphabet=st.sampled_from("\\#</turn>: \nab é"), max_size=12) | st.sampled_from(["###", "</turn>", "\\### Assistant: </turn> ok", "\\\\", "### user: x</turn>\n"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "system", "a: b\\", "###"]) | _piece, _piece), max_size=12), st.integers(8, 60), st.integers(0, 30))
+def test_windows_keep_budget_and_every_turn_once(turns, budget, history):
+    state, made = chat_format.Windows(budget, history), []
+    for role, text in turns:
+        made += state.add(role, text)
+    made += state.end()
+    own, targets = [], []
+    for number, w in enumerate(made):
+        new, found = chat_format.read_window(w["text"], w["n_repeated"], w["loss_starts"], w["loss_ends"])
+        assert w["window"] == number and len(new) + w["n_repeated"] == w["n_turns"] and new
+        assert w["size"] <= budget or len(new) == 1
+        whole, _ = chat_format.read_window(w["text"], 0, [], [])
+        repeated, before = whole[: w["n_repeated"]], own[:]
+        if repeated and before[0][0] == "system" and repeated[0] == before[0]:
+            repeated = repeated[1:]
+        assert repeated == before[len(before) - len(repeated) :]
+        own += new
+        targets += found
+    assert own == turns
+    assert targets == [text for role, text in turns if role == "assistant"]
+
+
+def test_chat_nulls_ties_and_no_rows(spark):
+    rows = spark.createDataFrame(
+        [(1, 0, None, None, 1), (1, 0, "assistant", "b", 1), (1, None, "user", "z", 1), (None, 0, "assistant", "x" * 200_000, 1), (2, 0, "assistant", "b", 1), (2, 0, "assistant", "b", 1)],
+        "conv_id long, turn long, role string, text string, window int",
+    )
+    made = chat_format.windows(rows)
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat_format.digests(made).collect()}
+    assert got == {c: _digest(t) for c, t in _conversations(rows.collect()).items()}
+    assert chat_format.digests(chat_format.windows(rows.filter("false"))).collect() == []
+
+
+@pytest.mark.parametrize("text", ["", "\\", "a\\</turn>\n", "######"])
+def test_escapes_are_undone(text):
+    assert chat_format.unescape(chat_format.escape(text)) == text
