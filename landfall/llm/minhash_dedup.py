@@ -96,8 +96,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     groups = similar.candidate_groups(work, nodes.select("node", "bands"))
     wanted = work.table(nodes.select("node", "first_doc").join(groups.select("node"), "node"), "wanted")
     readers = plain.join(small_or_plain(wanted.select(F.col("first_doc")).distinct()), F.col("doc_id").eqNullSafe(F.col("first_doc")), "left_semi")
-    sets = map_batches(readers, _sets(shingle), "node long, shingles binary").join(wanted.select("node"), "node", "left_semi")
-    sets = work.table(sets.dropDuplicates(["node"]), "sets")
+    sets = similar.one_of_each(work, map_batches(readers, _sets(shingle), "node long, shingles binary"), wanted.select("node"))
     found = connected_components(work, similar.links(work, groups, sets, percent), "links")
     members = work.table(found.join(nodes.select("node", "first_doc"), "node"), "linked")
     lowest = members.groupBy("component").agg(F.min("first_doc").alias("low"))

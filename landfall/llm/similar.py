@@ -52,7 +52,7 @@ def links(workspace: Workspace, groups: DataFrame, sets: DataFrame, percent: int
 
     The links have the same components as all links between the nodes of a group.
     """
-    members = workspace.table(groups.join(sets, "node"), "members")
+    members = workspace.table(sets.join(small_or_plain(groups), "node"), "members")
     centres = members.filter("node = component").select("component", F.col("shingles").alias("centre"))
     starred = members.filter("node <> component").join(centres, "component")
     starred = workspace.table(starred.mapInArrow(_against_centre(percent), "component long, node long, linked boolean"), "starred")
@@ -61,8 +61,8 @@ def links(workspace: Workspace, groups: DataFrame, sets: DataFrame, percent: int
     sizes = sizes.filter("rest > 0 and nodes > 1").select(
         "component", F.ceil(F.col("rest") / BLOCK).alias("blocks"), F.ceil(F.col("nodes") / SLICE).alias("slices")
     )
-    open_rows = starred.join(sizes, "component").join(members.select("node", "shingles"), "node")
-    open_rows = workspace.table(open_rows, "open")
+    waiting = workspace.table(starred.join(sizes, "component"), "waiting")
+    open_rows = workspace.table(members.select("node", "shingles").join(small_or_plain(waiting), "node"), "open")
     own = F.xxhash64("node")
     indexed = open_rows.filter("not linked").select(
         "component", F.pmod(own, "blocks").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"),
@@ -78,6 +78,16 @@ def links(workspace: Workspace, groups: DataFrame, sets: DataFrame, percent: int
     return workspace.table(first.unionByName(rest).distinct(), "links")
 
 
+def one_of_each(workspace: Workspace, sets: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The sets of the wanted nodes, each once. They are written where they were made; only those of nodes that came more
+    than once are grouped."""
+    found = workspace.table(sets.join(small_or_plain(wanted), "node", "left_semi"), "found-sets")
+    often = workspace.table(found.groupBy("node").count().filter("count > 1").select("node"), "repeated-sets")
+    once = found.join(small_or_plain(often), "node", "left_anti")
+    repeated = found.join(small_or_plain(often), "node", "left_semi").groupBy("node").agg(F.first("shingles").alias("shingles"))
+    return once.unionByName(repeated)
+
+
 def _array(shingles: bytes) -> np.ndarray:
     return np.frombuffer(shingles, np.uint64)
 
@@ -102,9 +112,9 @@ class _Block:
     """An index of some sets, against which others are compared."""
 
     def __init__(self, percent: int) -> None:
-        self.percent, self.nodes, self.linked, self.sets, self.index, self.parent = percent, [], [], [], None, {}
+        self.percent, self.nodes, self.sets, self.index, self.parent = percent, [], [], None, {}
 
-    def add(self, node: int, linked: bool, own: np.ndarray) -> None:
+    def add(self, node: int, own: np.ndarray) -> None:
         self.nodes.append(node)
         self.sets.append(own)
 
@@ -154,7 +164,7 @@ def _within_blocks(percent: int):
                 if streamed:
                     found += block.compare(node, component if linked else None, _array(shingles))
                 else:
-                    block.add(node, linked, _array(shingles))
+                    block.add(node, _array(shingles))
             a, b = ([x[i] for x in found] for i in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
