@@ -216,14 +216,15 @@ def test_passages_are_found_and_clean_documents_left(spark):
     found = substring_dedup.repeated_passages(frame).collect()
     assert {r.doc_id for r in found} == {*holds, 39, 54}
     for r in found:
-        w = brute.words(docs[r.doc_id])[r.first_word : r.first_word + r.n_words]
-        others = [d for d in docs if d != r.doc_id and b" ".join(w) in b" ".join(brute.words(docs[d]))]
+        w = b" ".join(brute.words(docs[r.doc_id])[r.first_word : r.first_word + r.n_words]).decode()
+        own = brute.shingle_set(w, 5)
+        others = [d for d in docs if d != r.doc_id and 100 * len(own & brute.shingle_set(docs[d], 5)) >= 80 * len(own)]
         assert others and r.component_id in (r.doc_id, *others)
         assert r.removed == (r.doc_id != r.component_id)
     covered = Counter()
     for r in found:
         covered[r.doc_id] += r.n_words
-    assert all(covered[d] >= 20 and covered[d] <= len(passages[p]) for d, p in holds.items())
+    assert all(20 <= covered[d] <= len(passages[p]) + 4 for d, p in holds.items())
     cut = {r.doc_id: r.text for r in substring_dedup.without_passages(frame, substring_dedup.repeated_passages(frame)).collect()}
     assert set(cut) == set(docs) and cut[50] is None and cut[30] == docs[30]
     removed = Counter()
