@@ -14,8 +14,10 @@ from fixtures.queries import (
     RETAINED_YEARS,
     ROUTE,
     ROUTE_DAY,
+    ROUTE_WEEK,
     SINCE,
     SMALL_BATCH,
+    VOYAGE_WEEK,
 )
 from fixtures.views import AS_OF, BATCH_AT, LINES_PER_DOCUMENT, ORDERS_PER_BLOCK, PRIOR_AT
 
@@ -73,6 +75,7 @@ WITH lines AS (
 ), docs AS (
   SELECT v.*, v.arrival - CAST(v.k % 5 AS INTEGER) AS zip_date,
          lpad(CAST((v.k // {ORDERS_PER_BLOCK} + v.part) % 1000000 AS VARCHAR), 6, '0') AS block,
+         (v.k // {ORDERS_PER_BLOCK} + v.part) // 1000000 AS round_no,
          'm_' || CAST(v.k AS VARCHAR) || CASE WHEN v.part > 0 THEN '_' || CAST(v.part AS VARCHAR) ELSE '' END || '.json' AS json_file_name,
          v.part * 4294967296 + 2 * v.k AS idx,
          v.k % 17 <> 0 AS parse_ok,
@@ -91,9 +94,9 @@ WITH lines AS (
          CASE WHEN NOT parse_ok THEN 'bad_json' WHEN scheduled_at IS NULL THEN 'bad_schedule'
               WHEN (voyage_number IS NULL AND n_best > 0) OR k % 37 = 0 OR (n_best > 0 AND bad_age) THEN 'bad_row'
               ELSE 'ok' END AS verdict,
-         CASE WHEN k % 31 = 0 THEN 'legacy_' || block || '_' || CAST(k % 7 AS VARCHAR) || '.zip'
-              ELSE 'drt_dq_' || strftime(zip_date, '%y%m%d') || '_' || block || '_' || lpad(CAST(k % 2 AS VARCHAR), 4, '0') || '.zip' END AS zip1,
-         'drt_dq_' || strftime(zip_date + 1, '%y%m%d') || '_' || block || '_0002.zip' AS zip2
+         CASE WHEN k % 31 = 0 THEN 'legacy_' || block || '_' || CAST(7 * round_no + k % 7 AS VARCHAR) || '.zip'
+              ELSE 'drt_dq_' || strftime(zip_date, '%y%m%d') || '_' || block || '_' || lpad(CAST(3 * round_no + k % 2 AS VARCHAR), 4, '0') || '.zip' END AS zip1,
+         'drt_dq_' || strftime(zip_date + 1, '%y%m%d') || '_' || block || '_' || lpad(CAST(3 * round_no + 2 AS VARCHAR), 4, '0') || '.zip' AS zip2
   FROM docs
 ), entries AS (
   SELECT *, zip1 AS zip_file_name, idx AS entry_index, false AS repeated, k % 3 = 0 AS prior FROM judged
@@ -259,10 +262,10 @@ def oracle_sql(lines_per_document: int = LINES_PER_DOCUMENT) -> dict[str, str]:
         f"AND departure_port_code = '{ROUTE['departure']}' AND week_of_year = {ROUTE['week']}"
     )
     bodies = {
+        "list_files": f"SELECT zip_file_name FROM archives WHERE zip_file_name > '{MARKER}'",
         "list_after_marker": f"SELECT zip_file_name FROM archives WHERE zip_file_name > '{MARKER}' ORDER BY 1",
         "next_marker": f"SELECT coalesce(max(zip_file_name), '{MARKER}') AS next_marker FROM archives WHERE NOT contains(zip_file_name, '{MARKER}')",
         "bootstrap_marker": "SELECT max(zip_file_name) AS marker FROM stored_zip",
-        "bootstrap_marker_empty": f"SELECT 'drt_dq_' || strftime(TIMESTAMP '{AS_OF}' - INTERVAL 1 DAY, '%y%m%d') || '_000000_0000.zip' AS marker",
         "last_persisted_file": "SELECT max(zip_file_name) AS last_file FROM stored_zip",
         "zip_scan": """SELECT zip_file_name, zip_ok, CAST(NULL AS BIGINT) AS entry_index, CAST(NULL AS VARCHAR) AS json_file_name,
             CAST(NULL AS BIGINT) AS occurrence, CAST(NULL AS VARCHAR) AS event_code FROM archives
@@ -349,6 +352,12 @@ def oracle_sql(lines_per_document: int = LINES_PER_DOCUMENT) -> dict[str, str]:
             AND event_code = '{ARRIVAL['event_code']}'""",
         "route_week_lookup": f"SELECT * FROM facts WHERE {route}",
         "route_week_day_lookup": f"SELECT * FROM facts WHERE {route} AND day_of_week = {ROUTE_DAY}",
+        "arrival_week_lookup": f"""SELECT {_LEDGER_COLUMNS} FROM stored_json WHERE arrival_port_code = '{VOYAGE_WEEK['port']}'
+            AND event_code = '{VOYAGE_WEEK['event_code']}' AND voyage_number = {VOYAGE_WEEK['voyage_number']}
+            AND weekofyear(scheduled) = {VOYAGE_WEEK['week']} AND year(scheduled) = {VOYAGE_WEEK['year']}""",
+        "route_week_year_lookup": f"""SELECT {_LEDGER_COLUMNS} FROM stored_json WHERE event_code = '{ROUTE_WEEK['event_code']}'
+            AND arrival_port_code = '{ROUTE_WEEK['arrival']}' AND departure_port_code = '{ROUTE_WEEK['departure']}'
+            AND weekofyear(scheduled) = {ROUTE_WEEK['week']} AND year(scheduled) = {ROUTE_WEEK['year']}""",
         "document_age_lookup": f"""SELECT * FROM facts WHERE event_code = '{DOCUMENT['event_code']}'
             AND arrival_port_code = '{DOCUMENT['arrival']}' AND document_type = '{DOCUMENT['document_type']}'
             AND nationality_country_code = '{DOCUMENT['nationality']}' AND age >= {DOCUMENT['min_age']}""",

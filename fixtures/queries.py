@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fixtures import archives
-from fixtures.views import AS_OF, BATCH_AT, Fixture, facts, inputs, instant, json_ledger, zip_ledger
+from fixtures.views import AS_OF, BATCH_AT, Fixture, dated, facts, inputs, instant, json_ledger, zip_ledger
 from landfall import schema
 from landfall.functions import dates, passengers, values
 from landfall.operators import backfill, classify, dedupe, quality, retention, rows
 from landfall.plans.ingest import classified
 from landfall.sources import documents, feed, tables
-from landfall.sources.archives import archive_rows
+from landfall.sources.archives import archive_files, archive_rows
 
 # Parameters of the registered queries; oracle.py uses the same ones.
 MARKER = "drt_dq_230701_000000_0000.zip"
@@ -32,6 +32,8 @@ FRESHNESS_SECONDS = [300, 200 * 24 * 60 * 60]
 ARRIVAL = {"port": "STN", "date": "2021-01-31", "event_code": "DC"}
 ROUTE = {"event_code": "DC", "arrival": "MAN", "departure": "P02", "week": 24}
 ROUTE_DAY = 0
+VOYAGE_WEEK = {"port": "EDI", "event_code": "DC", "voyage_number": 33, "week": 31, "year": 2025}
+ROUTE_WEEK = {"event_code": "CI", "arrival": "EDI", "departure": "P13", "week": 33, "year": 2023}
 DOCUMENT = {"event_code": "DC", "arrival": "LHR", "document_type": "I", "nationality": "N19", "min_age": 30}
 
 _ENTRY = ["zip_file_name", "entry_index", "json_file_name"]
@@ -69,17 +71,19 @@ def bootstrap_marker(spark, sf):
     return feed.bootstrap_marker(zip_ledger(spark, sf), instant(AS_OF))
 
 
-def bootstrap_marker_empty(spark, sf):
-    return feed.bootstrap_marker(zip_ledger(spark, sf).filter("processed_at is null"), instant(AS_OF))
-
-
 def last_persisted_file(spark, sf):
     return feed.last_persisted_file(zip_ledger(spark, sf))
 
 
+def list_files(spark, sf):
+    """The names of the zip files after the marker; no file is opened."""
+    return archive_files(spark, archives.drop_folder(spark, sf), after=MARKER).select("zip_file_name")
+
+
 def zip_scan(spark, sf):
-    """Archives built from the entries, read back as archives."""
-    return documents.parse(archive_rows(archives.zipped(inputs(spark, sf).archive_rows()))).select(
+    """Zip files in a folder, read as archives."""
+    files = archive_files(spark, archives.drop_folder(spark, sf))
+    return documents.parse(archive_rows(files)).select(
         "zip_file_name", "zip_ok", "entry_index", "json_file_name", "occurrence",
         F.col("manifest.EventCode").alias("event_code"),
     )
@@ -302,10 +306,10 @@ def oldest_date(spark, sf):
     return retention.oldest_date(zip_ledger(spark, sf))
 
 
-def _partly_populated(spark, sf) -> DataFrame:
+def _partly_populated(ledger: DataFrame) -> DataFrame:
     """The ledger with some rows still lacking their summary columns."""
     number = F.regexp_extract("json_file_name", r"m_([0-9]+)", 1).cast("long")
-    return json_ledger(spark, sf).withColumns(
+    return ledger.withColumns(
         {
             name: F.when(number % 11 != 0, F.col(name))
             for name in [*schema.VOYAGE_COLUMNS, *schema.COUNT_COLUMNS]
@@ -314,20 +318,19 @@ def _partly_populated(spark, sf) -> DataFrame:
 
 
 def earliest_unpopulated(spark, sf):
-    return backfill.earliest_unpopulated(_partly_populated(spark, sf), zip_ledger(spark, sf), SINCE)
+    return backfill.earliest_unpopulated(_partly_populated(json_ledger(spark, sf)), zip_ledger(spark, sf), SINCE)
 
 
 def backfill_summary(spark, sf):
     """Every dated archive from SINCE on."""
     return backfill.updated_rows(
-        _partly_populated(spark, sf), zip_ledger(spark, sf), facts(spark, sf), since=SINCE
+        _partly_populated(json_ledger(spark, sf)), zip_ledger(spark, sf), facts(spark, sf), since=SINCE
     )
 
 
 def backfill_one_date(spark, sf):
-    return backfill.updated_rows(
-        _partly_populated(spark, sf), zip_ledger(spark, sf), facts(spark, sf), date=PURGE_DATE
-    )
+    ledger, zips = (dated(spark, sf, table, PURGE_DATE) for table in (tables.JSON_LEDGER, tables.ZIP_LEDGER))
+    return backfill.updated_rows(_partly_populated(ledger), zips, facts(spark, sf), date=PURGE_DATE)
 
 
 def created_on_backfill(spark, sf):
@@ -342,7 +345,8 @@ def duplicate_ledger_rows(spark, sf):
 
 
 def duplicate_ledger_rows_for_date(spark, sf):
-    return quality.duplicate_ledger_rows(json_ledger(spark, sf), zip_ledger(spark, sf), PURGE_DATE)
+    ledger, zips = (dated(spark, sf, table, PURGE_DATE) for table in (tables.JSON_LEDGER, tables.ZIP_LEDGER))
+    return quality.duplicate_ledger_rows(ledger, zips, PURGE_DATE)
 
 
 # --- stored tables: retention ---------------------------------------------------------------------
@@ -356,7 +360,8 @@ def retention_target(spark, sf):
 
 
 def _names(spark, sf, limit) -> DataFrame:
-    return retention.purge_batch(json_ledger(spark, sf), zip_ledger(spark, sf), PURGE_DATE, limit)
+    ledger, zips = (dated(spark, sf, table, PURGE_DATE) for table in (tables.JSON_LEDGER, tables.ZIP_LEDGER))
+    return retention.purge_batch(ledger, zips, PURGE_DATE, limit)
 
 
 def purge_batch(spark, sf):
@@ -364,11 +369,11 @@ def purge_batch(spark, sf):
 
 
 def purge_remaining_fact(spark, sf):
-    return retention.remaining_facts(facts(spark, sf), _names(spark, sf, FULL_BATCH), FULL_BATCH)
+    return retention.remaining_facts(facts(spark, sf), _names(spark, sf, FULL_BATCH))
 
 
 def purge_remaining_json(spark, sf):
-    return retention.remaining_json(json_ledger(spark, sf), _names(spark, sf, FULL_BATCH), FULL_BATCH)
+    return retention.remaining_json(json_ledger(spark, sf), _names(spark, sf, FULL_BATCH))
 
 
 def purge_remaining_zip(spark, sf):
@@ -422,6 +427,14 @@ def route_week_day_lookup(spark, sf):
     return quality.route_week(facts(spark, sf), **ROUTE, day=ROUTE_DAY)
 
 
+def arrival_week_lookup(spark, sf):
+    return quality.arrivals_in_week(json_ledger(spark, sf), **VOYAGE_WEEK)
+
+
+def route_week_year_lookup(spark, sf):
+    return quality.route_documents(json_ledger(spark, sf), **ROUTE_WEEK)
+
+
 def document_age_lookup(spark, sf):
     return quality.document_age(facts(spark, sf), **DOCUMENT)
 
@@ -448,8 +461,8 @@ _SQL_KEYS = {"json_ledger": json_ledger_rows, "zip_ledger": zip_ledger_rows}
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
-        list_after_marker, next_marker, bootstrap_marker, bootstrap_marker_empty, last_persisted_file,
-        zip_scan, parse_manifest, ingest_batch, passenger_fact, interactive_passengers,
+        list_after_marker, next_marker, bootstrap_marker, last_persisted_file,
+        list_files, zip_scan, parse_manifest, ingest_batch, passenger_fact, interactive_passengers,
         non_interactive_passengers, best_passengers, has_interactive, ingest_counts, classify_outcome,
         quarantine_json, suspicious_date, schema_limit_violations, zip_totals, run_metrics,
         first_occurrence, unprocessed_entries, json_has_been_processed, ledger_after_batch, created_on,
@@ -460,6 +473,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         purge_remaining_fact, purge_remaining_json, purge_remaining_zip, purge_counts,
         purge_counts_partial, delete_fact_by_json, delete_json_by_name, delete_zip_by_name,
         pipeline_freshness, arrival_lookup, route_week_lookup, route_week_day_lookup,
-        document_age_lookup, stream_ingest, stream_replay,
+        arrival_week_lookup, route_week_year_lookup, document_age_lookup, stream_ingest, stream_replay,
     ]
     return {function.__name__: function for function in named} | _SQL_KEYS

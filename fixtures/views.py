@@ -92,18 +92,19 @@ class Fixture:
         """Every entry of every archive without its content; plus `repeat`, `second` and `prior`."""
         k, part = F.col("k"), F.col("part")
         arrival = F.add_months(F.to_date("o_orderdate"), 24 * 12)
-        block = _padded((F.expr("k div %d" % ORDERS_PER_BLOCK) + part) % 1_000_000, 6)
+        blocks = F.expr("k div %d" % ORDERS_PER_BLOCK) + part
+        block, round_no = _padded(blocks % 1_000_000, 6), F.floor(blocks / 1_000_000)
 
         def dated(date: Column, number: Column) -> Column:
             return F.concat(
                 F.lit("drt_dq_"), F.date_format(date, "yyMMdd"),
-                F.lit("_"), block, F.lit("_"), number, F.lit(".zip"),
+                F.lit("_"), block, F.lit("_"), _padded(3 * round_no + number, 4), F.lit(".zip"),
             )
 
         first = F.when(
-            k % 31 == 0, F.concat(F.lit("legacy_"), block, F.lit("_"), (k % 7).cast("string"), F.lit(".zip"))
-        ).otherwise(dated(F.col("zip_date"), _padded(k % 2, 4)))
-        second = dated(F.date_add("zip_date", 1), F.lit("0002"))
+            k % 31 == 0, F.concat(F.lit("legacy_"), block, F.lit("_"), (7 * round_no + k % 7).cast("string"), F.lit(".zip"))
+        ).otherwise(dated(F.col("zip_date"), k % 2))
+        second = dated(F.date_add("zip_date", 1), F.lit(2))
         index = part * 2**32 + 2 * k
 
         def entry(name: Column, at: Column, repeat: bool, is_second: bool) -> Column:
@@ -266,3 +267,8 @@ def json_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def zip_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored(spark, sf_dir).read(tables.ZIP_LEDGER)
+
+
+def dated(spark: SparkSession, sf_dir: str, table: str, date: str) -> DataFrame:
+    """The rows of a ledger that can belong to a date; other partitions are not read."""
+    return stored(spark, sf_dir).ledger_of_date(table, date).drop(*tables.PARTITIONS)

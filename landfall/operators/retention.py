@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from landfall.functions import dates
 
-# A batch of names up to this many is sent to every task; a larger one is joined by shuffle.
-BROADCAST_NAMES = 100_000
-
 
 def oldest_date(zip_ledger: DataFrame) -> DataFrame:
     return zip_ledger.agg(F.min("created_on").alias("oldest_date"))
@@ -40,18 +37,17 @@ def purge_batch(json_ledger: DataFrame, zip_ledger: DataFrame, date: str, limit:
     )
 
 
-def _by_name(rows: DataFrame, names: DataFrame, column: str, limit: int, how: str) -> DataFrame:
-    keys = names.select(F.col("json_file_name").alias(column)).distinct()
-    return rows.join(F.broadcast(keys) if limit <= BROADCAST_NAMES else keys, column, how)
+def _by_name(rows: DataFrame, names: DataFrame, column: str, how: str) -> DataFrame:
+    return rows.join(names.select(F.col("json_file_name").alias(column)).distinct(), column, how)
 
 
-def remaining_facts(facts: DataFrame, names: DataFrame, limit: int) -> DataFrame:
-    return _by_name(facts, names, "json_file", limit, "left_anti").select(*facts.columns)
+def remaining_facts(facts: DataFrame, names: DataFrame) -> DataFrame:
+    return _by_name(facts, names, "json_file", "left_anti").select(*facts.columns)
 
 
-def remaining_json(json_ledger: DataFrame, names: DataFrame, limit: int) -> DataFrame:
+def remaining_json(json_ledger: DataFrame, names: DataFrame) -> DataFrame:
     """Deletion goes by name alone, so rows of the same name under another date go as well."""
-    return _by_name(json_ledger, names, "json_file_name", limit, "left_anti").select(*json_ledger.columns)
+    return _by_name(json_ledger, names, "json_file_name", "left_anti").select(*json_ledger.columns)
 
 
 def closing_date(zip_ledger: DataFrame, names: DataFrame, date: str, limit: int) -> DataFrame:
@@ -81,10 +77,10 @@ def purge_counts(
     """One row: deleted facts, documents and archives."""
     closing = F.broadcast(closing_date(zip_ledger, names, date, limit))
     gone = [
-        ("deleted_manifests", _by_name(facts.select("json_file"), names, "json_file", limit, "left_semi")),
+        ("deleted_manifests", _by_name(facts.select("json_file"), names, "json_file", "left_semi")),
         (
             "deleted_jsons",
-            _by_name(json_ledger.select("json_file_name"), names, "json_file_name", limit, "left_semi"),
+            _by_name(json_ledger.select("json_file_name"), names, "json_file_name", "left_semi"),
         ),
         ("deleted_zips", zip_ledger.select("created_on").join(closing, "created_on", "left_semi")),
     ]

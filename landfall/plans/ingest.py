@@ -27,8 +27,8 @@ def classified(
     names: DataFrame | None = None,
     exceptions_path: str | None = None,
 ) -> DataFrame:
-    """Outcome per entry: parsed and judged row by row, then matched with the few pairs that repeat or are
-    recorded already.
+    """Outcome per entry: matched with the few pairs that repeat or are recorded already, then parsed and judged
+    row by row. What is known already is not parsed.
 
     Those pairs are found first, from narrow keys, and written. The planner then knows their size: it sends
     them to the documents if they are small, so that no document is shuffled, and else joins by shuffle.
@@ -42,8 +42,9 @@ def classified(
         exceptional = dedupe.exceptions(keys, recorded)
     path = exceptions_path or fresh_path(archive_rows.sparkSession, "exceptions")
     exceptional = tables.written(exceptional, path)
-    assessed = classify.assess(documents.parse(archive_rows))
-    return classify.with_outcome(dedupe.mark_processed(assessed, exceptional))
+    marked = dedupe.mark_processed(archive_rows, exceptional)
+    fresh = marked.withColumn("content", F.when(~F.col("already_processed"), F.col("content")))
+    return classify.with_outcome(classify.assess(documents.parse(fresh)))
 
 
 def run_batch(
@@ -56,9 +57,15 @@ def run_batch(
     """Classify once, then write facts, JSON ledger and zip ledger from the written classification.
 
     `names` lists the archives in `archive_rows`; it is used instead of the rows themselves so that no
-    archive is opened just to look up its name in the ledger. Repeating a batch id replaces what that
-    batch wrote, and only what earlier batches recorded counts as processed.
+    archive is opened just to look up its name in the ledger. The batch counts once its commit record is
+    written, after the three tables. A committed id with the same archives is not done again and gives the
+    recorded metrics; with other archives it is refused. Only what earlier batches recorded counts as processed.
     """
+    archives_now = names.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("zip_file_name")), F.lit(0))).first()
+    done = store.committed(batch_id)
+    if done is not None and (done.archives, done.names) == tuple(archives_now):
+        return RunMetrics(done.manifests_processed, done.zip_failures, done.zips_processed)
+    store.start_batch(batch_id)
     with scratch(store.spark, "ingest") as folder:
         observed = Observation()
         recorded = store.recorded_for(names, batch_id)
@@ -68,20 +75,24 @@ def run_batch(
         store.write_batch(tables.JSON_LEDGER, rows.json_ledger_rows(staged, processed_at), batch_id)
         totals = rows.zip_totals(staged)
         store.write_batch(tables.ZIP_LEDGER, rows.zip_ledger_rows(totals, processed_at), batch_id)
-        return RunMetrics(**observed.get)
+        metrics = RunMetrics(**observed.get)
+    store.commit(batch_id, *archives_now, (metrics.manifests_processed, metrics.zip_failures, metrics.zips_processed))
+    return metrics
 
 
 def ingest_new_files(
     store: Store, path: str, as_of: Column, processed_at: Column | None = None
 ) -> RunMetrics:
     """One batch of every archive named after the last recorded one (or after the day before `as_of` where
-    nothing is recorded), for runs that are scheduled rather than streamed."""
+    nothing is recorded), for runs that are scheduled rather than streamed. A run that broke off has recorded
+    nothing, so the next one takes its archives and its batch id again."""
     marker = feed.bootstrap_marker(store.read(tables.ZIP_LEDGER), as_of).first().marker
+    at = as_of if processed_at is None else processed_at
     files = feed.without_marker(archives.archive_files(store.spark, path, after=marker), marker)
     batch_id = store.last_batch_id() + 1
-    return run_batch(
-        store, archives.archive_rows(files), files, batch_id, as_of if processed_at is None else processed_at
-    )
+    metrics = run_batch(store, archives.archive_rows(files), files, batch_id, at)
+    store.record_check(at)
+    return metrics
 
 
 def _staged(found: DataFrame, observed: Observation) -> DataFrame:

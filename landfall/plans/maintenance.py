@@ -1,4 +1,4 @@
-"""Purge and backfill of the stored tables, rewriting only the partitions they touch."""
+"""Purge, backfill and compaction of the stored tables, rewriting only the partitions they touch."""
 
 from __future__ import annotations
 
@@ -20,67 +20,64 @@ class PurgeCounts:
     zips: int = 0
 
 
-def _delete(store: Store, table: str, hit: DataFrame, column: str, folder: str) -> int:
-    """Delete rows whose `column` is in `hit` (distinct keys). Returns how many went.
+def _delete(store: Store, table: str, stored: DataFrame, column: str, keys: list[str], folder: str) -> int:
+    """Delete rows of `stored`, committed rows of the table, whose `column` is one of few `keys`. Returns how many went.
 
-    One pass over the key column finds the touched partitions. Only their list, one short row per
-    partition directory, comes to the driver.
+    The keys are literals, so the scan prunes by them. Only the list of touched partitions comes to the driver.
     """
-    stored = store.partitioned(table)
-    flagged = stored.select(column, *PARTITIONS).join(
-        hit.withColumn("_hit", F.lit(True)), column, "left"
-    )
-    touched = (
-        flagged.groupBy(*PARTITIONS)
-        .agg(F.count("*").alias("rows"), F.count("_hit").alias("hits"))
-        .filter("hits > 0")
-    )
+    if not keys:
+        return 0
+    hit = F.col(column).isin(keys)
+    touched = stored.filter(hit).groupBy(*PARTITIONS).agg(F.count("*").alias("hits"))
     touched = tables.written(touched, f"{folder}/touched-{table}")
-    shrunk = touched.filter("hits < rows").select(*PARTITIONS)
-    if not shrunk.isEmpty():
-        kept = stored.join(shrunk, PARTITIONS, "left_semi").join(hit, column, "left_anti")
-        store.replace_partitions(table, kept.select(*stored.columns))
-    emptied = touched.filter("hits = rows").select(*PARTITIONS).collect()
-    store.drop_partitions(table, [(r.period, r.batch_id) for r in emptied])
-    return touched.agg(F.coalesce(F.sum("hits"), F.lit(0))).first()[0]
+    periods = [row[0] for row in touched.select("period").distinct().collect()]
+    if not periods:
+        return 0
+    near = stored.filter(F.col("period").isin(periods)).join(touched.select(*PARTITIONS), PARTITIONS, "left_semi")
+    store.rewrite(table, near.filter(~F.coalesce(hit, F.lit(False))).select(*stored.columns), touched)
+    return touched.agg(F.sum("hits")).first()[0]
 
 
 def purge_date(store: Store, date: str, limit: int) -> PurgeCounts:
     """Delete up to `limit` documents of the date from facts and JSON ledger, and the date's archives
-    with the last batch. Facts go first: a run that breaks off selects the same names again."""
+    with the last batch. Facts go first: a run that breaks off selects the same names again.
+
+    The ledgers are read in the date's partitions only, but for the deleted names, at most `limit`, which
+    the tables are searched for."""
+    store.recover()
     with scratch(store.spark, "purge") as folder:
-        zip_ledger = store.read(tables.ZIP_LEDGER)
-        names = tables.written(
-            retention.purge_batch(store.read(tables.JSON_LEDGER), zip_ledger, date, limit), f"{folder}/names"
-        )
-        closing = tables.written(
-            retention.closing_date(zip_ledger, names, date, limit), f"{folder}/closing"
-        )
-        json_names = names.select("json_file_name").distinct()
-        fact_names = json_names.withColumnRenamed("json_file_name", "json_file")
+        zip_ledger = store.ledger_of_date(tables.ZIP_LEDGER, date).drop(*PARTITIONS)
+        json_ledger = store.ledger_of_date(tables.JSON_LEDGER, date).drop(*PARTITIONS)
+        names = tables.written(retention.purge_batch(json_ledger, zip_ledger, date, limit), f"{folder}/names")
+        closing = retention.closing_date(zip_ledger, names, date, limit).collect()
+        keys = [row[0] for row in names.select("json_file_name").distinct().collect()]
+        closed = [row.created_on for row in closing]
+        facts, jsons = store.partitioned(tables.PASSENGER_FACT), store.partitioned(tables.JSON_LEDGER)
+        dated = store.ledger_of_date(tables.ZIP_LEDGER, date)
         return PurgeCounts(
-            _delete(store, tables.PASSENGER_FACT, fact_names, "json_file", folder),
-            _delete(store, tables.JSON_LEDGER, json_names, "json_file_name", folder),
-            _delete(store, tables.ZIP_LEDGER, closing, "created_on", folder),
+            _delete(store, tables.PASSENGER_FACT, facts, "json_file", keys, folder),
+            _delete(store, tables.JSON_LEDGER, jsons, "json_file_name", keys, folder),
+            _delete(store, tables.ZIP_LEDGER, dated, "created_on", closed, folder),
         )
 
 
-def _delete_key(store: Store, table: str, column: str, key: str) -> int:
-    hit = store.spark.createDataFrame([(key,)], f"{column} string")
+def _delete_key(store: Store, table: str, stored: DataFrame, column: str, key: str) -> int:
+    store.recover()
     with scratch(store.spark, "delete") as folder:
-        return _delete(store, table, hit, column, folder)
+        return _delete(store, table, stored, column, [key], folder)
 
 
 def delete_facts(store: Store, json_file: str) -> int:
-    return _delete_key(store, tables.PASSENGER_FACT, "json_file", json_file)
+    return _delete_key(store, tables.PASSENGER_FACT, store.partitioned(tables.PASSENGER_FACT), "json_file", json_file)
 
 
 def delete_json(store: Store, json_file_name: str) -> int:
-    return _delete_key(store, tables.JSON_LEDGER, "json_file_name", json_file_name)
+    return _delete_key(store, tables.JSON_LEDGER, store.partitioned(tables.JSON_LEDGER), "json_file_name", json_file_name)
 
 
 def delete_zip(store: Store, zip_file_name: str) -> int:
-    return _delete_key(store, tables.ZIP_LEDGER, "zip_file_name", zip_file_name)
+    stored = store.ledger_of_archive(tables.ZIP_LEDGER, zip_file_name)
+    return _delete_key(store, tables.ZIP_LEDGER, stored, "zip_file_name", zip_file_name)
 
 
 def purge_expired(store: Store, as_of: Column, years: int, limit: int) -> PurgeCounts:
@@ -91,25 +88,42 @@ def purge_expired(store: Store, as_of: Column, years: int, limit: int) -> PurgeC
     return purge_date(store, target.purge_date, limit)
 
 
+def purge_expired_date(store: Store, as_of: Column, years: int, limit: int) -> PurgeCounts:
+    """Batches of `limit` documents until the oldest expired date is closed."""
+    target = retention.retention_target(store.read(tables.ZIP_LEDGER), as_of, years).first()
+    total = PurgeCounts()
+    while target is not None and target.purge_date is not None:
+        done = purge_date(store, target.purge_date, limit)
+        total = PurgeCounts(total.manifests + done.manifests, total.jsons + done.jsons, total.zips + done.zips)
+        if done.zips or done == PurgeCounts():
+            break
+    return total
+
+
 def backfill_summary(store: Store, date: str | None = None, since: str | None = None) -> int:
     """Recompute the summary columns for one date, or for all from `since` on. Returns rows updated."""
-    ledger = store.partitioned(tables.JSON_LEDGER)
-    zips, facts = store.read(tables.ZIP_LEDGER), store.read(tables.PASSENGER_FACT)
+    store.recover()
+    if date is None:
+        ledger, zips = store.partitioned(tables.JSON_LEDGER), store.read(tables.ZIP_LEDGER)
+    else:
+        ledger = store.ledger_of_date(tables.JSON_LEDGER, date)
+        zips = store.ledger_of_date(tables.ZIP_LEDGER, date).drop(*PARTITIONS)
     with scratch(store.spark, "backfill") as folder:
         updated = tables.written(
-            backfill.updated_rows(ledger, zips, facts, date, since), f"{folder}/updated"
+            backfill.updated_rows(ledger, zips, store.read(tables.PASSENGER_FACT), date, since), f"{folder}/updated"
         )
         touched = updated.select(*PARTITIONS).distinct()
         archives = updated.select("zip_file_name").distinct()
         others = ledger.join(touched, PARTITIONS, "left_semi").join(archives, "zip_file_name", "left_anti")
         changed = updated.count()
         if changed:
-            store.replace_partitions(tables.JSON_LEDGER, updated.unionByName(others).select(*ledger.columns))
+            store.rewrite(tables.JSON_LEDGER, updated.unionByName(others).select(*ledger.columns), touched)
         return changed
 
 
 def backfill_created_on(store: Store) -> int:
     """Fill missing archive dates where the name holds one. Returns rows updated."""
+    store.recover()
     zips = store.partitioned(tables.ZIP_LEDGER)
     filled = F.col("created_on").isNull() & F.col("filled_on").isNotNull()
     with scratch(store.spark, "created-on") as folder:
@@ -127,5 +141,22 @@ def backfill_created_on(store: Store) -> int:
         )
         changed = touched.agg(F.coalesce(F.sum("changed"), F.lit(0))).first()[0]
         if changed:
-            store.replace_partitions(tables.ZIP_LEDGER, rewritten.select(*zips.columns))
+            store.rewrite(tables.ZIP_LEDGER, rewritten.select(*zips.columns), touched)
         return changed
+
+
+def compact(store: Store) -> None:
+    """Merge the batches of each period into its last one, so that the number of files follows the periods and not the
+    batches, and the commit records into the last. Run it now and then, between batches."""
+    store.recover()
+    for table in tables.SCHEMAS:
+        stored = store.partitioned(table)
+        per_period = stored.select(*PARTITIONS).distinct().groupBy("period").agg(F.count("*").alias("batches"), F.max("batch_id").alias("last"))
+        with scratch(store.spark, "compact") as folder:
+            many = tables.written(per_period.filter("batches > 1").select("period", "last"), f"{folder}/{table}")
+            if many.isEmpty():
+                continue
+            rows = stored.join(many, "period").withColumn("batch_id", F.col("last"))
+            touched = stored.select(*PARTITIONS).distinct().join(many, "period").select(*PARTITIONS)
+            store.rewrite(table, rows.select(*stored.columns), touched)
+    store.forget_commits()

@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.requireAllClusterKeysForDistribution": "true",
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
+    # Look-ups by a purge's names reach the Bloom filters one by one instead of as a range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
 }
 
 
@@ -48,9 +50,20 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/landfall-{label}-{uuid.uuid4().hex}"
 
 
-def remove(spark: SparkSession, path: str) -> None:
+def _on(spark: SparkSession, path: str):
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), folder
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, folder = _on(spark, path)
+    files.delete(folder, True)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none where there is no folder."""
+    files, folder = _on(spark, path)
+    return sorted(status.getPath().getName() for status in files.listStatus(folder)) if files.exists(folder) else []
 
 
 @contextmanager

@@ -1,14 +1,24 @@
-"""Zip archives of manifest documents, from any file system Spark can list.
+"""Zip archives of manifest documents, from any file system Spark can list and Arrow can open.
 
 An archive becomes one header row (`entry_index` null) and one row per entry. A header row says
 whether the archive could be read; an unreadable one has no entry rows at all.
+
+Spark lists the files; their content never is in a row. A task opens an archive by its path, reads the central directory and
+names ranges of entries; the ranges are spread over tasks, which read and unpack their own bytes only. So a long archive
+is the work of many tasks, and none holds more of it than a range.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import io
+import re
+import zipfile
+from collections.abc import Callable, Iterator
+from typing import BinaryIO
+from urllib.parse import quote
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,27 +26,46 @@ ARCHIVE_ROW = (
     "zip_file_name string, zip_ok boolean, entry_index bigint, json_file_name string, "
     "occurrence bigint, content string"
 )
-# The largest array a row can hold; a longer object is reported as unreadable without fetching it.
-LONGEST_ARCHIVE = 2**31 - 1024
-# A longer archive's entries are spread over tasks before they are parsed; the others stay where they are.
-SPREAD_ABOVE = 128 * 1024 * 1024
+_COLUMNS = pa.schema(
+    [
+        ("zip_file_name", pa.string()), ("zip_ok", pa.bool_()), ("entry_index", pa.int64()),
+        ("json_file_name", pa.string()), ("occurrence", pa.int64()), ("content", pa.string()),
+    ]
+)
+_RANGE_ROW = "zip_file_name string, path string, range_no bigint, ranges bigint, first_entry bigint, past_entry bigint, zip_ok boolean"
+_RANGE_COLUMNS = ["zip_file_name", "path", "range_no", "ranges", "first_entry", "past_entry", "zip_ok"]
+# Unpacked bytes of the entries that are read, checked and handed on at once.
+PIECE = 16 * 1024 * 1024
+# What an archive with at least one entry starts with; the most bytes a cell can hold.
+ENTRY_SIGNATURE = b"PK\x03\x04"
+CELL = 2**31 - 1
 
 
-def archive_files(spark: SparkSession, path: str, after: str | None = None) -> DataFrame:
-    """zip_file_name, length, content. `after` keeps later names only.
+def filesystem(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """Arrow's file system of a path as Spark writes it, and the path in it."""
+    scheme = re.match(r"([a-z][a-z0-9+.-]*):/", path)
+    if scheme is None or scheme[1] == "file":
+        return pyarrow.fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
+    return pyarrow.fs.FileSystem.from_uri(quote(re.sub(r"^s3[an]:", "s3:", path), safe=":/@"))
 
-    The name test is on the file metadata, so files at or before the marker are never opened.
-    """
+
+def open_file(path: str) -> BinaryIO:
+    files, inside = filesystem(path)
+    return files.open_input_file(inside)
+
+
+def archive_files(spark: SparkSession, path: str, after: str | None = None) -> DataFrame:
+    """zip_file_name, path, length of each file. `after` keeps later names only."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     name = F.col("_metadata.file_name")
     if after is not None:
         files = files.filter(name > after)
-    return files.select(name.alias("zip_file_name"), "length", "content")
+    return files.select(name.alias("zip_file_name"), "path", "length")
 
 
 def archive_stream(spark: SparkSession, path: str, files_per_batch: int, **options) -> DataFrame:
-    """Every file once. Options go to the file source: with many old files, `cleanSource` or `maxFileAge`
-    keeps the listing of each batch short."""
+    """Every file once, as names, paths and lengths. Options go to the file source: with many old files, `cleanSource` or
+    `maxFileAge` keeps the listing of each batch short."""
     return (
         spark.readStream.format("binaryFile")
         .options(**options)
@@ -44,96 +73,135 @@ def archive_stream(spark: SparkSession, path: str, files_per_batch: int, **optio
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(path)
-        .select(F.col("_metadata.file_name").alias("zip_file_name"), "length", "content")
+        .select(F.col("_metadata.file_name").alias("zip_file_name"), "path", "length")
     )
 
 
-def _exploder():
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import io
-        import zipfile
-
-        import pyarrow as pa
-
-        # What an archive with at least one entry starts with.
-        entry_signature = b"PK\x03\x04"
-        held_in_memory = 64 * 1024 * 1024
-        flush_at = 16 * 1024 * 1024
-        columns = pa.schema(
-            [
-                ("zip_file_name", pa.string()),
-                ("zip_ok", pa.bool_()),
-                ("entry_index", pa.int64()),
-                ("json_file_name", pa.string()),
-                ("occurrence", pa.int64()),
-                ("content", pa.string()),
-            ]
-        )
-
-        def texts(archive, infos):
-            for info in infos:
-                yield info.filename, archive.read(info).decode("utf-8", "replace")
-
-        def entries(data):
-            """Name and text per entry; raises before the first one is handed out."""
-            if not data.startswith(entry_signature):
-                return iter(())
-            archive = zipfile.ZipFile(io.BytesIO(data), metadata_encoding="utf-8")
-            infos = sorted(archive.infolist(), key=lambda info: info.header_offset)
-            if sum(info.file_size for info in infos) <= held_in_memory:
-                return iter(list(texts(archive, infos)))
-            if archive.testzip() is not None:
-                raise zipfile.BadZipFile("checksum")
-            return texts(archive, infos)
-
-        def rows(name, data):
-            try:
-                found = entries(data)
-            except MemoryError:
-                raise
-            except Exception:
-                yield name, False, None, None, None, None
-                return
-            yield name, True, None, None, None, None
-            seen = {}
-            for index, (json_name, text) in enumerate(found):
-                seen[json_name] = seen.get(json_name, 0) + 1
-                yield name, True, index, json_name, seen[json_name], text
-
-        def to_batch(rows):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(values, field.type) for values, field in zip(zip(*rows), columns)],
-                schema=columns,
-            )
-
-        for batch in batches:
-            pending, size = [], 0
-            for name, data in zip(batch.column("zip_file_name"), batch.column("content")):
-                for row in rows(name.as_py(), data.as_py()):
-                    pending.append(row)
-                    size += 64 + len(row[5] or "")
-                    if size >= flush_at:
-                        yield to_batch(pending)
-                        pending, size = [], 0
-            if pending:
-                yield to_batch(pending)
-
-    return explode
+def _opened(file: BinaryIO) -> tuple[zipfile.ZipFile | None, list[zipfile.ZipInfo]]:
+    """The archive and its entries in order; nothing for content that does not begin like one."""
+    start = file.read(len(ENTRY_SIGNATURE))
+    file.seek(0)
+    if start != ENTRY_SIGNATURE:
+        return None, []
+    archive = zipfile.ZipFile(file, metadata_encoding="utf-8")
+    infos = sorted(archive.infolist(), key=lambda info: info.header_offset)
+    if any(info.file_size > CELL for info in infos):
+        raise zipfile.BadZipFile("an entry is longer than a cell can be")
+    return archive, infos
+
+
+def _cut(infos: list[zipfile.ZipInfo]) -> list[tuple[int, int]]:
+    """Ranges of entries of about PIECE unpacked bytes, one entry at least."""
+    ranges, first, held = [], 0, 0
+    for at, info in enumerate(infos):
+        if held and held + info.file_size > PIECE:
+            ranges.append((first, at))
+            first, held = at, 0
+        held += info.file_size
+    return [*ranges, (first, len(infos))]
+
+
+def _batch(rows: list[tuple], columns: pa.Schema = _COLUMNS) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(columns)], schema=columns)
+
+
+def _rows(name: str, archive: zipfile.ZipFile | None, infos: list[zipfile.ZipInfo], first: int, past: int) -> list[tuple]:
+    """Rows of the entries of a range; reading one checks its sum."""
+    seen: dict[str, int] = {}
+    for info in infos[:first]:
+        seen[info.filename] = seen.get(info.filename, 0) + 1
+    out = []
+    for at in range(first, past):
+        info = infos[at]
+        seen[info.filename] = seen.get(info.filename, 0) + 1
+        out.append((name, True, at, info.filename, seen[info.filename], archive.read(info).decode("utf-8", "replace")))
+    return out
+
+
+def _attempt(action: Callable):
+    """What the action gives, or None if the archive cannot be read; running out of memory is not the archive's fault."""
+    try:
+        return action()
+    except MemoryError:
+        raise
+    except Exception:
+        return None
+
+
+def _list_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ranges(path: str) -> list[tuple[int, int]]:
+        with open_file(path) as file:
+            return _cut(_opened(file)[1])
+
+    for batch in batches:
+        rows = []
+        for name, path in zip(batch.column("zip_file_name").to_pylist(), batch.column("path").to_pylist()):
+            found = _attempt(lambda: ranges(path))
+            if found is None:
+                rows.append((name, path, 0, 1, 0, 0, False))
+            else:
+                rows += [(name, path, number, len(found), first, past, True) for number, (first, past) in enumerate(found)]
+        types = [pa.string(), pa.string(), *[pa.int64()] * 4, pa.bool_()]
+        yield _batch(rows, pa.schema(list(zip(_RANGE_COLUMNS, types))))
+
+
+def _read_range(row: dict) -> list[tuple] | None:
+    def read() -> list[tuple]:
+        with open_file(row["path"]) as file:
+            return _rows(row["zip_file_name"], *_opened(file), row["first_entry"], row["past_entry"])
+
+    return _attempt(read) if row["zip_ok"] else None
+
+
+def _check_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        broken = [row["path"] for row in batch.to_pylist() if _read_range(row) is None]
+        yield pa.RecordBatch.from_arrays([pa.array(broken, pa.string())], ["broken"])
+
+
+def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for row in batch.to_pylist():
+            found = None if row["broken"] else _read_range(row)
+            if row["range_no"] == 0:
+                yield _batch([(row["zip_file_name"], found is not None, None, None, None, None)])
+            elif found is None and not row["broken"]:
+                raise OSError(f"{row['path']} could be read before, and now cannot")
+            if found:
+                yield _batch(found)
+
+
+def _explode_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Archives whose bytes are in the rows. They are checked whole before a row is handed on."""
+    for batch in batches:
+        for name, content in zip(batch.column("zip_file_name").to_pylist(), batch.column("content").to_pylist()):
+            def checked():
+                archive, infos = _opened(io.BytesIO(content))
+                if archive is not None and archive.testzip() is not None:
+                    raise zipfile.BadZipFile("checksum")
+                return archive, infos, _cut(infos)
+
+            found = _attempt(checked)
+            yield _batch([(name, found is not None, None, None, None, None)])
+            if found:
+                archive, infos, ranges = found
+                for first, past in ranges:
+                    yield _batch(_rows(name, archive, infos, first, past))
 
 
 def archive_rows(files: DataFrame) -> DataFrame:
-    """Header and entry rows of `files` (zip_file_name, content and, from a file source, length)."""
-    def exploded(some: DataFrame) -> DataFrame:
-        return some.select("zip_file_name", "content").mapInArrow(_exploder(), ARCHIVE_ROW)
-
-    if "length" not in files.columns:
-        return exploded(files)
-    # The file source tests the length before it opens a file, so each branch fetches its own files only.
-    length = F.col("length")
-    usual = exploded(files.filter(length <= SPREAD_ABOVE))
-    large = exploded(files.filter((length > SPREAD_ABOVE) & (length <= LONGEST_ARCHIVE)))
-    oversized = unreadable_headers(files.filter(length > LONGEST_ARCHIVE))
-    return usual.unionByName(large.hint("rebalance")).unionByName(oversized, allowMissingColumns=True)
+    """Header and entry rows of `files`: zip_file_name and either path, from a file source, or content.
+
+    An archive is read whole or not at all. One of a single range is checked as it is read; the ranges of a longer one are
+    checked before any is handed on, since one of them may fail while others are done.
+    """
+    if "content" in files.columns:
+        return files.select("zip_file_name", "content").mapInArrow(_explode_content, ARCHIVE_ROW)
+    listed = files.select("zip_file_name", "path").mapInArrow(_list_ranges, _RANGE_ROW)
+    spread = listed.repartition("path", "range_no")
+    broken = spread.filter("ranges > 1").mapInArrow(_check_ranges, "broken string").distinct()
+    marked = spread.join(broken, F.col("path") == F.col("broken"), "left")
+    return marked.mapInArrow(_read_ranges, ARCHIVE_ROW)
 
 
 def unreadable_headers(archives: DataFrame) -> DataFrame:

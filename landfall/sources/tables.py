@@ -1,21 +1,27 @@
-"""The three stored tables as partitioned Parquet.
+"""The three stored tables as partitioned Parquet, and the record of what was committed.
 
-Every table is partitioned by a calendar period and by the batch that wrote the rows. Writing a batch
-replaces exactly that batch's partitions, so a batch repeated after a failure leaves no second copy.
+Rows are partitioned by a calendar period and by the batch that wrote them. A batch counts once its commit record,
+written last, is there: readers leave later ids out, the next id is one above the last record, and what a broken-off
+batch has left is removed before the id is used again. Batches are committed in order by one writer.
+
+Rewrites (purge, backfill, compaction) first write what shall replace some partitions, then the list of those partitions,
+and then put it in place. One that breaks off after the list is finished by the next job, and before it is forgotten, so rows are
+neither lost nor doubled.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall import schema
 from landfall.functions import dates
-from landfall.session import prepare, remove
+from landfall.session import children, prepare, remove
 
 PASSENGER_FACT, JSON_LEDGER, ZIP_LEDGER = "passenger_fact", "json_ledger", "zip_ledger"
 SCHEMAS = {
@@ -30,6 +36,15 @@ SORTED_BY = {
     JSON_LEDGER: "zip_file_name",
     ZIP_LEDGER: "zip_file_name",
 }
+# Columns that are looked up by single values: their Bloom filters let a scan skip row groups.
+LOOKED_UP = {
+    PASSENGER_FACT: ["json_file"],
+    JSON_LEDGER: ["json_file_name", "zip_file_name"],
+    ZIP_LEDGER: ["zip_file_name"],
+}
+# Rows whose name holds no date go to one of so many periods of their own.
+UNDATED, UNDATED_PERIODS = "undated", 16
+COMMIT = "archives long, names long, manifests_processed long, zip_failures long, zips_processed long"
 
 
 class Store:
@@ -46,31 +61,97 @@ class Store:
     def _period(self, table: str) -> Column:
         """Arrival date of a fact, archive date of a ledger row."""
         if table == PASSENGER_FACT:
-            date = dates.iso_date(F.col("scheduled_date"))
-        else:
-            date = dates.created_on(F.col("zip_file_name"))
-        return F.coalesce(F.substring(date, 1, self._period_chars), F.lit("undated"))
+            return F.coalesce(self._of_date(dates.iso_date(F.col("scheduled_date"))), F.lit(f"{UNDATED}-0"))
+        return self._archive_period(F.col("zip_file_name"))
 
-    def partitioned(self, table: str) -> DataFrame:
-        """Rows with their partition columns; no rows where the table was never written."""
-        columns = T.StructType(
-            SCHEMAS[table].fields
-            + [T.StructField("period", T.StringType()), T.StructField("batch_id", T.LongType())]
-        )
+    def _of_date(self, date: Column) -> Column:
+        return F.substring(date, 1, self._period_chars)
+
+    def _archive_period(self, name: Column) -> Column:
+        bucket = F.pmod(F.xxhash64(name), F.lit(UNDATED_PERIODS)).cast("string")
+        return F.coalesce(self._of_date(dates.created_on(name)), F.concat(F.lit(f"{UNDATED}-"), bucket))
+
+    def _written(self, path: str, columns: T.StructType) -> DataFrame:
         try:
-            return self.spark.read.schema(columns).parquet(self.path(table))
+            return self.spark.read.schema(columns).parquet(path)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], columns)
 
+    def stored(self, table: str) -> DataFrame:
+        """All rows with their partition columns, of batches that were not committed too."""
+        partitions = [T.StructField("period", T.StringType()), T.StructField("batch_id", T.LongType())]
+        return self._written(self.path(table), T.StructType(SCHEMAS[table].fields + partitions))
+
+    def partitioned(self, table: str) -> DataFrame:
+        """Committed rows with their partition columns; no rows where the table was never written."""
+        return self.stored(table).filter(F.col("batch_id") <= self.last_batch_id())
+
     def read(self, table: str) -> DataFrame:
         return self.partitioned(table).drop(*PARTITIONS)
 
+    def ledger_of_date(self, table: str, date: str) -> DataFrame:
+        """Committed ledger rows of archives that can belong to a date, with their partition columns: named after it, or
+        after no date. Only those partitions are read."""
+        period = F.col("period")
+        return self.partitioned(table).filter((period == date[: self._period_chars]) | period.startswith(UNDATED))
+
+    def ledger_of_archive(self, table: str, name: str) -> DataFrame:
+        """Committed ledger rows of the period of one archive, with their partition columns."""
+        period = self.spark.range(1).select(self._archive_period(F.lit(name))).first()[0]
+        return self.partitioned(table).filter(F.col("period") == period)
+
+    # --- commits --------------------------------------------------------------------------------------
+
+    def _commit_path(self, batch_id: int) -> str:
+        return f"{self.root}/commits/batch_id={batch_id}"
+
     def last_batch_id(self) -> int:
-        """The largest batch id in any table, -1 if there is none."""
-        last = [self.partitioned(table).agg(F.max("batch_id")).first()[0] for table in SCHEMAS]
-        return max([-1, *[batch_id for batch_id in last if batch_id is not None]])
+        """The last committed batch, -1 if there is none. A record counts once its write is complete."""
+        found = sorted((int(name.partition("=")[2]) for name in children(self.spark, f"{self.root}/commits")), reverse=True)
+        return next((n for n in found if "_SUCCESS" in children(self.spark, self._commit_path(n))), -1)
+
+    def commit(self, batch_id: int, archives: int = 0, names: int = 0, metrics: tuple[int, int, int] = (0, 0, 0)) -> None:
+        record = self.spark.createDataFrame([(archives, names, *metrics)], COMMIT).coalesce(1)
+        record.write.mode("overwrite").parquet(self._commit_path(batch_id))
+
+    def committed(self, batch_id: int) -> Row | None:
+        """The record of a committed batch, if it is still kept."""
+        if "_SUCCESS" not in children(self.spark, self._commit_path(batch_id)):
+            return None
+        return self.spark.read.schema(COMMIT).parquet(self._commit_path(batch_id)).first()
+
+    def forget_commits(self) -> None:
+        """All records but the last one."""
+        last = self.last_batch_id()
+        for name in children(self.spark, f"{self.root}/commits"):
+            if int(name.partition("=")[2]) < last:
+                remove(self.spark, f"{self.root}/commits/{name}")
+
+    def start_batch(self, batch_id: int) -> None:
+        """Refuses a committed id, finishes what a rewrite has left, and removes what broken-off batches have."""
+        self.recover()
+        last = self.last_batch_id()
+        if batch_id <= last:
+            raise ValueError(f"batch {batch_id} is committed already, the last one is {last}")
+        for table in SCHEMAS:
+            left = self.stored(table).filter(F.col("batch_id") > last).select(*PARTITIONS).distinct().collect()
+            self.drop_partitions(table, [(r.period, r.batch_id) for r in left])
+
+    # --- checks ---------------------------------------------------------------------------------------
+
+    def record_check(self, at: Column) -> None:
+        """That the feed was looked at, whether or not something was new. Only a day's last check is kept."""
+        row = self.spark.range(1).select(at.cast("timestamp").alias("processed_at"))
+        row = row.withColumn("day", F.date_format("processed_at", "yyyy-MM-dd"))
+        write = row.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        write.partitionBy("day").parquet(f"{self.root}/checks")
+
+    def checks(self) -> DataFrame:
+        return self._written(f"{self.root}/checks", T.StructType([T.StructField("processed_at", T.TimestampType()), T.StructField("day", T.StringType())]))
+
+    # --- batches --------------------------------------------------------------------------------------
 
     def recorded_for(self, archives: DataFrame, before_batch: int) -> DataFrame:
         """JSON ledger rows that earlier batches may have written for the given archives.
@@ -80,7 +161,7 @@ class Store:
         """
         periods = [row[0] for row in archives.select(self._period(JSON_LEDGER)).distinct().collect()]
         return (
-            self.partitioned(JSON_LEDGER)
+            self.stored(JSON_LEDGER)
             .filter(F.col("period").isin(periods) & (F.col("batch_id") < before_batch))
             .drop(*PARTITIONS)
         )
@@ -102,6 +183,7 @@ class Store:
             rows.hint("rebalance", *[F.col(name) for name in PARTITIONS])
             .sortWithinPartitions(*PARTITIONS, SORTED_BY[table])
             .write.mode("overwrite")
+            .options(**{f"parquet.bloom.filter.enabled#{column}": "true" for column in LOOKED_UP[table]})
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*PARTITIONS)
             .parquet(self.path(table))
@@ -112,6 +194,32 @@ class Store:
         for period, batch_id in partitions:
             remove(self.spark, f"{self.path(table)}/period={period}/batch_id={batch_id}")
 
+    # --- rewrites -------------------------------------------------------------------------------------
+
+    def rewrite(self, table: str, rows: DataFrame, touched: DataFrame) -> None:
+        """Put `rows`, with their partition columns, in the place of the partitions `touched`."""
+        pending = f"{self.root}/pending/{table}-{uuid.uuid4().hex}"
+        rows.write.parquet(f"{pending}/rows")
+        touched.select(*PARTITIONS).write.parquet(f"{pending}/touched")  # from here on it will be finished
+        self._apply(table, pending)
+
+    def _apply(self, table: str, pending: str) -> None:
+        """Every step may be repeated."""
+        rows = self.spark.read.parquet(f"{pending}/rows")
+        touched = self.spark.read.parquet(f"{pending}/touched")
+        self.replace_partitions(table, rows)
+        emptied = touched.join(rows.select(*PARTITIONS).distinct(), PARTITIONS, "left_anti").distinct().collect()
+        self.drop_partitions(table, [(r.period, r.batch_id) for r in emptied])
+        remove(self.spark, pending)
+
+    def recover(self) -> None:
+        for name in children(self.spark, f"{self.root}/pending"):
+            pending = f"{self.root}/pending/{name}"
+            if "_SUCCESS" in children(self.spark, f"{pending}/touched"):
+                self._apply(name.rpartition("-")[0], pending)
+            else:
+                remove(self.spark, pending)
+
 
 def written(rows: DataFrame, path: str) -> DataFrame:
     """Write once and read back: cuts the lineage, and gives the planner the true size, from which it

@@ -4,8 +4,9 @@ import struct
 
 import pytest
 
-from landfall.sources import archives
-from landfall.sources.archives import archive_files, archive_rows
+from pyspark.sql import functions as F
+
+from landfall.sources.archives import archive_files, archive_rows, archive_stream
 from samples import archive, files, manifest
 
 
@@ -87,18 +88,36 @@ def test_scan_of_a_folder(spark, folder):
     assert len(rows) == 6 and all(r.zip_ok for r in rows)
 
 
-def test_large_and_oversized_archives(spark, folder, monkeypatch):
-    """Same rows whether an archive is usual or large; an oversized one is only reported."""
+def test_ranges_of_a_long_archive(spark, folder):
+    """Entries of a long archive are read by several tasks, all of them or none."""
+    big = [(f"{i % 3}.json", str(i) * 9_000_000) for i in range(5)]
+    content = archive(big)
+    (folder / "long.zip").write_bytes(content)
     (folder / "empty.zip").write_bytes(archive([]))
-    found = archive_files(spark, str(folder))
-    usual = sorted(map(repr, archive_rows(found).collect()))
-    monkeypatch.setattr(archives, "SPREAD_ABOVE", 100)
-    assert sorted(map(repr, archive_rows(found).collect())) == usual
-    monkeypatch.setattr(archives, "LONGEST_ARCHIVE", 100)
-    rows = archive_rows(found).collect()
-    assert sorted((r.zip_file_name[:6], r.zip_ok, r.entry_index) for r in rows) == [
-        ("drt_dq", False, None)] * 3 + [("empty.", True, None)
-    ]
+    (folder / "torn.zip").write_bytes(b"PK\x03\x04torn")
+    rows = archive_rows(archive_files(spark, str(folder))).filter("zip_file_name in ('long.zip', 'empty.zip', 'torn.zip')")
+    found = rows.select("zip_file_name", "zip_ok", "entry_index", "json_file_name", "occurrence", F.length("content").alias("n")).collect()
+    entries = sorted((r.entry_index, r.json_file_name, r.occurrence, r.n) for r in found if r.entry_index is not None)
+    assert entries == [(0, "0.json", 1, 9_000_000), (1, "1.json", 1, 9_000_000), (2, "2.json", 1, 9_000_000), (3, "0.json", 2, 9_000_000), (4, "1.json", 2, 9_000_000)]
+    assert sorted((r.zip_file_name, r.zip_ok) for r in found if r.entry_index is None) == [("empty.zip", True), ("long.zip", True), ("torn.zip", False)]
+    damaged = bytearray(content)
+    last = content.rindex(b"PK\x01\x02")
+    struct.pack_into("<I", damaged, last + 16, struct.unpack_from("<I", damaged, last + 16)[0] ^ 1)
+    (folder / "long.zip").write_bytes(bytes(damaged))
+    found = archive_rows(archive_files(spark, str(folder))).filter("zip_file_name = 'long.zip'").collect()
+    assert [(r.zip_ok, r.entry_index) for r in found] == [(False, None)]
+
+
+def test_file_that_cannot_be_opened(spark, folder):
+    gone = spark.createDataFrame([("gone.zip", f"file:{folder}/gone.zip")], "zip_file_name string, path string")
+    assert [(r.zip_ok, r.entry_index) for r in archive_rows(gone).collect()] == [(False, None)]
+
+
+def test_content_is_never_in_a_row_of_the_source(spark, folder):
+    for frame in (archive_files(spark, str(folder)), archive_stream(spark, str(folder), 5)):
+        assert "content" not in frame.columns
+    plan = archive_files(spark, str(folder))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[1]
 
 
 def test_length_is_tested_before_a_file_is_opened(spark, folder):

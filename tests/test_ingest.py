@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from landfall.operators import classify, dedupe, rows
-from landfall.plans.ingest import RunMetrics, classified, run_batch
+from landfall.plans.ingest import RunMetrics, classified, ingest_new_files, run_batch
 from landfall.session import fresh_path
 from landfall.sources.archives import archive_rows
 from landfall.sources.tables import JSON_LEDGER, PASSENGER_FACT, ZIP_LEDGER, Store
@@ -193,3 +193,40 @@ def test_first_occurrence_and_flags(spark):
     assert dedupe.unprocessed(entries, recorded).count() == 3
     flags = dedupe.with_recorded_flag(entries, recorded).filter(F.col("processed")).collect()
     assert [(r.zip_file_name, r.json_file_name) for r in flags] == [("a", "2")]
+
+
+def test_broken_off_run_is_repeated_without_second_copies(spark, tmp_path, monkeypatch):
+    (tmp_path / DATED).write_bytes(archive([("1.json", GOOD), ("2.json", BAD_JSON)]))
+    write = Store.write_batch
+    for failing in (PASSENGER_FACT, JSON_LEDGER, ZIP_LEDGER, None):
+        made = Store(spark, fresh_path(spark, "test-store"))
+
+        def write_and_fail(self, table, rows, batch_id):
+            write(self, table, rows, batch_id)
+            if table == failing:
+                raise RuntimeError(table)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(Store, "write_batch", write_and_fail)
+            if failing is None:
+                patched.setattr(Store, "commit", lambda *_: (_ for _ in ()).throw(RuntimeError("commit")))
+            with pytest.raises(RuntimeError):
+                ingest_new_files(made, str(tmp_path), at("2022-06-01"))
+        assert facts(made) == [] and ledger(made) == [] and zips(made) == []
+        for _ in range(2):
+            ingest_new_files(made, str(tmp_path), at("2022-06-01"))
+            assert (facts(made), ledger(made), zips(made)) == (["1.json"], [(DATED, "1.json", True), (DATED, "2.json", False)], [(DATED, True)])
+
+
+def test_committed_batch_is_not_replaced_by_other_archives(store):
+    ingest(store, {DATED: archive([("1.json", GOOD)])}, 0)
+    with pytest.raises(ValueError):
+        ingest(store, {"other.zip": archive([("1.json", GOOD)])}, 0)
+    assert zips(store) == [(DATED, True)]
+
+
+def test_known_documents_are_not_parsed(spark):
+    known = spark.createDataFrame([(NAME, "1.json")], "zip_file_name string, json_file_name string")
+    found = classified(rows_of(spark, {NAME: [("1.json", GOOD), ("2.json", GOOD)]}), known)
+    parsed = {r.json_file_name: (r.outcome, r.parse_ok) for r in found.filter("entry_index is not null").collect()}
+    assert parsed == {"1.json": (classify.ALREADY_PROCESSED, False), "2.json": (classify.OK, True)}

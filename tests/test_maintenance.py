@@ -10,14 +10,16 @@ from landfall.operators import backfill, quality, retention
 from landfall.plans.maintenance import (
     PurgeCounts,
     backfill_created_on,
+    compact,
     backfill_summary,
     delete_facts,
     delete_json,
     delete_zip,
     purge_date,
     purge_expired,
+    purge_expired_date,
 )
-from landfall.session import fresh_path
+from landfall.session import children, fresh_path
 from landfall.sources import feed
 from landfall.sources.tables import JSON_LEDGER, PASSENGER_FACT, ZIP_LEDGER, Store
 from samples import at, fact_rows, json_rows, zip_rows
@@ -170,6 +172,7 @@ def store(spark):
     made.write_batch(PASSENGER_FACT, fact_rows(spark, [
         {"json_file": j, "scheduled_date": datetime(2021, 1, d)} for d, j in documents
     ]), 0)
+    made.commit(0)
     return made
 
 
@@ -221,10 +224,9 @@ def test_deletes(spark):
     facts = fact_rows(spark, [{"json_file": "a"}, {"json_file": "b"}, {"json_file": None}])
     assert [r.json_file for r in retention.without_key(facts, "json_file", "a").collect()] == ["b", None]
     gone = names(spark).selectExpr("zip_file_name as json_file_name")
-    assert retention.remaining_facts(facts, gone, 5).count() == 3
+    assert retention.remaining_facts(facts, gone).count() == 3
     gone = names(spark, "b", "b").selectExpr("zip_file_name as json_file_name")
-    assert retention.remaining_facts(facts, gone, 5).count() == 2
-    assert retention.remaining_facts(facts, gone, 10**9).count() == 2
+    assert retention.remaining_facts(facts, gone).count() == 2
 
 
 def test_lookups(spark):
@@ -253,7 +255,56 @@ def test_delete_jobs(store):
 def test_created_on_job(spark):
     made = Store(spark, fresh_path(spark, "test-store"))
     made.write_batch(ZIP_LEDGER, zip_rows(spark, [(ZIP[1], None), (ZIP[2], "1999-01-01"), ("legacy.zip", None)]), 0)
+    made.commit(0)
     assert backfill_created_on(made) == 1
     found = {r.zip_file_name: r.created_on for r in made.read(ZIP_LEDGER).collect()}
     assert found == {ZIP[1]: DAY[1], ZIP[2]: "1999-01-01", "legacy.zip": None}
     assert backfill_created_on(made) == 0
+
+
+def test_purge_until_the_date_is_closed(store):
+    assert purge_expired_date(store, at("2021-12-31"), 1, 2) == PurgeCounts()
+    assert purge_expired_date(store, at("2022-06-01"), 1, 1) == PurgeCounts(1, 1, 1)
+    assert purge_date(store, DAY[2], 500) == PurgeCounts(4, 4, 1)
+
+
+def files_of(store):
+    return {t: len(set(r[0] for r in store.stored(t).select(F.input_file_name()).collect())) for t in (JSON_LEDGER, ZIP_LEDGER)}
+
+
+def test_compaction_bounds_files_by_periods(spark):
+    made = Store(spark, fresh_path(spark, "test-store"))
+    for batch in range(12):
+        documents = [{"zip_file_name": ZIP[1 + batch % 2], "json_file_name": f"{batch}.json"}]
+        made.write_batch(JSON_LEDGER, json_rows(spark, documents), batch)
+        made.write_batch(ZIP_LEDGER, zip_rows(spark, [(ZIP[1 + batch % 2], DAY[1])]), batch)
+        made.commit(batch)
+    before = sorted(map(str, made.read(JSON_LEDGER).collect()))
+    assert files_of(made) == {JSON_LEDGER: 12, ZIP_LEDGER: 12}
+    for _ in range(2):
+        compact(made)
+        assert files_of(made) == {JSON_LEDGER: 2, ZIP_LEDGER: 2}
+        assert sorted(map(str, made.read(JSON_LEDGER).collect())) == before
+        assert made.last_batch_id() == 11 and len(children(spark, f"{made.root}/commits")) == 1
+
+
+def test_rewrite_broken_off_is_finished_by_the_next_job(store, monkeypatch):
+    whole = content(store)
+    for step in ("_apply", "replace_partitions", "drop_partitions"):
+        with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+            def fail(*_):
+                raise RuntimeError(step)
+
+            patched.setattr(Store, step, fail)
+            delete_json(store, "1a")
+        store.recover()
+        assert content(store)[1] == [d for d in whole[1] if d[1] != "1a"] and children(store.spark, f"{store.root}/pending") == []
+        store.write_batch(JSON_LEDGER, json_rows(store.spark, [{"zip_file_name": ZIP[1], "json_file_name": "1a"}]), 0)
+        assert content(store) == whole
+
+
+def test_rewrite_without_its_list_is_forgotten(store):
+    store.partitioned(JSON_LEDGER).limit(0).write.parquet(f"{store.root}/pending/{JSON_LEDGER}-x/rows")
+    before = content(store)
+    store.recover()
+    assert content(store) == before and children(store.spark, f"{store.root}/pending") == []

@@ -108,6 +108,19 @@ def test_no_pairwise_joins_anywhere(spark):
         assert not re.search("CartesianProduct|BroadcastNestedLoopJoin", plan), name
 
 
+@pytest.mark.parametrize("name", ["purge_batch", "backfill_one_date", "duplicate_ledger_rows_for_date"])
+def test_one_date_reads_its_own_partitions(spark, name):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = physical(registry.registered()[name](spark, SF_DIR))
+    assert "PartitionFilters" in plan and "period" in plan.split("PartitionFilters")[1].split("PushedFilters")[0]
+
+
+def test_deleted_keys_reach_the_scan(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    plan = physical(registry.json_ledger(spark, SF_DIR).filter(F.col("json_file_name").isin(["m_58.json"])))
+    assert "EqualTo(json_file_name,m_58.json)" in plan or "In(json_file_name, [m_58.json])" in plan
+
+
 def test_filters_and_columns_reach_the_stored_tables(spark):
     spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
     plan = physical(registry.document_age_lookup(spark, SF_DIR))
