@@ -27,8 +27,8 @@ def classified(
     names: DataFrame | None = None,
     exceptions_path: str | None = None,
 ) -> DataFrame:
-    """Outcome per entry: matched with the few pairs that repeat or are recorded already, then parsed and judged
-    row by row. What is known already is not parsed.
+    """Outcome per entry: parsed and judged row by row, then matched with the few pairs that repeat or are
+    recorded already.
 
     Those pairs are found first, from narrow keys, and written. The planner then knows their size: it sends
     them to the documents if they are small, so that no document is shuffled, and else joins by shuffle.
@@ -42,9 +42,9 @@ def classified(
         exceptional = dedupe.exceptions(keys, recorded)
     path = exceptions_path or fresh_path(archive_rows.sparkSession, "exceptions")
     exceptional = tables.written(exceptional, path)
-    marked = dedupe.mark_processed(archive_rows, exceptional)
-    fresh = marked.withColumn("content", F.when(~F.col("already_processed"), F.col("content")))
-    return classify.with_outcome(classify.assess(documents.parse(fresh)))
+    # The join stands above the parse: a filter on the outcome must not be pushed into it and repeat the parse.
+    assessed = classify.assess(documents.parse(archive_rows))
+    return classify.with_outcome(dedupe.mark_processed(assessed, exceptional))
 
 
 def run_batch(

@@ -223,10 +223,3 @@ def test_committed_batch_is_not_replaced_by_other_archives(store):
     with pytest.raises(ValueError):
         ingest(store, {"other.zip": archive([("1.json", GOOD)])}, 0)
     assert zips(store) == [(DATED, True)]
-
-
-def test_known_documents_are_not_parsed(spark):
-    known = spark.createDataFrame([(NAME, "1.json")], "zip_file_name string, json_file_name string")
-    found = classified(rows_of(spark, {NAME: [("1.json", GOOD), ("2.json", GOOD)]}), known)
-    parsed = {r.json_file_name: (r.outcome, r.parse_ok) for r in found.filter("entry_index is not null").collect()}
-    assert parsed == {"1.json": (classify.ALREADY_PROCESSED, False), "2.json": (classify.OK, True)}
