@@ -68,8 +68,8 @@ def quality() -> str:
     windows AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS s FROM t, unnest(range(1, len(w) - 3)) AS g(i) WHERE len(w) >= 5),
     covered AS (SELECT doc_id, count(DISTINCT i + o) AS c FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS times FROM windows), range(5) AS r(o)
         WHERE times > 1 GROUP BY 1),
-    lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{_WORD}')) AS l FROM t),
-    m AS (SELECT t.doc_id, lang, source, len(w) AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0)::BIGINT AS word_chars,
+    lines AS (SELECT doc_id, [x FOR x IN string_split(text, chr(10)) IF regexp_matches(x, '{_WORD}')] AS l FROM t),
+    m AS (SELECT t.doc_id, lang, source, len(w) AS n_words, coalesce(list_sum([length(x) FOR x IN w]), 0)::BIGINT AS word_chars,
         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, len(l) - len(list_distinct(l)) AS n_dup_lines, coalesce(c, 0) AS n_repeat_words,
         len(l) AS n_lines, len(regexp_extract_all(text, '[A-Z]')) AS n_upper, len(regexp_extract_all(text, '!')) AS n_exclaims, len(list_distinct(w)) AS n_distinct
         FROM t JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
