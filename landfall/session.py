@@ -21,6 +21,8 @@ SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     # Look-ups by a purge's names reach the Bloom filters one by one instead of as a range.
     "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
+    # A stream's batch lists its files by path, which else is a task for each of them.
+    "spark.sql.sources.parallelPartitionDiscovery.parallelism": "64",
 }
 
 
