@@ -233,6 +233,36 @@ def test_passages_are_found_and_clean_documents_left(spark):
     assert all(len(brute.words(cut[d])) == len(brute.words(docs[d])) - removed[d] for d in docs)
 
 
+def test_short_passages_are_found_to_their_last_word(spark):
+    rng = random.Random(51)
+    passages = [[f"s{rng.randrange(10**6)}" for _ in range(51 + i % 10)] for i in range(400)]
+    docs, holds = {}, {}
+    for i, passage in enumerate(passages):
+        for d in (2 * i, 2 * i + 1):
+            w = [f"h{rng.randrange(10**7)}" for _ in range(90)]
+            w[30:30] = passage
+            docs[d], holds[d] = " ".join(w), (30, 30 + len(passage))
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = substring_dedup.repeated_passages(frame).collect()
+    places: dict = {}
+    for r in found:
+        places.setdefault(r.doc_id, []).extend(range(r.first_word, r.first_word + r.n_words))
+        assert r.removed == (r.doc_id % 2 == 1)
+    assert set(places) == set(docs)
+    for d, (low, high) in holds.items():
+        assert len(places[d]) == len(set(places[d])) <= high - low + 4 and set(range(low, high)) <= set(places[d])
+
+
+def test_words_without_a_cut_are_followed_to_their_end(spark):
+    """Equal words hold no cut; the edges are compared in more than one turn."""
+    rng = random.Random(52)
+    passage = [f"s{rng.randrange(10**6)}" for _ in range(60)] + ["ha"] * 300
+    own = [[f"{d}h{i}" for i in range(40)] for d in range(3)]
+    frame = spark.createDataFrame([(d, " ".join(own[d][:20] + passage + own[d][20:])) for d in range(3)], "doc_id long, text string")
+    cut = {r.doc_id: r.text.split() for r in substring_dedup.without_passages(frame, substring_dedup.repeated_passages(frame)).collect()}
+    assert cut[0] == own[0][:20] + passage + own[0][20:] and cut[1] == own[1] and cut[2] == own[2]
+
+
 def test_near_paragraphs_join_and_no_rows(spark):
     shared = [f"n{i}" for i in range(200)]
     w = list(shared)
