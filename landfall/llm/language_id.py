@@ -2,27 +2,27 @@
 
 Characters are lower-cased letters, and a space for each run of anything else. All training texts are counted: 4-grams
 are counted where the rows are and summed in Spark, and the continuation counts of the lower orders are groupings of
-the table below. A model keeps each language's most frequent MODEL_GRAMS grams of an order, as sorted arrays of
-hashes beside their probabilities; a gram it does not keep backs off. The language with the lowest cross-entropy per
+the table below. No gram is dropped, and the models stay tables: the different grams of a batch of texts are joined to
+them, and the batch gets the probabilities of its own grams only. The language with the lowest cross-entropy per
 character wins. How far a text may lie from the training rows of its language is calibrated over all of them.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from landfall.llm import words
 from landfall.llm.frames import Workspace, fold, map_batches
 
-ORDER, MODEL_GRAMS = 4, 200_000
+ORDER = 4
 FOLDS, HELD_OUT = 4, 2
 SPACE, UNKNOWN = 32, "und"
 # Characters that are looked at once; longer texts are read in pieces of this length.
@@ -115,95 +115,126 @@ def _order_tables(work: Workspace, training: DataFrame) -> list[DataFrame]:
     return tables
 
 
-@dataclass
-class _Level:
-    keys: np.ndarray
-    probabilities: np.ndarray
-    contexts: np.ndarray
-    weights: np.ndarray
+def _suffix(gram: Column, order: int) -> Column:
+    return gram if order == ORDER else gram.bitwiseAND(F.lit((1 << 16 * order) - 1))
 
 
-def _hashed(codes: np.ndarray) -> np.ndarray:
-    return words.mix(codes + np.uint64(1))
+class Models:
+    """The models of all languages, as tables. For each order: of a gram its discounted share of its context, and of a context
+    the weight of the order below, by the language's number."""
 
+    def __init__(self, work: Workspace, langs: list[str]) -> None:
+        self.work, self.langs, self.orders, self.floor = work, langs, [], 1.0 / (1 << 16)
 
-def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each wanted key is, and whether it is there."""
-    if not len(keys):
-        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-    return at, keys[at] == wanted
+    def probabilities(self, wanted: DataFrame, name: str, order: int = ORDER) -> DataFrame:
+        """`wanted(gram)`, each once -> `(gram, p)`: of its last character after the ones before it, in each language."""
+        lower = None
+        for at in range(1, order + 1):
+            shares, weights = self.orders[at - 1]
+            rows = wanted.select(_suffix(F.col("gram"), at).alias("gram")).distinct() if at < order else wanted.select("gram")
+            rows = rows.join(shares, "gram", "left").withColumn("context", F.shiftrightunsigned("gram", 16)).join(weights, "context", "left")
+            if lower is None:
+                below = lambda i: F.lit(self.floor)
+            else:
+                rows = rows.withColumn("shorter", _suffix(F.col("gram"), at - 1)).join(lower, "shorter")
+                below = lambda i: F.col("below")[i]
+            numbers = F.array(*[F.lit(i) for i in range(len(self.langs))])
+            p = F.transform(numbers, lambda i: F.coalesce(F.try_element_at("shares", i), F.lit(0.0)) + F.coalesce(F.try_element_at("weights", i), F.lit(1.0)) * below(i))
+            found = self.work.table(rows.select("gram", p.alias("p")), f"{name}-{at}")
+            lower = found.select(F.col("gram").alias("shorter"), F.col("p").alias("below"))
+        return found
 
+    def __getitem__(self, lang: str) -> _Language:
+        return _Language(self, self.langs.index(lang))
 
-class Model:
-    """One language: for each order the sorted hashes of its grams and of their contexts."""
 
-    def __init__(self, tables: list[pd.DataFrame], discounts: list[float]) -> None:
-        self.levels: list[_Level] = []
-        self.floor = 1.0 / (1 << 16)
-        for order, (table, discount) in enumerate(zip(tables, discounts), 1):
-            codes = table["gram"].to_numpy(np.int64).view(np.uint64)
-            n, total, types = (table[c].to_numpy(np.float64) for c in ("n", "total", "types"))
-            lower = self._below(order, codes)
-            probabilities = np.maximum(n - discount, 0) / total + discount * types / total * lower
-            contexts, first = np.unique(_hashed(codes >> np.uint64(16)), return_index=True)
-            keys = _hashed(codes)
-            by_key = np.argsort(keys)
-            self.levels.append(_Level(keys[by_key], probabilities[by_key], contexts, (discount * types / total)[first]))
+class _Language:
+    """One language of the models, asked for single grams."""
 
-    def _below(self, order: int, codes: np.ndarray) -> np.ndarray:
-        if order == 1:
-            return np.full(len(codes), self.floor)
-        return self.probability(order - 1, codes & np.uint64((1 << 16 * (order - 1)) - 1))
+    def __init__(self, models: Models, number: int) -> None:
+        self.models, self.number = models, number
 
     def probability(self, order: int, codes: np.ndarray) -> np.ndarray:
-        """Of each gram's last character after the ones before it."""
-        level = self.levels[order - 1]
-        at, known = _find(level.keys, _hashed(codes))
-        out = np.empty(len(codes))
-        out[known] = level.probabilities[at[known]]
-        rest = codes[~known]
-        at, seen = _find(level.contexts, _hashed(rest >> np.uint64(16)))
-        weight = np.where(seen, level.weights[at] if len(level.weights) else 1.0, 1.0)
-        out[~known] = weight * self._below(order, rest)
-        return out
-
-
-def _fit(work: Workspace, tables: list[DataFrame]) -> dict[str, Model]:
-    """The models. What comes to the driver has at most MODEL_GRAMS rows for a language and order."""
-    kept: list[dict[str, pd.DataFrame]] = []
-    discounts: list[dict[str, float]] = []
+        own = words.signed(np.asarray(codes, np.uint64)).tolist()
+        wanted = self.models.work.spark.createDataFrame([(c,) for c in sorted(set(own))], "gram long")
+        found = {r.gram: r.p[self.number] for r in self.models.probabilities(wanted, f"asked-{uuid.uuid4().hex}", order).collect()}
+        return np.array([found[c] for c in own])
+
+
+def _fit(work: Workspace, tables: list[DataFrame]) -> Models:
+    """The models. What comes to the driver are the languages and a discount for each of them and order."""
+    discounts = []
     for table in tables:
-        of_counts = table.groupBy("lang", "n").agg(F.count("*").alias("grams"))
-        ranked = of_counts.withColumn("upto", F.sum("grams").over(Window.partitionBy("lang").orderBy(F.desc("n"))))
-        least = F.coalesce(F.min(F.when(F.col("upto") <= MODEL_GRAMS, F.col("n"))), F.max("n") + 1)
-        ones, twos = (F.sum(F.when(F.col("n") == i, F.col("grams")).otherwise(0)) for i in (1, 2))
-        cuts = ranked.groupBy("lang").agg(least.alias("least"), ones.alias("ones"), twos.alias("twos"))
-        context = F.shiftrightunsigned("gram", 16)
-        contexts = table.groupBy("lang", context.alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("types"))
-        frequent = table.join(cuts, "lang").filter("n >= least").withColumn("context", context).join(contexts, ["lang", "context"])
-        rows = frequent.select("lang", "gram", "n", "total", "types").orderBy("lang", "gram").toPandas()
-        kept.append(dict(list(rows.groupby("lang"))))
-        discounts.append({r.lang: r.ones / (r.ones + 2 * r.twos) if r.ones and r.twos else 0.5 for r in cuts.collect()})
-    none = pd.DataFrame({c: np.empty(0, np.int64) for c in ("gram", "n", "total", "types")})
-    return {lang: Model([k.get(lang, none) for k in kept], [d[lang] for d in discounts]) for lang in sorted(discounts[0])}
-
-
-def _scored(broadcast):
-    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
-        models: dict[str, Model] = broadcast.value
-        texts = batch.column("text").to_pylist()
-        sums, lengths = np.zeros((len(models), len(texts))), np.zeros(len(texts), np.int64)
-        for owners, parts in _pieces(texts):
+        ones, twos = (F.count_if(F.col("n") == i) for i in (1, 2))
+        found = table.groupBy("lang").agg(ones.alias("ones"), twos.alias("twos")).collect()
+        discounts.append({r.lang: r.ones / (r.ones + 2 * r.twos) if r.ones and r.twos else 0.5 for r in found})
+    models = Models(work, sorted(discounts[0]))
+    for order, (table, discount) in enumerate(zip(tables, discounts), 1):
+        facts = [(lang, number, float(discount[lang])) for number, lang in enumerate(models.langs)]
+        facts = F.broadcast(work.spark.createDataFrame(facts, "lang string, number int, discount double"))
+        own = table.withColumn("context", F.shiftrightunsigned("gram", 16)).join(facts, "lang")
+        contexts = own.groupBy("number", "context").agg(F.sum("n").alias("total"), F.count("*").alias("types"), F.first("discount").alias("discount"))
+        contexts = work.table(contexts, f"contexts-{order}")
+        share = F.greatest(F.col("n") - F.col("discount"), F.lit(0.0)) / F.col("total")
+        weight = F.col("discount") * F.col("types") / F.col("total")
+
+        def by_number(key: str, value: Column, name: str) -> list[Column]:
+            return [F.col(key), F.struct("number", value.alias("value")).alias(name)]
+
+        shares = own.join(contexts.select("number", "context", "total"), ["number", "context"]).select(*by_number("gram", share, "shares"))
+        weights = contexts.select(*by_number("context", weight, "weights"))
+        grouped = [rows.groupBy(key).agg(F.map_from_entries(F.collect_list(name)).alias(name)) for rows, key, name in ((shares, "gram", "shares"), (weights, "context", "weights"))]
+        models.orders.append(tuple(work.table(rows, f"{name}-{order}") for rows, name in zip(grouped, ("shares", "weights"))))
+    return models
+
+
+def _chunked(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """One row for a batch: its rows, their characters, and its different grams."""
+    owners, parts, grams = [], [], np.empty(0, np.uint64)
+    for numbers, some in _pieces(batch.column("text").to_pylist()):
+        grams = np.union1d(grams, _grams(some)[0])
+        owners += numbers
+        parts += some
+    every = np.concatenate(parts) if parts else np.empty(0, np.uint16)
+
+    def whole(values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+    lists = [batch.column(c) for c in ("doc_id", "train", "lang")] + [pa.array(x, pa.int64()) for x in (owners, [len(p) for p in parts])] + [pa.array(words.signed(grams))]
+    columns = [pa.array([uuid.uuid4().hex]), *map(whole, lists), pa.array([pa.compress(every.tobytes(), "zstd", asbytes=True)], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["chunk", "doc_id", "train", "lang", "owners", "sizes", "grams", "characters"])
+
+
+def _parts(owners: np.ndarray, sizes: np.ndarray, every: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """What _pieces gave, from a chunk: about PIECE characters at a time."""
+    ends = np.cumsum(sizes)
+    turns = ends // PIECE
+    for turn in np.unique(turns):
+        at = np.flatnonzero(turns == turn)
+        yield owners[at], [every[ends[i] - sizes[i] : ends[i]] for i in at]
+
+
+def _scored(names: list[str]):
+    def score_chunk(chunk: dict) -> list[pa.Array]:
+        owners, sizes = (chunk[c].values.to_numpy(zero_copy_only=False) for c in ("owners", "sizes"))
+        every = np.frombuffer(pa.decompress(chunk["characters"].as_py(), 2 * int(sizes.sum()), "zstd"), np.uint16) if len(sizes) else np.empty(0, np.uint16)
+        n = len(chunk["doc_id"].values)
+        sums, lengths = np.zeros((len(names), n)), np.zeros(n, np.int64)
+        if names and chunk["found"].is_valid:
+            keys, p = chunk["found"].values.flatten()
+            keys, bits = keys.to_numpy(zero_copy_only=False).view(np.uint64), -np.log2(p.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(names)))
+            by_key = np.argsort(keys)
+            keys, bits = keys[by_key], bits[by_key].T
+        for own, parts in _parts(owners, sizes, every):
             codes, counts = _grams(parts)
-            numbers, grams = pd.factorize(codes)
             starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
-            np.add.at(lengths, owners, counts)
-            for i, model in enumerate(models.values()):
-                bits = -np.log2(model.probability(ORDER, grams))
-                np.add.at(sums[i], owners, np.add.reduceat(bits[numbers], starts))
-        known, names = lengths > 0, list(models)
-        lang, entropy, score = [UNKNOWN] * len(texts), np.full(len(texts), np.nan), np.zeros(len(texts))
+            np.add.at(lengths, own, counts)
+            if names:
+                at = np.searchsorted(keys, codes)
+                for i in range(len(names)):
+                    np.add.at(sums[i], own, np.add.reduceat(bits[i][at], starts))
+        known = lengths > 0
+        lang, entropy, score = [UNKNOWN] * n, np.full(n, np.nan), np.zeros(n)
         if names and known.any():
             each = sums[:, known] / lengths[known]
             best = each.argmin(axis=0)
@@ -212,9 +243,11 @@ def _scored(broadcast):
             score[known] = 1 / np.exp2(-apart).sum(axis=0)
             for at, b in zip(np.flatnonzero(known), best):
                 lang[at] = names[b]
-        columns = [batch.column("doc_id"), batch.column("train"), batch.column("lang"), pa.array(lang, pa.string())]
-        columns += [pa.array(score), pa.array(entropy, from_pandas=True), pa.array(lengths)]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "train", "lang", "lang_pred", "score", "cross_entropy", "n_letters"])
+        return [*[chunk[c].values for c in ("doc_id", "train", "lang")], pa.array(lang, pa.string()), pa.array(score), pa.array(entropy, from_pandas=True), pa.array(lengths)]
+
+    def score(batch: pa.RecordBatch) -> pa.RecordBatch:
+        chunks = [score_chunk({c: batch.column(c)[i] for c in batch.schema.names}) for i in range(batch.num_rows)]
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(*chunks)], ["doc_id", "train", "lang", "lang_pred", "score", "cross_entropy", "n_letters"])
 
     return score
 
@@ -232,10 +265,18 @@ def language_id(docs: DataFrame) -> DataFrame:
     held_out = fold(F.col("doc_id"), FOLDS) == HELD_OUT
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), (~held_out & F.col("lang").isNotNull()).alias("train"))
     models = _fit(work, _order_tables(work, rows.filter("train and text is not null").select("text", "lang")))
-    broadcast = docs.sparkSession.sparkContext.broadcast(models)
     id_type = docs.schema["doc_id"].dataType.simpleString()
+    lists = f"doc_id array<{id_type}>, train array<boolean>, lang array<string>, owners array<long>, sizes array<long>, grams array<long>"
+    chunks = work.table(map_batches(rows, _chunked, f"chunk string, {lists}, characters binary"), "chunks")
+    grams = chunks.select("chunk", F.explode("grams").alias("gram"))
+    if models.langs:
+        found = grams.join(models.probabilities(work.table(grams.select("gram").distinct(), "wanted"), "wanted"), "gram")
+        found = found.groupBy("chunk").agg(F.collect_list(F.struct("gram", "p")).alias("found"))
+        chunks = chunks.drop("grams").join(found, "chunk", "left")
+    else:
+        chunks = chunks.drop("grams").withColumn("found", F.lit(None).cast("array<struct<gram:bigint,p:array<double>>>"))
     schema = f"doc_id {id_type}, train boolean, lang string, lang_pred string, score double, cross_entropy double, n_letters long"
-    scored = work.table(map_batches(rows, _scored(broadcast), schema), "scored")
+    scored = work.table(map_batches(chunks, _scored(models.langs), schema), "scored")
     return _calibrated(work, scored).withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 

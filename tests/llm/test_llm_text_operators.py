@@ -119,6 +119,26 @@ def test_probabilities_sum_to_one_and_equal_the_textbook_formula(spark):
     assert np.allclose(model.probability(4, codes), [probability(g) for g in wanted])
 
 
+def test_no_gram_of_a_large_alphabet_is_dropped(spark):
+    """More different grams in one language than a model once kept; all that follow a context sum to one minus what backs off."""
+    import numpy as np
+
+    from landfall.llm.frames import Workspace
+
+    rng = random.Random(4)
+    texts = ["".join(chr(0x4E00 + rng.randrange(20_000)) for _ in range(5_000)) for _ in range(50)]
+    work = Workspace(spark, "test-large-alphabet")
+    models = language_id._fit(work, language_id._order_tables(work, spark.createDataFrame([(t, "zh") for t in texts], "text string, lang string")))
+    shares = models.orders[3][0]
+    assert shares.count() > 249_000
+    once = "   " + texts[0]
+    codes = np.array([sum(ord(c) << 16 * (3 - i) for i, c in enumerate(once[at : at + 4])) for at in range(100)], np.uint64)
+    assert (models["zh"].probability(4, codes[3:]) > 0.25).all()
+    context = shares.select("gram", F.explode("shares").alias("number", "share")).groupBy(F.shiftrightunsigned("gram", 16).alias("context")).agg(F.sum("share").alias("s"))
+    total = context.join(models.orders[3][1], "context").select((F.col("s") + F.col("weights")[0]).alias("total"))
+    assert total.filter("abs(total - 1) > 1e-9").count() == 0
+
+
 # --- chat ---
 
 def _digest(turns):
