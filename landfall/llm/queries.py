@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from landfall.llm import containment, minhash_dedup, mixing, oracle, quality_rules, queries_text, sharding
+from landfall.llm import containment, minhash_dedup, mixing, oracle, oracle_groups, quality_rules, queries_groups, queries_text, sharding
 from landfall.llm.frames import prepare, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,8 +47,8 @@ def registered() -> dict[str, Query]:
         "op7_minhash": op7_minhash,
         "op9_mixing": op9_mixing,
         "op10_decontamination": op10_decontamination,
-    } | queries_text.registered()
+    } | queries_text.registered() | queries_groups.registered()
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.oracle_sql()
+    return oracle.oracle_sql() | oracle_groups.oracle_sql()
