@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.llm import chat_format, language_id, quality_classifier, substring_dedup, token_counts
+from landfall.llm import chat_format, language_id, quality_classifier, substring_dedup, token_counts, toxicity
 from landfall.llm.frames import prepare, read_table
 
 # A conversation that holds the template's own strings.
@@ -40,6 +40,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_table(prepare(spark), sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return toxicity.toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def registered() -> dict:
     return {
         "op2_quality_classifier": op2_quality_classifier,
@@ -47,4 +52,5 @@ def registered() -> dict:
         "op5_language_id": op5_language_id,
         "op6_chat_format": op6_chat_format,
         "op8_token_counts": op8_token_counts,
+        "op11_toxicity": op11_toxicity,
     }
