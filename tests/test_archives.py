@@ -1,15 +1,50 @@
 from __future__ import annotations
 
+import io
 import struct
+import warnings
+import zipfile
 
 import pytest
-
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
-from landfall.sources.archives import archive_files, archive_rows, archive_stream
+from landfall.sources import archives
+from landfall.sources.archives import archive_files, archive_rows, archive_stream, archives_at
 from samples import archive, files, manifest
 
 
+class Unseekable(io.RawIOBase):
+    """What a service writes to: sizes and checksums then come after each entry."""
+
+    def __init__(self):
+        self.data = bytearray()
+
+    def writable(self):
+        return True
+
+    def write(self, data):
+        self.data += data
+        return len(data)
+
+
+def streamed_archive(entries, **options) -> bytes:
+    target = Unseekable()
+    with warnings.catch_warnings(), zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED, **options) as z:
+        warnings.simplefilter("ignore")
+        for name, content in entries:
+            z.writestr(name, content)
+    return bytes(target.data)
+
+
+def without_tail(content: bytes) -> bytes:
+    return content[: content.index(b"PK\x01\x02")]
+
+
+def walked(content: bytes):
+    return list(archives.walk(io.BytesIO(content)))
+
+
 def scan(spark, content: bytes):
     rows = archive_rows(files(spark, {"a.zip": content})).collect()
     headers = [r for r in rows if r.entry_index is None]
@@ -50,9 +85,9 @@ def test_large_archive_is_checked_before_it_is_emitted(spark):
     ok, entries = scan(spark, content)
     assert ok and [(n, o, len(t)) for n, o, t in entries] == [(n, 1, 25_000_000) for n, _ in big]
     damaged = bytearray(content)
-    central = content.index(b"PK\x01\x02")
-    checksum = struct.unpack_from("<I", damaged, central + 16)[0]
-    struct.pack_into("<I", damaged, central + 16, checksum ^ 1)
+    last = content.rindex(b"PK\x03\x04")  # the checksum stands before its entry, and after it in the directory, which is not read
+    checksum = struct.unpack_from("<I", damaged, last + 14)[0]
+    struct.pack_into("<I", damaged, last + 14, checksum ^ 1)
     assert scan(spark, bytes(damaged)) == (False, [])
 
 
@@ -88,8 +123,9 @@ def test_scan_of_a_folder(spark, folder):
     assert len(rows) == 6 and all(r.zip_ok for r in rows)
 
 
-def test_ranges_of_a_long_archive(spark, folder):
+def test_ranges_of_a_long_archive(spark, folder, monkeypatch):
     """Entries of a long archive are read by several tasks, all of them or none."""
+    monkeypatch.setattr(archives, "WHOLE", 0)
     big = [(f"{i % 3}.json", str(i) * 9_000_000) for i in range(5)]
     content = archive(big)
     (folder / "long.zip").write_bytes(content)
@@ -113,13 +149,110 @@ def test_file_that_cannot_be_opened(spark, folder):
     assert [(r.zip_ok, r.entry_index) for r in archive_rows(gone).collect()] == [(False, None)]
 
 
-def test_content_is_never_in_a_row_of_the_source(spark, folder):
-    for frame in (archive_files(spark, str(folder)), archive_stream(spark, str(folder), 5)):
-        assert "content" not in frame.columns
-    plan = archive_files(spark, str(folder))._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[1]
+def test_content_of_long_archives_is_never_in_a_row(spark, folder, monkeypatch):
+    assert "content" not in archive_stream(spark, str(folder), 5).columns
+    monkeypatch.setattr(archives, "WHOLE", 0)
+    found = archive_files(spark, str(folder))
+    assert {r.by_path for r in found.select("by_path").collect()} == {True}
+    # The scan for contents drops all files on their length, before opening one.
+    plan = found.filter(~F.col("by_path")).select("content")._jdf.queryExecution().executedPlan()
+    plan.executeTake(10)
+    assert [leaf.metrics().apply("numFiles").value() for leaf in _leaves(plan)] == [0]
+    assert len(archive_rows(found).collect()) == 6
 
 
 def test_length_is_tested_before_a_file_is_opened(spark, folder):
-    plan = archive_files(spark, str(folder)).filter("length > 100")._jdf.queryExecution().toString()
-    assert "GreaterThan(length,100)" in plan.split("PushedFilters")[1]
+    found = archive_files(spark, str(folder)).filter("length > 1000000")
+    plan = found._jdf.queryExecution().executedPlan()
+    plan.executeTake(10)
+    assert [leaf.metrics().apply("numFiles").value() for leaf in _leaves(plan)] == [0]
+
+
+ENTRIES = [("b.json", b"{}" * 40_000), ("a.json", b""), ("b.json", bytes(range(256)) * 300), ("dir/", b"")]
+
+
+@pytest.mark.parametrize("pack", [streamed_archive, archive, lambda e: streamed_archive(e, compresslevel=1)])
+def test_archive_without_its_tail(spark, pack):
+    """The entries stand at the front, the directory at the end: without it they are still read, but not when cut inside one."""
+    whole = pack(ENTRIES)
+    front = without_tail(whole)
+    assert walked(whole) == walked(front) == ENTRIES
+    expected = scan(spark, whole)
+    assert expected[0] and [(n, o) for n, o, _ in expected[1]] == [("b.json", 1), ("a.json", 1), ("b.json", 2), ("dir/", 1)]
+    assert scan(spark, front) == expected
+    assert scan(spark, front + whole[len(front) :][:20]) == expected
+    assert scan(spark, front[: len(front) // 2]) == (False, [])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.text("abé.", min_size=1, max_size=5), st.binary(max_size=400)), min_size=1, max_size=6), st.booleans(), st.data())
+def test_cut_anywhere(entries, later_sizes, data):
+    """Cut between entries it gives those before the cut, cut inside one it is damaged; never other entries."""
+    whole = (streamed_archive if later_sizes else archive)(entries)
+    starts = [info.header_offset for info in zipfile.ZipFile(io.BytesIO(whole)).infolist()] + [len(without_tail(whole))]
+    at = data.draw(st.integers(0, len(whole)))
+    past = max((i for i, start in enumerate(starts) if start <= at), default=0)
+    if past == len(entries) or at - starts[past] < 4:
+        assert walked(whole[:at]) == entries[:past]
+    else:
+        with pytest.raises(archives.Damaged):
+            walked(whole[:at])
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 10_000), st.integers(1, 255), st.booleans())
+def test_one_changed_byte_is_noticed(position, change, later_sizes):
+    """Names, times and fields that readers ignore may change; contents never do unnoticed."""
+    whole = bytearray((streamed_archive if later_sizes else archive)(ENTRIES[:1]))
+    whole[position % len(without_tail(bytes(whole)))] ^= change
+    try:
+        found = walked(bytes(whole))
+    except (archives.Damaged, ValueError, archives.zlib.error):
+        return
+    assert [content for _, content in found] in ([ENTRIES[0][1]], [])
+
+
+def test_stored_encrypted_and_long_entries():
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w", zipfile.ZIP_STORED) as z:
+        z.writestr("a", b"stored")
+        with z.open("b", "w", force_zip64=True) as entry:
+            entry.write(b"long sizes")
+    assert walked(buffer.getvalue()) == [("a", b"stored"), ("b", b"long sizes")]
+    target = Unseekable()
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z, z.open("c", "w", force_zip64=True) as entry:
+        entry.write(b"long sizes after the entry")
+    assert walked(bytes(target.data)) == [("c", b"long sizes after the entry")]
+    for at, value in ((6, 1), (8, 12)):  # encrypted; packed by another method
+        changed = bytearray(archive([("a", "x")]))
+        changed[at] = value
+        with pytest.raises(archives.Damaged):
+            walked(bytes(changed))
+
+
+def test_store_that_only_spark_reads(spark, folder):
+    """No local path and no store of Arrow's: the files are opened by Spark."""
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.drop.link./in", f"file:{folder}")
+    rows = archive_rows(archive_files(spark, "viewfs://drop/in")).collect()
+    assert len(rows) == 6 and all(r.zip_ok for r in rows)
+
+
+def test_long_archive_without_its_tail(spark, folder, monkeypatch):
+    monkeypatch.setattr(archives, "WHOLE", 100)
+    big = [(f"{i}.json", str(i) * 9_000_000) for i in range(3)]
+    (folder / "long.zip").write_bytes(without_tail(archive(big)))
+    (folder / "cut.zip").write_bytes(without_tail(archive(big))[:-50])
+    rows = archive_rows(archive_files(spark, str(folder)))
+    found = rows.filter("zip_file_name = 'long.zip'").select("zip_ok", "entry_index", "json_file_name", F.length("content").alias("n")).collect()
+    assert sorted((r.entry_index, r.json_file_name, r.n) for r in found if r.entry_index is not None) == [(i, f"{i}.json", 9_000_000) for i in range(3)]
+    assert [r.zip_ok for r in found if r.entry_index is None] == [True]
+    assert [(r.zip_ok, r.entry_index) for r in rows.filter("zip_file_name = 'cut.zip'").collect()] == [(False, None)]
+
+
+def test_named_files_with_odd_names(spark, tmp_path):
+    names = ["a[1]*{x}.zip", "b c%20+.zip", "é\\n.zip"]
+    for name in names:
+        (tmp_path / name).write_bytes(archive([("1.json", "{}")]))
+    found = archives_at(spark, [f"file:{tmp_path}/{name}" for name in names])
+    assert sorted(r.zip_file_name for r in archive_rows(found).filter("entry_index is null").collect()) == sorted(names)
+    assert archive_rows(archives_at(spark, [])).collect() == []
