@@ -61,7 +61,6 @@ def main() -> None:
     timed("stream_ingest", lambda: archives.streamed(spark, sf_dir))
     timed("purge_date_job", lambda: maintenance.purge_date(stored(spark, sf_dir), registry.PURGE_DATE, registry.FULL_BATCH))
     timed("backfill_job", lambda: maintenance.backfill_summary(stored(spark, sf_dir), since=registry.SINCE))
-    timed("compaction_job", lambda: maintenance.compact(stored(spark, sf_dir)))
     print(
         json.dumps(
             {

@@ -363,6 +363,11 @@ def oracle_sql(lines_per_document: int = LINES_PER_DOCUMENT) -> dict[str, str]:
             AND nationality_country_code = '{DOCUMENT['nationality']}' AND age >= {DOCUMENT['min_age']}""",
         "stream_ingest": fresh_ledger,
         "stream_replay": _streamed_counts(),
+        "stream_freshness": " UNION ALL ".join(
+            f"SELECT CAST({seconds} AS BIGINT) AS threshold_seconds, TIMESTAMP '{AS_OF}' AS last_looked_at, count(*) > 0 AS healthy_by_looks, "
+            f"TIMESTAMP '{BATCH_AT}' AS last_processed_at, TIMESTAMP '{AS_OF}' - TIMESTAMP '{BATCH_AT}' <= INTERVAL {seconds} SECOND AS healthy_by_work FROM archives"
+            for seconds in FRESHNESS_SECONDS
+        ),
     }
     derived = _derived(lines_per_document)
     plain = {

@@ -456,6 +456,16 @@ def stream_replay(spark, sf):
     return counted[0].unionByName(counted[1]).unionByName(counted[2])
 
 
+def stream_freshness(spark, sf):
+    """Per threshold, whether the stream is healthy by its looks, of which the last found nothing, and by what it processed."""
+    store = archives.quiet_stream(spark, sf)
+    looks = quality.freshness(store.checks(), instant(AS_OF), FRESHNESS_SECONDS)
+    work = quality.freshness(store.read(tables.ZIP_LEDGER), instant(AS_OF), FRESHNESS_SECONDS)
+    return looks.select("threshold_seconds", F.col("last_processed_at").alias("last_looked_at"), F.col("healthy").alias("healthy_by_looks")).join(
+        work.select("threshold_seconds", "last_processed_at", F.col("healthy").alias("healthy_by_work")), "threshold_seconds"
+    )
+
+
 _SQL_KEYS = {"json_ledger": json_ledger_rows, "zip_ledger": zip_ledger_rows}
 
 
@@ -474,5 +484,6 @@ def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         purge_counts_partial, delete_fact_by_json, delete_json_by_name, delete_zip_by_name,
         pipeline_freshness, arrival_lookup, route_week_lookup, route_week_day_lookup,
         arrival_week_lookup, route_week_year_lookup, document_age_lookup, stream_ingest, stream_replay,
+        stream_freshness,
     ]
     return {function.__name__: function for function in named} | _SQL_KEYS

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, Row
 from pyspark.sql import functions as F
 
 from landfall import schema
@@ -53,33 +53,53 @@ def run_batch(
     names: DataFrame,
     batch_id: int,
     processed_at: Column,
+    source: tuple[str, int] | None = None,
 ) -> RunMetrics:
     """Classify once, then write facts, JSON ledger and zip ledger from the written classification.
 
     `names` lists the archives in `archive_rows`; it is used instead of the rows themselves so that no
-    archive is opened just to look up its name in the ledger. The batch counts once its commit record is
-    written, after the three tables. A committed id with the same archives is not done again and gives the
-    recorded metrics; with other archives it is refused. Only what earlier batches recorded counts as processed.
+    archive is opened just to look up its name in the ledger. One that gives no rows, since its file is gone or cannot be
+    read, is recorded as failed. The batch counts once it is committed, after the three tables. A committed id with the same
+    archives is not done again and gives the recorded metrics; with other archives it is refused. Only what committed
+    batches recorded counts as processed.
     """
     archives_now = names.agg(F.count("*"), F.coalesce(F.bit_xor(F.xxhash64("zip_file_name")), F.lit(0))).first()
     done = store.committed(batch_id)
-    if done is not None and (done.archives, done.names) == tuple(archives_now):
-        return RunMetrics(done.manifests_processed, done.zip_failures, done.zips_processed)
-    store.start_batch(batch_id)
+    if done is not None:
+        if (done.archives, done.names) != tuple(archives_now):
+            raise ValueError(f"batch {batch_id} is committed already, with other archives")
+        return metrics_of(done)
+    write_id = store.new_write_id()
     with scratch(store.spark, "ingest") as folder:
         observed = Observation()
-        recorded = store.recorded_for(names, batch_id)
+        recorded = store.recorded_for(names)
         found = classified(archive_rows, recorded, names, f"{folder}/exceptions")
         staged = tables.written(_staged(found, observed), f"{folder}/classified")
-        store.write_batch(tables.PASSENGER_FACT, rows.passenger_facts(staged), batch_id)
-        store.write_batch(tables.JSON_LEDGER, rows.json_ledger_rows(staged, processed_at), batch_id)
-        totals = rows.zip_totals(staged)
-        store.write_batch(tables.ZIP_LEDGER, rows.zip_ledger_rows(totals, processed_at), batch_id)
-        metrics = RunMetrics(**observed.get)
-    store.commit(batch_id, *archives_now, (metrics.manifests_processed, metrics.zip_failures, metrics.zips_processed))
+        store.write_batch(tables.PASSENGER_FACT, rows.passenger_facts(staged), write_id)
+        store.write_batch(tables.JSON_LEDGER, rows.json_ledger_rows(staged, processed_at), write_id)
+        unread = tables.written(_unread(names, staged), f"{folder}/unread")
+        totals = rows.zip_totals(staged.unionByName(unread, allowMissingColumns=True))
+        store.write_batch(tables.ZIP_LEDGER, rows.zip_ledger_rows(totals, processed_at), write_id)
+        lost = unread.count()
+        counted = RunMetrics(**observed.get)
+    metrics = RunMetrics(counted.manifests_processed, counted.zip_failures + lost, counted.zips_processed + lost)
+    store.commit(batch_id, write_id, *archives_now, (metrics.manifests_processed, metrics.zip_failures, metrics.zips_processed), source)
     return metrics
 
 
+def metrics_of(commit: Row) -> RunMetrics:
+    return RunMetrics(commit.manifests_processed, commit.zip_failures, commit.zips_processed)
+
+
+def _unread(names: DataFrame, staged: DataFrame) -> DataFrame:
+    """Headers of the archives that gave none, one for each time a name is missing."""
+    wanted = names.groupBy("zip_file_name").agg(F.count("*").alias("_wanted"))
+    given = staged.filter(F.col("entry_index").isNull()).groupBy("zip_file_name").agg(F.count("*").alias("_given"))
+    missing = F.col("_wanted") - F.coalesce("_given", F.lit(0))
+    lost = wanted.join(given, "zip_file_name", "left").filter(missing > 0)
+    return archives.unreadable_headers(lost.select("zip_file_name", F.explode(F.sequence(F.lit(1).cast("long"), missing))))
+
+
 def ingest_new_files(
     store: Store, path: str, as_of: Column, processed_at: Column | None = None
 ) -> RunMetrics:

@@ -1,4 +1,4 @@
-"""Purge, backfill and compaction of the stored tables, rewriting only the partitions they touch."""
+"""Purge and backfill of the stored tables, rewriting only the partitions they touch. A job that broke off is run again."""
 
 from __future__ import annotations
 
@@ -34,7 +34,7 @@ def _delete(store: Store, table: str, stored: DataFrame, column: str, keys: list
     if not periods:
         return 0
     near = stored.filter(F.col("period").isin(periods)).join(touched.select(*PARTITIONS), PARTITIONS, "left_semi")
-    store.rewrite(table, near.filter(~F.coalesce(hit, F.lit(False))).select(*stored.columns), touched)
+    store.rewrite(table, near.filter(~F.coalesce(hit, F.lit(False))).select(*stored.columns), touched, folder)
     return touched.agg(F.sum("hits")).first()[0]
 
 
@@ -44,7 +44,6 @@ def purge_date(store: Store, date: str, limit: int) -> PurgeCounts:
 
     The ledgers are read in the date's partitions only, but for the deleted names, at most `limit`, which
     the tables are searched for."""
-    store.recover()
     with scratch(store.spark, "purge") as folder:
         zip_ledger = store.ledger_of_date(tables.ZIP_LEDGER, date).drop(*PARTITIONS)
         json_ledger = store.ledger_of_date(tables.JSON_LEDGER, date).drop(*PARTITIONS)
@@ -62,7 +61,6 @@ def purge_date(store: Store, date: str, limit: int) -> PurgeCounts:
 
 
 def _delete_key(store: Store, table: str, stored: DataFrame, column: str, key: str) -> int:
-    store.recover()
     with scratch(store.spark, "delete") as folder:
         return _delete(store, table, stored, column, [key], folder)
 
@@ -102,7 +100,6 @@ def purge_expired_date(store: Store, as_of: Column, years: int, limit: int) -> P
 
 def backfill_summary(store: Store, date: str | None = None, since: str | None = None) -> int:
     """Recompute the summary columns for one date, or for all from `since` on. Returns rows updated."""
-    store.recover()
     if date is None:
         ledger, zips = store.partitioned(tables.JSON_LEDGER), store.read(tables.ZIP_LEDGER)
     else:
@@ -117,13 +114,12 @@ def backfill_summary(store: Store, date: str | None = None, since: str | None =
         others = ledger.join(touched, PARTITIONS, "left_semi").join(archives, "zip_file_name", "left_anti")
         changed = updated.count()
         if changed:
-            store.rewrite(tables.JSON_LEDGER, updated.unionByName(others).select(*ledger.columns), touched)
+            store.rewrite(tables.JSON_LEDGER, updated.unionByName(others).select(*ledger.columns), touched, folder)
         return changed
 
 
 def backfill_created_on(store: Store) -> int:
     """Fill missing archive dates where the name holds one. Returns rows updated."""
-    store.recover()
     zips = store.partitioned(tables.ZIP_LEDGER)
     filled = F.col("created_on").isNull() & F.col("filled_on").isNotNull()
     with scratch(store.spark, "created-on") as folder:
@@ -141,22 +137,6 @@ def backfill_created_on(store: Store) -> int:
         )
         changed = touched.agg(F.coalesce(F.sum("changed"), F.lit(0))).first()[0]
         if changed:
-            store.rewrite(tables.ZIP_LEDGER, rewritten.select(*zips.columns), touched)
+            store.rewrite(tables.ZIP_LEDGER, rewritten.select(*zips.columns), touched, folder)
         return changed
 
-
-def compact(store: Store) -> None:
-    """Merge the batches of each period into its last one, so that the number of files follows the periods and not the
-    batches, and the commit records into the last. Run it now and then, between batches."""
-    store.recover()
-    for table in tables.SCHEMAS:
-        stored = store.partitioned(table)
-        per_period = stored.select(*PARTITIONS).distinct().groupBy("period").agg(F.count("*").alias("batches"), F.max("batch_id").alias("last"))
-        with scratch(store.spark, "compact") as folder:
-            many = tables.written(per_period.filter("batches > 1").select("period", "last"), f"{folder}/{table}")
-            if many.isEmpty():
-                continue
-            rows = stored.join(many, "period").withColumn("batch_id", F.col("last"))
-            touched = stored.select(*PARTITIONS).distinct().join(many, "period").select(*PARTITIONS)
-            store.rewrite(table, rows.select(*stored.columns), touched)
-    store.forget_commits()

@@ -62,10 +62,9 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
-def children(spark: SparkSession, path: str) -> list[str]:
-    """Names in a folder; none where there is no folder."""
-    files, folder = _on(spark, path)
-    return sorted(status.getPath().getName() for status in files.listStatus(folder)) if files.exists(folder) else []
+def exists(spark: SparkSession, path: str) -> bool:
+    files, file = _on(spark, path)
+    return files.exists(file)
 
 
 @contextmanager

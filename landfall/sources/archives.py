@@ -23,9 +23,12 @@ from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.session import exists
+
 ARCHIVE_ROW = (
     "zip_file_name string, zip_ok boolean, entry_index bigint, json_file_name string, "
     "occurrence bigint, content string"
@@ -90,10 +93,21 @@ def archive_files(spark: SparkSession, path: str, after: str | None = None) -> D
 
 
 def archives_at(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The same of the files of a bounded list."""
-    if not paths:
-        return spark.createDataFrame([], "zip_file_name string, path string, length long, by_path boolean, content binary")
-    return _scan(spark, [re.sub(r"([{}\[\]*?\\])", r"\\\1", path) for path in paths])
+    """The same of the files of a bounded list; those that are gone are left out."""
+    if paths:
+        try:
+            return _scan(spark, [_no_pattern(path) for path in paths])
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+        left = [path for path in paths if exists(spark, path)]
+        if left:
+            return _scan(spark, [_no_pattern(path) for path in left])
+    return spark.createDataFrame([], "zip_file_name string, path string, length long, by_path boolean, content binary")
+
+
+def _no_pattern(path: str) -> str:
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
 
 
 def archive_stream(spark: SparkSession, path: str, files_per_batch: int, **options) -> DataFrame:
@@ -229,27 +243,6 @@ def _readable(pieces: Iterator[list[tuple]]) -> tuple[bool, list[tuple] | None]:
     return True, None if more else first
 
 
-def _explode_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Archives whose bytes are in the rows. One that unpacks to more than a piece is checked whole before a row is handed on."""
-    rows, held = [], 0
-    for batch in batches:
-        for name, content in zip(batch.column("zip_file_name").to_pylist(), batch.column("content").to_pylist()):
-            ok, found = _readable(_pieces(name, io.BytesIO(content)))
-            rows.append(_header(name, ok))
-            if found is not None:
-                rows += found
-                held += sum(len(row[5]) for row in found)
-            elif ok:
-                yield _batch(rows)
-                rows, held = [], 0
-                for piece in _pieces(name, io.BytesIO(content)):
-                    yield _batch(piece)
-            if held > PIECE:
-                yield _batch(rows)
-                rows, held = [], 0
-    yield _batch(rows)
-
-
 # --- by ranges of entries ---------------------------------------------------------------------------
 
 def _opened(file: BinaryIO) -> tuple[zipfile.ZipFile | None, list[zipfile.ZipInfo]]:
@@ -325,32 +318,52 @@ def _check_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([pa.array(broken, pa.string())], ["broken"])
 
 
-def _read_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Archives whose bytes are in the rows, and ranges of those opened by path. What unpacks to more than a piece is
+    checked whole before a row is handed on."""
+    rows, held = [], 0
     for batch in batches:
-        for row in batch.to_pylist():
-            if row["range_no"] == 0:
-                yield _batch([_header(row["zip_file_name"], not row["broken"])])
-            if not row["broken"]:
-                for piece in _range_pieces(row):
-                    yield _batch(piece)
+        names, contents = batch.column("zip_file_name").to_pylist(), batch.column("content")
+        ranges = batch.drop_columns(["content"]).to_pylist()
+        for at, name in enumerate(names):
+            if ranges[at]["path"] is not None:
+                yield _batch(rows)
+                rows, held = [], 0
+                if ranges[at]["range_no"] == 0:
+                    yield _batch([_header(name, not ranges[at]["broken"])])
+                if not ranges[at]["broken"]:
+                    yield from map(_batch, _range_pieces(ranges[at]))
+                continue
+            content = contents[at].as_buffer()
+            ok, found = _readable(_pieces(name, pa.BufferReader(content)))
+            rows.append(_header(name, ok))
+            rows += found or []
+            held += sum(len(row[5]) for row in found or [])
+            if held > PIECE or (ok and found is None):
+                yield _batch(rows)
+                rows, held = [], 0
+            if ok and found is None:
+                yield from map(_batch, _pieces(name, pa.BufferReader(content)))
+    yield _batch(rows)
 
 
-def _rows_by_path(files: DataFrame) -> DataFrame:
+def _checked_ranges(files: DataFrame) -> DataFrame:
     """All ranges of an archive are checked before one is handed on, since one may fail while others are done."""
     spread = files.select("zip_file_name", "path").mapInArrow(_list_ranges, _RANGE_ROW).repartition("path", "range_no")
     broken = spread.mapInArrow(_check_ranges, "broken string").distinct()
-    marked = spread.join(broken, F.col("path") == F.col("broken"), "left")
-    return marked.mapInArrow(_read_ranges, ARCHIVE_ROW)
+    return spread.join(broken, F.col("path") == F.col("broken"), "left").withColumn("content", F.lit(None).cast("binary"))
 
 
 def archive_rows(files: DataFrame) -> DataFrame:
     """Header and entry rows of `files`: zip_file_name with content, or with a path that Arrow can open, or what `archive_files` gives."""
-    if "content" not in files.columns:
-        return _rows_by_path(files)
-    if "by_path" not in files.columns:
-        return files.select("zip_file_name", "content").mapInArrow(_explode_content, ARCHIVE_ROW)
-    short = files.filter(~F.col("by_path")).select("zip_file_name", "content").mapInArrow(_explode_content, ARCHIVE_ROW)
-    return short.unionByName(_rows_by_path(files.filter("by_path")))
+    if "by_path" in files.columns:
+        parts = [files.filter(~F.col("by_path")).select("zip_file_name", "content"), _checked_ranges(files.filter("by_path"))]
+    else:
+        parts = [files.select("zip_file_name", "content") if "content" in files.columns else _checked_ranges(files)]
+    every = files.sparkSession.createDataFrame([], _RANGE_ROW + ", broken string, content binary")
+    for part in parts:
+        every = every.unionByName(part, allowMissingColumns=True)
+    return every.mapInArrow(_read, ARCHIVE_ROW)
 
 
 def unreadable_headers(archives: DataFrame) -> DataFrame:

@@ -1,12 +1,9 @@
-"""The three stored tables as partitioned Parquet, and the record of what was committed.
+"""The three stored tables as partitioned Parquet, and the table of committed batches.
 
-Rows are partitioned by a calendar period and by the batch that wrote them. A batch counts once its commit record,
-written last, is there: readers leave later ids out, the next id is one above the last record, and what a broken-off
-batch has left is removed before the id is used again. Batches are committed in order by one writer.
-
-Rewrites (purge, backfill, compaction) first write what shall replace some partitions, then the list of those partitions,
-and then put it in place. One that breaks off after the list is finished by the next job, and before it is forgotten, so rows are
-neither lost nor doubled.
+Rows are partitioned by a calendar period and by the write that made them. A batch writes under a new number, and counts once its
+row is in the table of commits, which every reader joins; what a broken-off batch has written is never seen, and its
+repetition writes under another number. Purge and backfill overwrite the partitions they touch (dynamic partition overwrite), and may
+be run again after a break.
 """
 
 from __future__ import annotations
@@ -21,7 +18,7 @@ from pyspark.sql import types as T
 
 from landfall import schema
 from landfall.functions import dates
-from landfall.session import children, prepare, remove
+from landfall.session import prepare, remove
 
 PASSENGER_FACT, JSON_LEDGER, ZIP_LEDGER = "passenger_fact", "json_ledger", "zip_ledger"
 SCHEMAS = {
@@ -29,7 +26,7 @@ SCHEMAS = {
     JSON_LEDGER: schema.JSON_LEDGER,
     ZIP_LEDGER: schema.ZIP_LEDGER,
 }
-PARTITIONS = ["period", "batch_id"]
+PARTITIONS = ["period", "write_id"]
 # Order inside a partition: look-ups by port, and by archive, then skip row groups.
 SORTED_BY = {
     PASSENGER_FACT: "arrival_port_code",
@@ -44,7 +41,10 @@ LOOKED_UP = {
 }
 # Rows whose name holds no date go to one of so many periods of their own.
 UNDATED, UNDATED_PERIODS = "undated", 16
-COMMIT = "archives long, names long, manifests_processed long, zip_failures long, zips_processed long"
+COMMIT = (
+    "batch_id long, write_id long, source string, source_batch long, archives long, names long, "
+    "manifests_processed long, zip_failures long, zips_processed long"
+)
 
 
 class Store:
@@ -81,12 +81,15 @@ class Store:
 
     def stored(self, table: str) -> DataFrame:
         """All rows with their partition columns, of batches that were not committed too."""
-        partitions = [T.StructField("period", T.StringType()), T.StructField("batch_id", T.LongType())]
+        partitions = [T.StructField("period", T.StringType()), T.StructField("write_id", T.LongType())]
         return self._written(self.path(table), T.StructType(SCHEMAS[table].fields + partitions))
 
+    def _of_commits(self, rows: DataFrame) -> DataFrame:
+        return rows.join(self.commits().select("write_id"), "write_id", "left_semi").select(*rows.columns)
+
     def partitioned(self, table: str) -> DataFrame:
         """Committed rows with their partition columns; no rows where the table was never written."""
-        return self.stored(table).filter(F.col("batch_id") <= self.last_batch_id())
+        return self._of_commits(self.stored(table))
 
     def read(self, table: str) -> DataFrame:
         return self.partitioned(table).drop(*PARTITIONS)
@@ -104,40 +107,31 @@ class Store:
 
     # --- commits --------------------------------------------------------------------------------------
 
-    def _commit_path(self, batch_id: int) -> str:
-        return f"{self.root}/commits/batch_id={batch_id}"
+    def commits(self) -> DataFrame:
+        """A row for each committed batch: its id, the number it wrote under, where it came from, and its metrics."""
+        return self._written(f"{self.root}/commits", T.StructType.fromDDL(COMMIT))
 
     def last_batch_id(self) -> int:
-        """The last committed batch, -1 if there is none. A record counts once its write is complete."""
-        found = sorted((int(name.partition("=")[2]) for name in children(self.spark, f"{self.root}/commits")), reverse=True)
-        return next((n for n in found if "_SUCCESS" in children(self.spark, self._commit_path(n))), -1)
+        """The last committed batch, -1 if there is none."""
+        return self.commits().agg(F.coalesce(F.max("batch_id"), F.lit(-1))).first()[0]
+
+    def new_write_id(self) -> int:
+        """A number that no batch, finished or not, has written under."""
+        return uuid.uuid4().int >> 65
 
-    def commit(self, batch_id: int, archives: int = 0, names: int = 0, metrics: tuple[int, int, int] = (0, 0, 0)) -> None:
-        record = self.spark.createDataFrame([(archives, names, *metrics)], COMMIT).coalesce(1)
-        record.write.mode("overwrite").parquet(self._commit_path(batch_id))
+    def commit(
+        self, batch_id: int, write_id: int | None = None, archives: int = 0, names: int = 0, metrics: tuple[int, int, int] = (0, 0, 0),
+        source: tuple[str, int] | None = None,
+    ) -> None:
+        """One row is one file, so a commit is there or not. `source`: a stream's id and its own number of the batch."""
+        row = (batch_id, batch_id if write_id is None else write_id, *(source or (None, None)), archives, names, *metrics)
+        self.spark.createDataFrame([row], COMMIT).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
 
     def committed(self, batch_id: int) -> Row | None:
-        """The record of a committed batch, if it is still kept."""
-        if "_SUCCESS" not in children(self.spark, self._commit_path(batch_id)):
-            return None
-        return self.spark.read.schema(COMMIT).parquet(self._commit_path(batch_id)).first()
-
-    def forget_commits(self) -> None:
-        """All records but the last one."""
-        last = self.last_batch_id()
-        for name in children(self.spark, f"{self.root}/commits"):
-            if int(name.partition("=")[2]) < last:
-                remove(self.spark, f"{self.root}/commits/{name}")
-
-    def start_batch(self, batch_id: int) -> None:
-        """Refuses a committed id, finishes what a rewrite has left, and removes what broken-off batches have."""
-        self.recover()
-        last = self.last_batch_id()
-        if batch_id <= last:
-            raise ValueError(f"batch {batch_id} is committed already, the last one is {last}")
-        for table in SCHEMAS:
-            left = self.stored(table).filter(F.col("batch_id") > last).select(*PARTITIONS).distinct().collect()
-            self.drop_partitions(table, [(r.period, r.batch_id) for r in left])
+        return self.commits().filter(F.col("batch_id") == batch_id).first()
+
+    def committed_from(self, source: str, source_batch: int) -> Row | None:
+        return self.commits().filter((F.col("source") == source) & (F.col("source_batch") == source_batch)).first()
 
     # --- checks ---------------------------------------------------------------------------------------
 
@@ -153,24 +147,20 @@ class Store:
 
     # --- batches --------------------------------------------------------------------------------------
 
-    def recorded_for(self, archives: DataFrame, before_batch: int) -> DataFrame:
-        """JSON ledger rows that earlier batches may have written for the given archives.
+    def recorded_for(self, archives: DataFrame) -> DataFrame:
+        """JSON ledger rows that committed batches may have for the given archives.
 
         The period follows from the archive's name, so only the periods that occur are read. They are
         calendar values, hence few, whatever the number of archives.
         """
         periods = [row[0] for row in archives.select(self._period(JSON_LEDGER)).distinct().collect()]
-        return (
-            self.stored(JSON_LEDGER)
-            .filter(F.col("period").isin(periods) & (F.col("batch_id") < before_batch))
-            .drop(*PARTITIONS)
-        )
+        return self._of_commits(self.stored(JSON_LEDGER).filter(F.col("period").isin(periods))).drop(*PARTITIONS)
 
-    def write_batch(self, table: str, rows: DataFrame, batch_id: int) -> None:
+    def write_batch(self, table: str, rows: DataFrame, write_id: int) -> None:
         self.replace_partitions(
             table,
             rows.select(*SCHEMAS[table].fieldNames()).withColumns(
-                {"period": self._period(table), "batch_id": F.lit(batch_id).cast("long")}
+                {"period": self._period(table), "write_id": F.lit(write_id).cast("long")}
             ),
         )
 
@@ -189,36 +179,18 @@ class Store:
             .parquet(self.path(table))
         )
 
-    def drop_partitions(self, table: str, partitions: Iterable[tuple[str, int]]) -> None:
+    def _drop_partitions(self, table: str, partitions: Iterable[tuple[str, int]]) -> None:
         """Remove whole partitions. A dynamic overwrite cannot: it leaves alone what gets no row."""
-        for period, batch_id in partitions:
-            remove(self.spark, f"{self.path(table)}/period={period}/batch_id={batch_id}")
-
-    # --- rewrites -------------------------------------------------------------------------------------
-
-    def rewrite(self, table: str, rows: DataFrame, touched: DataFrame) -> None:
-        """Put `rows`, with their partition columns, in the place of the partitions `touched`."""
-        pending = f"{self.root}/pending/{table}-{uuid.uuid4().hex}"
-        rows.write.parquet(f"{pending}/rows")
-        touched.select(*PARTITIONS).write.parquet(f"{pending}/touched")  # from here on it will be finished
-        self._apply(table, pending)
-
-    def _apply(self, table: str, pending: str) -> None:
-        """Every step may be repeated."""
-        rows = self.spark.read.parquet(f"{pending}/rows")
-        touched = self.spark.read.parquet(f"{pending}/touched")
+        for period, write_id in partitions:
+            remove(self.spark, f"{self.path(table)}/period={period}/write_id={write_id}")
+
+    def rewrite(self, table: str, rows: DataFrame, touched: DataFrame, folder: str) -> None:
+        """Put `rows`, with their partition columns, in the place of the partitions `touched`. They are written to `folder` first,
+        since they are read from what they replace."""
+        rows = written(rows, f"{folder}/rewritten-{table}")
         self.replace_partitions(table, rows)
-        emptied = touched.join(rows.select(*PARTITIONS).distinct(), PARTITIONS, "left_anti").distinct().collect()
-        self.drop_partitions(table, [(r.period, r.batch_id) for r in emptied])
-        remove(self.spark, pending)
-
-    def recover(self) -> None:
-        for name in children(self.spark, f"{self.root}/pending"):
-            pending = f"{self.root}/pending/{name}"
-            if "_SUCCESS" in children(self.spark, f"{pending}/touched"):
-                self._apply(name.rpartition("-")[0], pending)
-            else:
-                remove(self.spark, pending)
+        emptied = touched.select(*PARTITIONS).join(rows.select(*PARTITIONS).distinct(), PARTITIONS, "left_anti").distinct().collect()
+        self._drop_partitions(table, [(r.period, r.write_id) for r in emptied])
 
 
 def written(rows: DataFrame, path: str) -> DataFrame:

@@ -10,7 +10,6 @@ from landfall.operators import backfill, quality, retention
 from landfall.plans.maintenance import (
     PurgeCounts,
     backfill_created_on,
-    compact,
     backfill_summary,
     delete_facts,
     delete_json,
@@ -19,7 +18,7 @@ from landfall.plans.maintenance import (
     purge_expired,
     purge_expired_date,
 )
-from landfall.session import children, fresh_path
+from landfall.session import fresh_path
 from landfall.sources import feed
 from landfall.sources.tables import JSON_LEDGER, PASSENGER_FACT, ZIP_LEDGER, Store
 from samples import at, fact_rows, json_rows, zip_rows
@@ -268,43 +267,39 @@ def test_purge_until_the_date_is_closed(store):
     assert purge_date(store, DAY[2], 500) == PurgeCounts(4, 4, 1)
 
 
-def files_of(store):
-    return {t: len(set(r[0] for r in store.stored(t).select(F.input_file_name()).collect())) for t in (JSON_LEDGER, ZIP_LEDGER)}
-
-
-def test_compaction_bounds_files_by_periods(spark):
-    made = Store(spark, fresh_path(spark, "test-store"))
-    for batch in range(12):
-        documents = [{"zip_file_name": ZIP[1 + batch % 2], "json_file_name": f"{batch}.json"}]
-        made.write_batch(JSON_LEDGER, json_rows(spark, documents), batch)
-        made.write_batch(ZIP_LEDGER, zip_rows(spark, [(ZIP[1 + batch % 2], DAY[1])]), batch)
-        made.commit(batch)
-    before = sorted(map(str, made.read(JSON_LEDGER).collect()))
-    assert files_of(made) == {JSON_LEDGER: 12, ZIP_LEDGER: 12}
-    for _ in range(2):
-        compact(made)
-        assert files_of(made) == {JSON_LEDGER: 2, ZIP_LEDGER: 2}
-        assert sorted(map(str, made.read(JSON_LEDGER).collect())) == before
-        assert made.last_batch_id() == 11 and len(children(spark, f"{made.root}/commits")) == 1
-
-
-def test_rewrite_broken_off_is_finished_by_the_next_job(store, monkeypatch):
+def test_rewrite_broken_off_is_run_again(store, monkeypatch):
+    """A job that broke off between its steps is run again: rows are neither lost nor doubled."""
     whole = content(store)
-    for step in ("_apply", "replace_partitions", "drop_partitions"):
+    for step in ("replace_partitions", "_drop_partitions"):
         with monkeypatch.context() as patched, pytest.raises(RuntimeError):
             def fail(*_):
                 raise RuntimeError(step)
 
             patched.setattr(Store, step, fail)
             delete_json(store, "1a")
-        store.recover()
-        assert content(store)[1] == [d for d in whole[1] if d[1] != "1a"] and children(store.spark, f"{store.root}/pending") == []
-        store.write_batch(JSON_LEDGER, json_rows(store.spark, [{"zip_file_name": ZIP[1], "json_file_name": "1a"}]), 0)
         assert content(store) == whole
+    assert delete_json(store, "1a") == 1
+    assert content(store)[1] == [d for d in whole[1] if d[1] != "1a"]
+
+
+def test_purge_broken_off_after_the_facts_is_completed(store, monkeypatch):
+    replace = Store.replace_partitions
+
+    def fail(self, table, rows):
+        if table != PASSENGER_FACT:
+            raise RuntimeError(table)
+        replace(self, table, rows)
+
+    with monkeypatch.context() as patched, pytest.raises(RuntimeError):
+        patched.setattr(Store, "replace_partitions", fail)
+        purge_date(store, DAY[2], 500)
+    assert purge_date(store, DAY[2], 500) == PurgeCounts(0, 4, 1)
+    assert content(store) == (["1a", "3a"], [(ZIP[1], "1a"), (ZIP[3], "3a")], [ZIP[1], ZIP[3]])
 
 
-def test_rewrite_without_its_list_is_forgotten(store):
-    store.partitioned(JSON_LEDGER).limit(0).write.parquet(f"{store.root}/pending/{JSON_LEDGER}-x/rows")
+def test_rows_of_batches_that_were_not_committed_are_not_seen(store):
     before = content(store)
-    store.recover()
-    assert content(store) == before and children(store.spark, f"{store.root}/pending") == []
+    store.write_batch(JSON_LEDGER, json_rows(store.spark, [{"zip_file_name": ZIP[1], "json_file_name": "left"}]), store.new_write_id())
+    assert content(store) == before
+    assert delete_json(store, "left") == 0 and delete_json(store, "1a") == 1
+    assert store.last_batch_id() == 0 and store.committed(1) is None
