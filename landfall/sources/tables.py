@@ -11,14 +11,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from landfall import schema
 from landfall.functions import dates
-from landfall.session import prepare, remove
+from landfall.session import exists, prepare, remove
 
 PASSENGER_FACT, JSON_LEDGER, ZIP_LEDGER = "passenger_fact", "json_ledger", "zip_ledger"
 SCHEMAS = {
@@ -72,12 +71,7 @@ class Store:
         return F.coalesce(self._of_date(dates.created_on(name)), F.concat(F.lit(f"{UNDATED}-"), bucket))
 
     def _written(self, path: str, columns: T.StructType) -> DataFrame:
-        try:
-            return self.spark.read.schema(columns).parquet(path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return self.spark.createDataFrame([], columns)
+        return self.spark.read.schema(columns).parquet(path) if exists(self.spark, path) else self.spark.createDataFrame([], columns)
 
     def stored(self, table: str) -> DataFrame:
         """All rows with their partition columns, of batches that were not committed too."""
