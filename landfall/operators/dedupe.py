@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from landfall.operators import probe
+
 PAIR = ["zip_file_name", "json_file_name"]
 
 
@@ -28,17 +30,17 @@ def recorded_pairs(ledger: DataFrame, archives: DataFrame | None = None) -> Data
 
 
 def unprocessed(entries: DataFrame, ledger: DataFrame) -> DataFrame:
-    return entries.join(recorded_pairs(ledger), PAIR, "left_anti")
+    """Entries whose pair is not in the ledger. Certain newcomers are told by a bitmap and not shuffled."""
+    return probe.without_pairs(entries, recorded_pairs(ledger), PAIR)
 
 
 def with_recorded_flag(pairs: DataFrame, ledger: DataFrame) -> DataFrame:
-    """Add `processed`: is the pair in the ledger?"""
-    known = recorded_pairs(ledger).withColumn("_known", F.lit(True))
-    return (
-        pairs.join(known, PAIR, "left")
-        .withColumn("processed", F.col("_known").isNotNull())
-        .drop("_known")
-    )
+    """Add `processed`: is the pair in the ledger? Certain newcomers are told by a bitmap and not shuffled."""
+    recorded = recorded_pairs(ledger)
+    certain, possible = probe.split(pairs, F.xxhash64(*PAIR), probe.bitmap(recorded, F.xxhash64(*PAIR)))
+    known = recorded.withColumn("_known", F.lit(True))
+    judged = possible.join(known, PAIR, "left").withColumn("processed", F.col("_known").isNotNull()).drop("_known")
+    return certain.withColumn("processed", F.lit(False)).unionByName(judged)
 
 
 def exceptions(entries: DataFrame, recorded: DataFrame) -> DataFrame:

@@ -77,11 +77,11 @@ def run_batch(
         staged = tables.written(_staged(found, observed), f"{folder}/classified")
         store.write_batch(tables.PASSENGER_FACT, rows.passenger_facts(staged), write_id)
         store.write_batch(tables.JSON_LEDGER, rows.json_ledger_rows(staged, processed_at), write_id)
-        unread = tables.written(_unread(names, staged), f"{folder}/unread")
-        totals = rows.zip_totals(staged.unionByName(unread, allowMissingColumns=True))
-        store.write_batch(tables.ZIP_LEDGER, rows.zip_ledger_rows(totals, processed_at), write_id)
-        lost = unread.count()
-        counted = RunMetrics(**observed.get)
+        totals, counted = staged, RunMetrics(**observed.get)
+        lost = archives_now[0] - counted.zips_processed
+        if lost:
+            totals = staged.unionByName(tables.written(_unread(names, staged), f"{folder}/unread"), allowMissingColumns=True)
+        store.write_batch(tables.ZIP_LEDGER, rows.zip_ledger_rows(rows.zip_totals(totals), processed_at), write_id)
     metrics = RunMetrics(counted.manifests_processed, counted.zip_failures + lost, counted.zips_processed + lost)
     store.commit(batch_id, write_id, *archives_now, (metrics.manifests_processed, metrics.zip_failures, metrics.zips_processed), source)
     return metrics
