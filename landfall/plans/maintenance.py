@@ -99,15 +99,17 @@ def purge_expired_date(store: Store, as_of: Column, years: int, limit: int) -> P
 
 
 def backfill_summary(store: Store, date: str | None = None, since: str | None = None) -> int:
-    """Recompute the summary columns for one date, or for all from `since` on. Returns rows updated."""
+    """Recompute the summary columns for one date, or for all from `since` on. Returns rows updated. For one date, only the facts
+    of the periods are read that its documents are scheduled in."""
     if date is None:
-        ledger, zips = store.partitioned(tables.JSON_LEDGER), store.read(tables.ZIP_LEDGER)
+        ledger, zips, facts = store.partitioned(tables.JSON_LEDGER), store.read(tables.ZIP_LEDGER), store.read(tables.PASSENGER_FACT)
     else:
         ledger = store.ledger_of_date(tables.JSON_LEDGER, date)
         zips = store.ledger_of_date(tables.ZIP_LEDGER, date).drop(*PARTITIONS)
+        facts = store.facts_of(backfill.rows_to_update(ledger, zips, date, since)).drop(*PARTITIONS)
     with scratch(store.spark, "backfill") as folder:
         updated = tables.written(
-            backfill.updated_rows(ledger, zips, store.read(tables.PASSENGER_FACT), date, since), f"{folder}/updated"
+            backfill.updated_rows(ledger, zips, facts, date, since), f"{folder}/updated"
         )
         touched = updated.select(*PARTITIONS).distinct()
         archives = updated.select("zip_file_name").distinct()

@@ -99,6 +99,17 @@ class Store:
         period = self.spark.range(1).select(self._archive_period(F.lit(name))).first()[0]
         return self.partitioned(table).filter(F.col("period") == period)
 
+    def facts_of(self, names: DataFrame) -> DataFrame:
+        """Committed facts of the periods in which documents of the given names (`json_file_name`) can have some.
+
+        The ledger says when each document is scheduled, whatever archive it came in. Where a good one's date is not known,
+        all periods are read; a failed document has no facts.
+        """
+        recorded = self.read(JSON_LEDGER).filter("success").join(names.select("json_file_name").distinct(), "json_file_name", "left_semi")
+        periods = [row[0] for row in recorded.select(self._of_date(dates.iso_date(F.col("scheduled")))).distinct().collect()]
+        facts = self.stored(PASSENGER_FACT)
+        return self._of_commits(facts if None in periods else facts.filter(F.col("period").isin(periods)))
+
     # --- commits --------------------------------------------------------------------------------------
 
     def commits(self) -> DataFrame:

@@ -303,3 +303,26 @@ def test_rows_of_batches_that_were_not_committed_are_not_seen(store):
     assert content(store) == before
     assert delete_json(store, "left") == 0 and delete_json(store, "1a") == 1
     assert store.last_batch_id() == 0 and store.committed(1) is None
+
+
+def _scheduled(store, by_day):
+    """The ledger of `store` with the dates its documents are scheduled on."""
+    rows = store.partitioned(JSON_LEDGER)
+    day = F.create_map(*[x for name, d in by_day.items() for x in (F.lit(name), F.lit(d))])[F.col("json_file_name")]
+    return rows.withColumn("scheduled", F.to_timestamp(day))
+
+
+def test_backfill_of_one_date_reads_the_facts_of_its_periods(store, spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", 2000)
+    names = spark.createDataFrame([("1a",), ("2b",)], "json_file_name string")
+    assert store.facts_of(names).count() == store.read(PASSENGER_FACT).count()  # dates are not known yet: all periods
+    path = fresh_path(spark, "scheduled")
+    _scheduled(store, {"1a": DAY[1], "2a": DAY[2], "2b": DAY[2], "2c": DAY[2], "3a": DAY[3]}).write.parquet(path)
+    store.replace_partitions(JSON_LEDGER, spark.read.parquet(path))
+    found = store.facts_of(names)
+    plan = found._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "PartitionFilters: [period" in plan and DAY[3] not in plan
+    assert sorted(r.json_file for r in found.collect()) == ["1a", "2a", "2b", "2c"]
+    assert backfill_summary(store, date=DAY[2]) == 3
+    counts = {(r.zip_file_name, r.json_file_name): counts_of(r) for r in store.read(JSON_LEDGER).collect()}
+    assert counts[(ZIP[2], "2b")] == (0, 0, 1, 0)
