@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall import session
+from landfall.operators import probe
 
 # Python gets whole rows; a batch ends at this size, so that only a single longer text makes a larger one.
 BATCH_BYTES = "16m"
@@ -76,8 +78,29 @@ def with_text_hash(docs: DataFrame) -> DataFrame:
     return docs.withColumn("text_hash", F.xxhash64("text"))
 
 
+def unused(*names: str) -> list[str]:
+    """Column names that no table has."""
+    mark = uuid.uuid4().hex
+    return [f"{name}_{mark}" for name in names]
+
+
+def among(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """`docs` joined with `keys(doc_id, text_hash, ...)` by doc_id, nulls included, and text; `how` is left_anti, left_semi or inner,
+    which adds the further columns of `keys`.
+
+    A bitmap of fixed size tells which texts are not among the keys for certain. Those do not move, however many keys there are.
+    """
+    own_id, own_hash = unused("id", "hash")
+    renamed = keys.withColumnsRenamed({"doc_id": own_id, "text_hash": own_hash})
+    hashed = F.xxhash64(F.col(own_id).cast("string"), own_hash)
+    maps = probe.bitmap(renamed, hashed)
+    certain, possible = probe.split(docs, F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text")), maps)
+    same = possible["doc_id"].eqNullSafe(F.col(own_id)) & (F.xxhash64(possible["text"]) == F.col(own_hash))
+    joined = possible.join(renamed, same, how)
+    return certain.union(joined) if how == "left_anti" else joined.drop(own_id, own_hash)
+
+
 def without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
-    """The rows of `docs` whose doc_id and text are not among `rejected(doc_id, text_hash)`; all columns stay."""
-    keys = rejected.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(docs["text"]) == F.col("_hash"))
-    return docs.join(small_or_plain(keys), same, "left_anti")
+    """The rows of `docs` whose doc_id and text are not among `rejected(doc_id, text_hash)`; all columns stay, whatever their
+    names. Rows of a null doc_id or text go like others, repeated rows together; without rejected rows all stay."""
+    return among(docs, rejected.select("doc_id", "text_hash").distinct(), "left_anti")

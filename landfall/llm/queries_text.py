@@ -18,7 +18,7 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.repeated_passages(read_table(prepare(spark), sf_dir, "documents"))
+    return substring_dedup.repeated_passages(read_table(prepare(spark), sf_dir, "documents")).drop("text_hash")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

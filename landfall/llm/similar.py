@@ -63,6 +63,33 @@ def links(workspace: Workspace, groups: DataFrame, sets: DataFrame, percent: int
     )
     waiting = workspace.table(starred.join(sizes, "component"), "waiting")
     open_rows = workspace.table(members.select("node", "shingles").join(small_or_plain(waiting), "node"), "open")
+    rest = _in_blocks(workspace, open_rows, percent, "rest")
+    return workspace.table(first.unionByName(rest).distinct(), "links")
+
+
+def links_of_stars(workspace: Workspace, edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """`star_edges` and `sets(node, shingles binary)`, each node once -> `(a, b)` links with Jaccard >= percent / 100, with the same
+    components as all links between nodes that share a band.
+
+    Where `links` compares inside the component of many stars, this compares inside each star: a node with the head it shares a band with,
+    and, if it is not linked to it, with all nodes of that head. So stars that are chained by chance cost no more than each alone.
+    """
+    heads = edges.select(F.col("a").alias("component")).distinct()
+    groups = edges.select(F.col("a").alias("component"), F.col("b").alias("node"))
+    members = workspace.table(groups.join(sets, "node").select("component", "node", "shingles"), "star-members")
+    centres = heads.join(sets, heads["component"] == sets["node"]).select("component", F.col("shingles").alias("centre"))
+    starred = members.join(centres, "component")
+    starred = workspace.table(starred.mapInArrow(_against_centre(percent), "component long, node long, linked boolean"), "star-linked")
+    first = starred.filter("linked").select(F.col("component").alias("a"), F.col("node").alias("b"))
+    sizes = starred.groupBy("component").agg(F.count("*").alias("nodes"), F.count_if(~F.col("linked")).alias("rest")).filter("rest > 0 and nodes > 1")
+    sizes = sizes.select("component", F.ceil(F.col("rest") / BLOCK).alias("blocks"), F.ceil(F.col("nodes") / SLICE).alias("slices"))
+    waiting = starred.join(sizes, "component")
+    open_rows = workspace.table(members.join(waiting, ["component", "node"]), "star-open")
+    return workspace.table(first.unionByName(_in_blocks(workspace, open_rows, percent, "star-rest")).distinct(), "star-links")
+
+
+def _in_blocks(workspace: Workspace, open_rows: DataFrame, percent: int, name: str) -> DataFrame:
+    """Links of `open_rows(component, node, linked, shingles, blocks, slices)`: the nodes that are not linked to their centre, in blocks, with all."""
     own = F.xxhash64("node")
     indexed = open_rows.filter("not linked").select(
         "component", F.pmod(own, "blocks").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"),
@@ -74,8 +101,7 @@ def links(workspace: Workspace, groups: DataFrame, sets: DataFrame, percent: int
     )
     key = ["component", "block", "slice"]
     blocks = indexed.unionByName(streamed).repartition(*key).sortWithinPartitions(*key, "streamed")
-    rest = workspace.table(blocks.mapInArrow(_within_blocks(percent), LINK), "rest")
-    return workspace.table(first.unionByName(rest).distinct(), "links")
+    return workspace.table(blocks.mapInArrow(_within_blocks(percent), LINK), name)
 
 
 def one_of_each(workspace: Workspace, sets: DataFrame, wanted: DataFrame) -> DataFrame:
