@@ -165,7 +165,8 @@ def _search(broadcast, shingle: int, percent: int, item_type: pa.DataType):
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs` that hold no item, with all their columns."""
+    """The rows of `docs` that hold no item, with all their columns, whatever their names. Null and empty texts hold none, and rows
+    that repeat a doc_id and text go or stay together."""
     work = Workspace(docs.sparkSession, "decontaminated")
     rejected = work.table(contained(docs, benchmark).select("doc_id", "text_hash").distinct(), "rejected")
     return without(docs, rejected)

@@ -2,9 +2,11 @@
 
 Characters are lower-cased letters, and a space for each run of anything else. All training texts are counted: 4-grams
 are counted where the rows are and summed in Spark, and the continuation counts of the lower orders are groupings of
-the table below. No gram is dropped, and the models stay tables: the different grams of a batch of texts are joined to
-them, and the batch gets the probabilities of its own grams only. The language with the lowest cross-entropy per
-character wins. How far a text may lie from the training rows of its language is calibrated over all of them.
+the table below. No gram is dropped, and the models stay tables. The grams that texts have get their costs in every language from them
+once, and these are stored in sorted arrays, one for each range of the grams' hash. A batch of texts sends its
+different grams to the ranges as one packed array each, they are found by binary search, and their costs come back packed. The
+language with the lowest cross-entropy per character wins. How far a text may lie from the training rows of its language is
+calibrated over all of them.
 """
 
 from __future__ import annotations
@@ -25,8 +27,10 @@ from landfall.llm.frames import Workspace, fold, map_batches
 ORDER = 4
 FOLDS, HELD_OUT = 4, 2
 SPACE, UNKNOWN = 32, "und"
-# Characters that are looked at once; longer texts are read in pieces of this length.
+# Characters that are looked at at once; longer texts are read in pieces of this length, each going on where the one before ends.
 PIECE = 1 << 20
+# Grams of one sorted array, about.
+RANGE_GRAMS = 1 << 15
 # A text is rejected if it lies further from its language than this many deviations beyond the training rows' mean.
 REACH = 6.0
 # Characters that count as independent evidence for the score.
@@ -45,19 +49,24 @@ def _letters() -> np.ndarray:
     return out
 
 
-def _characters(text: str) -> np.ndarray:
-    """Normalised characters with ORDER - 1 spaces before them; empty if there is no letter. Letters above 16 bits are
-    folded into 4,096 private codes."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    out = _letters()[np.minimum(codes, 0xFFFF)]
-    for code in np.unique(codes[codes > 0xFFFF]):
-        out[codes == code] = 0xE000 | int(code) & 0xFFF if chr(code).isalpha() else SPACE
-    letter = out != SPACE
-    if not letter.any():
-        return out[:0]
-    keep = letter.copy()
-    keep[1:] |= letter[:-1]
-    return np.concatenate((np.full(ORDER - 1, SPACE, np.uint16), out[keep]))
+def _characters(text: str | None) -> Iterator[np.ndarray]:
+    """Normalised characters of a text, PIECE of its own at a time, each with the ORDER - 1 before them, which are spaces at the start.
+    Nothing if there is no letter. Letters above 16 bits are folded into 4,096 private codes."""
+    before, after_letter = np.full(ORDER - 1, SPACE, np.uint16), False
+    for at in range(0, len(text or ""), PIECE):
+        codes = np.frombuffer(text[at : at + PIECE].encode("utf-32-le", "surrogatepass"), np.uint32)
+        out = _letters()[np.minimum(codes, 0xFFFF)]
+        for code in np.unique(codes[codes > 0xFFFF]):
+            out[codes == code] = 0xE000 | int(code) & 0xFFF if chr(code).isalpha() else SPACE
+        letter = out != SPACE
+        keep = letter.copy()
+        keep[1:] |= letter[:-1]
+        keep[0] |= after_letter
+        after_letter = bool(letter[-1])
+        if keep.any():
+            part = np.concatenate((before, out[keep]))
+            before = part[1 - ORDER :]
+            yield part
 
 
 def _grams(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -78,12 +87,10 @@ def _pieces(texts: list[str | None]) -> Iterator[tuple[list[int], list[np.ndarra
     """Texts' numbers and characters, about PIECE characters at a time."""
     owners, parts, held = [], [], 0
     for i, text in enumerate(texts):
-        for at in range(0, len(text or ""), PIECE):
-            part = _characters(text[at : at + PIECE])
-            if len(part):
-                owners.append(i)
-                parts.append(part)
-                held += len(part)
+        for part in _characters(text):
+            owners.append(i)
+            parts.append(part)
+            held += len(part)
             if held >= PIECE:
                 yield owners, parts
                 owners, parts, held = [], [], 0
@@ -201,7 +208,7 @@ def _chunked(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
     lists = [batch.column(c) for c in ("doc_id", "train", "lang")] + [pa.array(x, pa.int64()) for x in (owners, [len(p) for p in parts])] + [pa.array(words.signed(grams))]
-    columns = [pa.array([uuid.uuid4().hex]), *map(whole, lists), pa.array([pa.compress(every.tobytes(), "zstd", asbytes=True)], pa.binary())]
+    columns = [pa.array([uuid.uuid4().int >> 65]), *map(whole, lists), pa.array([pa.compress(every.tobytes(), "zstd", asbytes=True)], pa.binary())]
     return pa.RecordBatch.from_arrays(columns, ["chunk", "doc_id", "train", "lang", "owners", "sizes", "grams", "characters"])
 
 
@@ -214,17 +221,99 @@ def _parts(owners: np.ndarray, sizes: np.ndarray, every: np.ndarray) -> Iterator
         yield owners[at], [every[ends[i] - sizes[i] : ends[i]] for i in at]
 
 
-def _scored(names: list[str]):
+def _range_of(grams: np.ndarray, ranges: int) -> np.ndarray:
+    return (words.mix(grams) >> np.uint64(33)) % np.uint64(ranges)
+
+
+_ENTRY, _QUERY = "range long, is_query boolean, chunk long, grams binary, costs binary", ["range", "is_query", "chunk", "grams", "costs"]
+
+
+def _entries(ranges: int):
+    """Grams and their costs in bits, by ranges of the hash."""
+
+    def entries(batch: pa.RecordBatch) -> pa.RecordBatch:
+        grams = batch.column("gram").to_numpy().view(np.uint64)
+        bits = -np.log2(batch.column("p").flatten().to_numpy().reshape(len(grams), -1)).astype("<f4")
+        own = _range_of(grams, ranges)
+        order = np.lexsort((grams, own))
+        grams, bits, own = grams[order], bits[order], own[order]
+        numbers, first = np.unique(own, return_index=True)
+        cuts = [*first.tolist(), len(own)]
+        packed = [[x[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for x in (grams, bits)]
+        n = len(numbers)
+        columns = [pa.array(numbers.astype(np.int64)), pa.array([False] * n), pa.nulls(n, pa.int64()), *[pa.array(x, pa.binary()) for x in packed]]
+        return pa.RecordBatch.from_arrays(columns, _QUERY)
+
+    return entries
+
+
+def _queries(ranges: int):
+    """The different grams of chunks, as one array for each range."""
+
+    def queries(batch: pa.RecordBatch) -> pa.RecordBatch:
+        out = [[], [], []]
+        for chunk, grams in zip(batch.column("chunk").to_pylist(), batch.column("grams")):
+            grams = grams.values.to_numpy().view(np.uint64)
+            own = _range_of(grams, ranges)
+            for number in np.unique(own).tolist():
+                for column, value in zip(out, (number, chunk, grams[own == number].tobytes())):
+                    column.append(value)
+        n = len(out[0])
+        columns = [pa.array(out[0], pa.int64()), pa.array([True] * n, pa.bool_()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary()), pa.nulls(n, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, _QUERY)
+
+    return queries
+
+
+def _look_up(languages: int):
+    """Ranges come one after the other, each with its parts of the sorted array before the queries."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, parts, keys, bits = None, [], None, None
+        for batch in batches:
+            out = [[], [], []]
+            for number, is_query, chunk, grams, costs in zip(*(batch.column(c).to_pylist() for c in _QUERY)):
+                if number != now:
+                    now, parts, keys = number, [], None
+                if not is_query:
+                    parts.append((np.frombuffer(grams, np.uint64), np.frombuffer(costs, "<f4").reshape(-1, languages)))
+                    continue
+                if keys is None:
+                    keys, bits = (np.concatenate(x) for x in zip(*parts))
+                    order = np.argsort(keys)
+                    keys, bits = keys[order], bits[order]
+                found = bits[np.searchsorted(keys, np.frombuffer(grams, np.uint64))]
+                for column, value in zip(out, (chunk, number, found.tobytes())):
+                    column.append(value)
+            columns = [pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, ["chunk", "range", "costs"])
+
+    return run
+
+
+def _costs(work: Workspace, models: Models, chunks: DataFrame) -> tuple[DataFrame, int]:
+    """`(chunk, costs)`: for each range, the costs in every language of the chunk's grams in it; and the number of ranges."""
+    wanted = work.table(chunks.select(F.explode("grams").alias("gram")).distinct(), "wanted")
+    priced = models.probabilities(wanted, "wanted")
+    ranges = max(1, -(-wanted.count() // RANGE_GRAMS))
+    rows = map_batches(priced, _entries(ranges), _ENTRY).unionByName(map_batches(chunks.select("chunk", "grams"), _queries(ranges), _ENTRY))
+    ordered = rows.repartition("range").sortWithinPartitions("range", "is_query")
+    found = ordered.mapInArrow(_look_up(len(models.langs)), "chunk long, range long, costs binary")
+    return found.groupBy("chunk").agg(F.collect_list(F.struct("range", "costs")).alias("costs")), ranges
+
+
+def _scored(names: list[str], ranges: int):
     def score_chunk(chunk: dict) -> list[pa.Array]:
         owners, sizes = (chunk[c].values.to_numpy(zero_copy_only=False) for c in ("owners", "sizes"))
         every = np.frombuffer(pa.decompress(chunk["characters"].as_py(), 2 * int(sizes.sum()), "zstd"), np.uint16) if len(sizes) else np.empty(0, np.uint16)
         n = len(chunk["doc_id"].values)
         sums, lengths = np.zeros((len(names), n)), np.zeros(n, np.int64)
-        if names and chunk["found"].is_valid:
-            keys, p = chunk["found"].values.flatten()
-            keys, bits = keys.to_numpy(zero_copy_only=False).view(np.uint64), -np.log2(p.flatten().to_numpy(zero_copy_only=False).reshape(-1, len(names)))
-            by_key = np.argsort(keys)
-            keys, bits = keys[by_key], bits[by_key].T
+        keys = chunk["grams"].values.to_numpy().view(np.uint64)
+        bits = np.empty((len(names), len(keys)))
+        if names and chunk["costs"].is_valid:
+            own = _range_of(keys, ranges)
+            for found in chunk["costs"].as_py():
+                bits[:, own == found["range"]] = np.frombuffer(found["costs"], "<f4").reshape(-1, len(names)).T
         for own, parts in _parts(owners, sizes, every):
             codes, counts = _grams(parts)
             starts = np.concatenate(([0], np.cumsum(counts)[:-1]))
@@ -267,16 +356,15 @@ def language_id(docs: DataFrame) -> DataFrame:
     models = _fit(work, _order_tables(work, rows.filter("train and text is not null").select("text", "lang")))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     lists = f"doc_id array<{id_type}>, train array<boolean>, lang array<string>, owners array<long>, sizes array<long>, grams array<long>"
-    chunks = work.table(map_batches(rows, _chunked, f"chunk string, {lists}, characters binary"), "chunks")
-    grams = chunks.select("chunk", F.explode("grams").alias("gram"))
+    chunks = work.table(map_batches(rows, _chunked, f"chunk long, {lists}, characters binary"), "chunks")
+    ranges = 1
     if models.langs:
-        found = grams.join(models.probabilities(work.table(grams.select("gram").distinct(), "wanted"), "wanted"), "gram")
-        found = found.groupBy("chunk").agg(F.collect_list(F.struct("gram", "p")).alias("found"))
-        chunks = chunks.drop("grams").join(found, "chunk", "left")
+        costs, ranges = _costs(work, models, chunks)
+        chunks = chunks.join(costs, "chunk", "left")
     else:
-        chunks = chunks.drop("grams").withColumn("found", F.lit(None).cast("array<struct<gram:bigint,p:array<double>>>"))
+        chunks = chunks.withColumn("costs", F.lit(None).cast("array<struct<range:bigint,costs:binary>>"))
     schema = f"doc_id {id_type}, train boolean, lang string, lang_pred string, score double, cross_entropy double, n_letters long"
-    scored = work.table(map_batches(chunks, _scored(models.langs), schema), "scored")
+    scored = work.table(map_batches(chunks, _scored(models.langs, ranges), schema), "scored")
     return _calibrated(work, scored).withColumn("held_out", held_out).select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from landfall.llm import similar, words
 from landfall.llm.components import connected_components
-from landfall.llm.frames import Workspace, map_batches, small_or_plain, text_bytes, with_text_hash, without
+from landfall.llm.frames import Workspace, map_batches, small_or_plain, text_bytes, unused, with_text_hash, without
 
 BANDS, ROWS = 32, 6
 
@@ -109,15 +109,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
 
 
 def deduplicated(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs`, with all their columns, of which one document of each group of near duplicates is left; of
-    rows that repeat a kept doc_id, one is left."""
+    """The rows of `docs`, with all their columns, whatever their names, of which one document of each group of near duplicates is left; of
+    rows that repeat a kept doc_id and text, one is left. Texts without words, null ones too, stay."""
     work = Workspace(docs.sparkSession, "deduplicated")
     verdicts = work.table(near_duplicates(docs, shingle, percent), "verdicts")
     left = without(docs, verdicts.filter("not kept"))
-    repeated = verdicts.filter("kept").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_id"))
+    repeated = verdicts.filter("kept").groupBy("doc_id").count().filter("count > 1").select("doc_id")
     repeated = work.table(repeated, "repeated")
     if repeated.isEmpty():
         return left
-    same = left["doc_id"].eqNullSafe(F.col("_id"))
-    once = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    return left.join(repeated, same, "left_anti").unionByName(once)
+    (own,) = unused("id")
+    ids = repeated.withColumnRenamed("doc_id", own)
+    same = left["doc_id"].eqNullSafe(F.col(own))
+    once = left.join(ids, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    return left.join(ids, same, "left_anti").unionByName(once)

@@ -157,19 +157,36 @@ class Mix:
         return rows.withColumn("uses", F.coalesce(picked, F.array().cast("array<struct<pass:bigint,shard:bigint,partial:boolean>>")))
 
     def per_document(self) -> DataFrame:
-        """One row for each row of the input: doc_id, size, source_size, target, taken."""
-        return self._uses(self.sizes).select("doc_id", "size", "source_size", "target", (F.col("size") * F.size("uses")).cast("long").alias("taken"))
+        """One row for each row of the input: doc_id, size, source_size, target, taken, and mix_shards, the output shards it
+        was drawn into, in the order of its uses."""
+        taken = (F.col("size") * F.size("uses")).cast("long").alias("taken")
+        return self._uses(self.sizes).select("doc_id", "size", "source_size", "target", taken, F.transform("uses", lambda u: u["shard"]).alias("mix_shards"))
+
+    def _used(self) -> DataFrame:
+        """`doc`, all columns of a document, whatever their names, for each of its uses; mix_pass, mix_shard, mix_order."""
+        keyed = _with_key(self.docs.select(F.struct(*[F.col(f"`{c}`") for c in self.docs.columns]).alias("doc"), "doc_id", "source"))
+        used = self._uses(keyed).select("doc", F.explode("uses").alias("use"))
+        order = _order(F.col("doc.doc_id"), F.col("use.pass"), F.col("use.shard"))
+        return used.select("doc", F.col("use.pass").alias("mix_pass"), F.col("use.shard").alias("mix_shard"), order.alias("mix_order"))
+
+    def _shuffled(self) -> DataFrame:
+        """The uses, dealt out by shard and put into the shards' order. A shard is many tasks."""
+        spread = self._used().repartition("mix_shard", F.pmod("mix_order", F.lit(64)))
+        return spread.sortWithinPartitions("mix_shard", "mix_order")
 
     def rows(self) -> DataFrame:
         """The mix itself: the documents, with all their columns, as often as they are used, with `mix_pass`, the output
-        shard `mix_shard` and `mix_order`, by which a shard is shuffled within itself."""
-        columns = self.docs.columns
-        keyed = _with_key(self.docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), "doc_id", "source"))
-        used = self._uses(keyed).select("doc", F.explode("uses").alias("use"))
-        order = _order(F.col("doc.doc_id"), F.col("use.pass"), F.col("use.shard"))
-        return used.select("doc.*", F.col("use.pass").alias("mix_pass"), F.col("use.shard").alias("mix_shard"), order.alias("mix_order"))
+        shard `mix_shard` and `mix_order`, by which a shard is shuffled within itself. Columns of the documents that have one of
+        these names are left out."""
+        added = ["mix_pass", "mix_shard", "mix_order"]
+        return self._used().select(*[F.col(f"doc.`{c}`") for c in self.docs.columns if c not in added], *added)
+
+    def documents(self) -> DataFrame:
+        """The documents of the mix with their own columns only, as often as they are used, shard after shard in shuffled order."""
+        return self._shuffled().select("doc.*")
 
     def write(self, path: str) -> None:
-        """The mix as Parquet, one folder for each output shard, its rows in shuffled order."""
-        spread = self.rows().repartition("mix_shard", F.pmod("mix_order", F.lit(64)))
-        spread.sortWithinPartitions("mix_shard", "mix_order").write.partitionBy("mix_shard").parquet(path)
+        """The mix as Parquet, one folder for each output shard, its rows in shuffled order; columns as of `rows()`."""
+        added = ["mix_pass", "mix_shard", "mix_order"]
+        rows = self._shuffled().select(*[F.col(f"doc.`{c}`") for c in self.docs.columns if c not in added], *added)
+        rows.write.partitionBy("mix_shard").parquet(path)

@@ -55,12 +55,18 @@ def quality() -> str:
 
     def quartiles(name: str, keys: str) -> str:
         group = f"{keys}rule"
-        return f"""{name} AS (SELECT {group}, max(total) AS n, min(b) FILTER (4 * upto >= total) AS q1, min(b) FILTER (4 * upto >= 3 * total) AS q3 FROM (
+        return f"""{name} AS (SELECT {group}, max(total) AS n, {', '.join(f"min(b) FILTER (4 * upto >= {i} * total) AS b{i}" for i in (1, 2, 3))} FROM (
             SELECT *, sum(c) OVER (PARTITION BY {group} ORDER BY b) AS upto, sum(c) OVER (PARTITION BY {group}) AS total FROM (
             SELECT {group}, b, count(*) AS c FROM bucketed GROUP BY ALL)) GROUP BY ALL)"""
 
-    pick = {q: f"CASE WHEN o.n >= {quality_rules.LEAST_ROWS} THEN o.{q} WHEN l.n >= {quality_rules.LEAST_ROWS} THEN l.{q} ELSE a.{q} END" for q in ("q1", "q3")}
-    started = {q: start.replace("b", f"({v})") for q, v in pick.items()}
+    def blended(own: str, wider: str) -> str:
+        prior = quality_rules.PRIOR_ROWS
+        return ", ".join(f"({own}.n * ({start.replace('b', f'{own}.b{i}')}) + {prior} * {wider}{i}) // ({own}.n + {prior}) AS q{i}" for i in (1, 2, 3))
+
+    def fence(of: str, reach: int, side: str) -> str:
+        inner = f"{of}.q2 - {of}.q1" if side == "+" else f"{of}.q3 - {of}.q2"
+        return f"{of}.q2 {side} {reach} * greatest({inner}, CASE {of}.rule {spread} END)"
+
     spread = " ".join(f"WHEN '{name}' THEN {least}" for name, (_, least, *_) in rules.items())
     upper = ", ".join(f"'{name}'" for name, (*_, up, _low) in rules.items() if up)
     lower = ", ".join(f"'{name}'" for name, (*_, low) in rules.items() if low)
@@ -75,11 +81,14 @@ def quality() -> str:
         FROM t JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)),
     measured AS ({values}), bucketed AS (SELECT *, {bucket} AS b FROM measured),
     {quartiles('own', 'lang, source, ')}, {quartiles('per_lang', 'lang, ')}, {quartiles('whole', '')},
-    chosen AS (SELECT o.lang, o.source, o.rule, {started['q1']} AS q1, {started['q3']} AS q3 FROM own o
-        JOIN per_lang l ON o.lang IS NOT DISTINCT FROM l.lang AND o.rule = l.rule JOIN whole a ON o.rule = a.rule),
-    fences AS (SELECT *, {quality_rules.REACH} * greatest(q3 - q1, CASE rule {spread} END) AS spread FROM chosen),
+    every AS (SELECT rule, {', '.join(f"{start.replace('b', f'whole.b{i}')} AS q{i}" for i in (1, 2, 3))} FROM whole),
+    langs AS (SELECT per_lang.lang, rule, {blended('per_lang', 'every.q')} FROM per_lang JOIN every USING (rule)),
+    owns AS (SELECT own.lang, own.source, own.rule, {blended('own', 'langs.q')} FROM own JOIN langs ON own.lang IS NOT DISTINCT FROM langs.lang AND own.rule = langs.rule),
+    fences AS (SELECT o.lang, o.source, o.rule, greatest(least({fence('o', quality_rules.REACH, '-')}, {fence('l', quality_rules.REACH, '-')}), {fence('l', quality_rules.MOST_REACH, '-')}) AS low,
+        least(greatest({fence('o', quality_rules.REACH, '+')}, {fence('l', quality_rules.REACH, '+')}), {fence('l', quality_rules.MOST_REACH, '+')}) AS high
+        FROM owns o JOIN langs l ON o.lang IS NOT DISTINCT FROM l.lang AND o.rule = l.rule),
     broken AS (SELECT doc_id, count(*) AS n FROM measured x JOIN fences f ON x.rule = f.rule AND x.lang IS NOT DISTINCT FROM f.lang AND x.source IS NOT DISTINCT FROM f.source
-        WHERE (x.rule IN ({upper}) AND v > q3 + spread) OR (x.rule IN ({lower}) AND v < q1 - spread) GROUP BY 1),
+        WHERE (x.rule IN ({upper}) AND v > high) OR (x.rule IN ({lower}) AND v < low) GROUP BY 1),
     judged AS (SELECT *, n_words < {quality_rules.MIN_WORDS} OR 100 * n_repeat_words > {quality_rules.REPEAT_PERCENT} * n_words AS base_failed FROM m)
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND broken.doc_id IS NULL AS kept
     FROM judged LEFT JOIN broken USING (doc_id)"""

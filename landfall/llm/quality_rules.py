@@ -2,8 +2,12 @@
 
 A first pass measures every text. Its statistics go into quantile sketches, counts per (lang, source, rule, bucket)
 whose buckets are a 32nd of their value wide. Sketches merge by addition, in any order, to the same counts, so
-thresholds can be repeated, and a group with few documents uses the merged sketch of its language, or of all.
-The fences around the middle half of a group's documents are joined back to the measured rows.
+thresholds can be repeated. The quartiles of a group are blended with those of its language, and these with those of all documents, as
+if PRIOR_ROWS of the wider ones were its own: few documents lean on their language, many stand for themselves, without a border.
+
+A fence lies some spreads beyond the median. The spread is that of the half on the other side, which stays clean as long as less than
+half of the group is junk. No fence lies further out than MOST_REACH spreads of the language allow, nor further in than its own fence, so that a
+source which is mostly junk neither keeps it nor loses what is clean. The fences are joined back to the measured rows.
 """
 
 from __future__ import annotations
@@ -18,8 +22,8 @@ from landfall.llm.frames import Workspace, map_batches, text_bytes, with_text_ha
 
 MIN_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
 SYMBOLS = b"#*$%&|<>"
-# A fence lies REACH spreads outside the quartiles; a spread is the distance of the quartiles, or the rule's least.
-REACH, LEAST_ROWS = 3, 50
+# A fence lies REACH spreads from the median; a spread is the distance to the quartile on the other side, or the rule's least.
+REACH, MOST_REACH, PRIOR_ROWS = 4, 8, 50
 # rule: (statistic in thousandths, least spread, whether it has an upper fence, a lower one)
 RULES = {
     "symbols": ("n_symbols * 1000 div n_words", 30, True, False),
@@ -90,30 +94,39 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def _quartiles(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """`(*keys, rule, rows, q1, q3)` of summed sketches."""
+    """`(*keys, rule, rows, q1, q2, q3)` of summed sketches."""
     group = Window.partitionBy(*keys, "rule")
     summed = counts.groupBy(*keys, "rule", "bucket").agg(F.sum("n").alias("n"))
     ranked = summed.withColumn("upto", F.sum("n").over(group.orderBy("bucket"))).withColumn("rows", F.sum("n").over(group))
-    at = {q: F.min(F.when(F.col("upto") * 4 >= F.col("rows") * i, F.col("bucket"))) for q, i in (("q1", 1), ("q3", 3))}
+    at = {q: F.min(F.when(F.col("upto") * 4 >= F.col("rows") * i, F.col("bucket"))) for q, i in (("q1", 1), ("q2", 2), ("q3", 3))}
     return ranked.groupBy(*keys, "rule").agg(F.max("rows").alias("rows"), *[bucket_start(v).alias(q) for q, v in at.items()])
 
 
+def _blended(rows: DataFrame, own: str, wider: str) -> DataFrame:
+    """Quartiles `own` as if PRIOR_ROWS of the documents had the `wider` ones, in whole numbers."""
+    rest = [c for c in rows.columns if c not in ("q1", "q2", "q3")]
+    blends = [F.expr(f"({own}rows * {own}{q} + {PRIOR_ROWS} * {wider}{q}) div ({own}rows + {PRIOR_ROWS})").alias(f"{own}{q}") for q in ("q1", "q2", "q3")]
+    return rows.select(*[c for c in rest if c not in {f"{own}{q}" for q in ("q1", "q2", "q3")}], *blends)
+
+
 def thresholds(counts: DataFrame) -> DataFrame:
-    """`(lang, source, fences)`: per rule the lowest and highest statistic that passes. A group of fewer than LEAST_ROWS
-    documents takes the quartiles of its language, and those of all where these are too few as well."""
-    own = _quartiles(counts, ["lang", "source"])
-    of_lang = _quartiles(counts, ["lang"]).select(F.col("lang").alias("_lang"), F.col("rule").alias("_rule"), *[F.col(c).alias(f"lang_{c}") for c in ("rows", "q1", "q3")])
-    of_all = _quartiles(counts, []).select(F.col("rule").alias("_all"), *[F.col(c).alias(f"all_{c}") for c in ("q1", "q3")])
-    joined = own.join(of_lang, own["lang"].eqNullSafe(F.col("_lang")) & (own["rule"] == F.col("_rule"))).join(of_all, own["rule"] == F.col("_all"))
-    pick = {
-        q: F.when(F.col("rows") >= LEAST_ROWS, F.col(q)).when(F.col("lang_rows") >= LEAST_ROWS, F.col(f"lang_{q}")).otherwise(F.col(f"all_{q}"))
-        for q in ("q1", "q3")
-    }
-    chosen = joined.select("lang", "source", own["rule"], *[v.alias(q) for q, v in pick.items()])
-    least = F.create_map(*[F.lit(x) for name, (_, spread, *_) in RULES.items() for x in (name, spread)])
-    spread = F.greatest(F.col("q3") - F.col("q1"), least[F.col("rule")]) * REACH
-    fence = F.struct((F.col("q1") - spread).alias("low"), (F.col("q3") + spread).alias("high"))
-    per_rule = [F.max(F.when(F.col("rule") == name, fence)).alias(name) for name in RULES]
+    """`(lang, source, fences)`: per rule the lowest and highest statistic that passes."""
+    quartiles = ("q1", "q2", "q3")
+    of_all = _quartiles(counts, []).select(F.col("rule").alias("_all"), *[F.col(q).alias(f"all_{q}") for q in quartiles])
+    of_lang = _quartiles(counts, ["lang"]).select(F.col("lang").alias("_lang"), F.col("rule").alias("_rule"), *[F.col(c).alias(f"lang_{c}") for c in ("rows", *quartiles)])
+    of_lang = _blended(of_lang.join(of_all, F.col("_rule") == F.col("_all")), "lang_", "all_").select("_lang", "_rule", *[f"lang_{q}" for q in quartiles])
+    own = _quartiles(counts, ["lang", "source"]).select("lang", "source", "rule", *[F.col(c).alias(f"own_{c}") for c in ("rows", *quartiles)])
+    joined = own.join(of_lang, own["lang"].eqNullSafe(F.col("_lang")) & (own["rule"] == F.col("_rule")))
+    chosen = _blended(joined, "own_", "lang_")
+    least = F.create_map(*[F.lit(x) for name, (_, spread, *_) in RULES.items() for x in (name, spread)])[F.col("rule")]
+
+    def fence(of: str, reach: int, side: int) -> Column:
+        low, middle, high = (F.col(f"{of}_{q}") for q in quartiles)
+        return middle + side * reach * F.greatest(middle - low if side > 0 else high - middle, least)
+
+    low = F.greatest(F.least(fence("own", REACH, -1), fence("lang", REACH, -1)), fence("lang", MOST_REACH, -1))
+    high = F.least(F.greatest(fence("own", REACH, 1), fence("lang", REACH, 1)), fence("lang", MOST_REACH, 1))
+    per_rule = [F.max(F.when(F.col("rule") == name, F.struct(low.alias("low"), high.alias("high")))).alias(name) for name in RULES]
     return chosen.groupBy("lang", "source").agg(*per_rule)
 
 
@@ -147,7 +160,8 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def filtered(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that the rules keep, with all their columns."""
+    """The rows of `docs` that the rules keep, with all their columns, whatever their names. Null, empty and word-less texts go, and
+    rows that repeat a doc_id and text go or stay together."""
     work = Workspace(docs.sparkSession, "quality-filtered")
     rejected = work.table(quality_rules(docs).filter("not kept").select("doc_id", "text_hash"), "rejected")
     return without(docs, rejected)

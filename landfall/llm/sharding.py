@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from landfall.llm.frames import Workspace
+from landfall.llm.frames import Workspace, unused
 
 SLOT_ROWS = 20_000
 LEAST_BUCKETS = 16
@@ -90,21 +90,20 @@ def sharded(docs: DataFrame, shards: list[Shard] | None = None) -> DataFrame:
     the text's UTF-8 bytes plus 1; a null text counts as empty. Slots number a shard's rows from 0 without gaps, in the order of
     hash buckets, within them of doc_id, checksum and size; only rows of one doc_id and text can tie, and then it
     makes no difference. Numbering works in buckets of about SLOT_ROWS rows, so no task holds a whole shard. Columns of the
-    input that have one of the new names are replaced. Rows of one doc_id all go to one shard.
+    input that have one of the six new names are replaced, all others stay. Rows of one doc_id all go to one shard.
     """
     shards = shards or topology()
-    names = ["size", "text_crc32", "law", "shard", "slot", "grown_shard", "slot_bucket"]
+    bucket, number, before = unused("bucket", "number", "before")
     work = Workspace(docs.sparkSession, "sharding")
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.drop(*names).withColumns({
+    rows = docs.drop("size", "text_crc32", "law", "shard", "slot", "grown_shard").withColumns({
         "size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text), "law": F.lit("key"),
         "shard": shard_of(F.col("doc_id"), shards), "grown_shard": shard_of(F.col("doc_id"), grown(shards)),
     })
     buckets = max(LEAST_BUCKETS, docs.count() // (len(shards) * SLOT_ROWS))
-    rows = rows.withColumn("slot_bucket", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(buckets)))
-    counts = work.table(rows.groupBy("shard", "slot_bucket").agg(F.count("*").alias("n")), "counts")
-    before = F.sum("n").over(Window.partitionBy("shard").orderBy("slot_bucket")) - F.col("n")
-    offsets = counts.select("shard", "slot_bucket", before.alias("before"))
-    number = F.row_number().over(Window.partitionBy("shard", "slot_bucket").orderBy("doc_id", "text_crc32", "size"))
-    placed = rows.withColumn("number", number).join(offsets, ["shard", "slot_bucket"])
-    return placed.withColumn("slot", F.col("before") + F.col("number") - 1).drop("slot_bucket", "number", "before")
+    rows = rows.withColumn(bucket, F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(buckets)))
+    counts = work.table(rows.groupBy("shard", bucket).agg(F.count("*").alias("n")), "counts")
+    offsets = counts.select("shard", bucket, (F.sum("n").over(Window.partitionBy("shard").orderBy(bucket)) - F.col("n")).alias(before))
+    in_bucket = F.row_number().over(Window.partitionBy("shard", bucket).orderBy("doc_id", "text_crc32", "size"))
+    placed = rows.withColumn(number, in_bucket).join(offsets, ["shard", bucket])
+    return placed.withColumn("slot", F.col(before) + F.col(number) - 1).drop(bucket, number, before)

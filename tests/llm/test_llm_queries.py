@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as driver
 import brute
 import compare
 import corpus_pipeline
-from landfall.llm import quality_rules, queries
+from landfall.llm import frames, quality_rules, queries
 from landfall.llm.frames import read_table
 
 SF, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
@@ -82,3 +83,36 @@ def test_pipeline_of_odd_documents(spark, tmp_path):
             out = spark.read.parquet(str(tmp_path / f"{number}-{name}"))
         assert (out.count() > 0) == (number == 0)
         assert out.filter("text is null or text = ''").count() == 0
+
+
+CLASHES = ["_id", "_hash", "_spans", "before", "number", "mix_pass", "mix_order", "doc", "place", "block", "named", "node", "slot_bucket", "uses", "a.b"]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_columns_with_any_name_stay(spark, name):
+    """Columns named like an operator's own come through every stage with their values."""
+    docs = read_table(spark, SMALL, "documents").limit(60)
+    clashing = docs.select("*", *[F.concat(F.lit(f"{c}-"), F.col("doc_id").cast("string")).alias(c) for c in CLASHES])
+    repeated = clashing.unionByName(clashing.limit(5))
+    out = dict(corpus_pipeline.STAGES)[name](spark, repeated, SMALL)
+    assert out.columns[: len(clashing.columns)] == clashing.columns
+    rows = out.collect()
+    assert rows
+    for row in rows:
+        assert [row[c] for c in CLASHES] == [f"{c}-{row.doc_id}" for c in CLASHES]
+
+
+def test_texts_of_certainly_kept_rows_do_not_move(spark):
+    """However many rows are rejected, a text whose key is not among them for certain passes no exchange."""
+    docs = read_table(spark, SF, "documents")
+    rejected = docs.filter("doc_id % 7 = 0").select("doc_id", F.xxhash64("text").alias("text_hash"))
+    left = frames.without(docs, rejected)
+    assert sorted(r.doc_id for r in left.select("doc_id").collect()) == sorted(r.doc_id for r in docs.filter("doc_id % 7 <> 0").select("doc_id").collect())
+    hashed = F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text"))
+    keys = F.xxhash64(F.col("doc_id").cast("string"), "text_hash")
+    certain, possible = frames.probe.split(docs, hashed, frames.probe.bitmap(rejected, keys))
+    assert possible.count() <= rejected.count() + 2
+    plan = certain._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    again = docs.unionByName(docs.filter("doc_id % 7 = 0").withColumn("text", F.lit("another")))
+    assert frames.without(again, rejected).filter("text = 'another'").count() == rejected.count()

@@ -52,6 +52,24 @@ def test_clean_documents_stay_and_junk_goes(spark):
     assert sum(not r.kept for r in junk) >= 0.95 * len(junk)
 
 
+@pytest.mark.parametrize("share", [20, 30, 60])
+def test_a_source_of_much_junk_does_not_set_its_own_fences(spark, share):
+    """A source of which 20, 30 or 60 % is junk loses it, and clean documents of both sources stay."""
+    rng = np.random.default_rng(share)
+    stock = ["the", "a", "river", "house", "green", "walked", "slowly", "over", "bridge", "and", "saw", "many", "people", "there", "yesterday", "evening"]
+    rows = []
+    for i in range(800):
+        words = rng.choice(stock, 80)
+        junk = i >= 400 and i % 100 < share
+        text = " ".join(f"{w}{'#$%'[n % 3] * 3}" if junk and n % 2 else str(w) for n, w in enumerate(words))
+        rows.append((i, text + f" {i}", "en", "clean" if i < 400 else "mixed", junk))
+    docs = spark.createDataFrame([r[:4] for r in rows], "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept or r.base_failed for r in quality_rules.quality_rules(docs).collect()}
+    junk = [kept[r[0]] for r in rows if r[4]]
+    assert sum(junk) <= 0.05 * len(junk)
+    assert sum(kept[r[0]] for r in rows if not r[4]) >= 0.99 * (len(rows) - len(junk))
+
+
 def test_sketch_quartiles_are_near_exact_ones_and_merge(spark):
     rng = np.random.default_rng(3)
     values = rng.integers(0, 100_000, 3000)

@@ -119,6 +119,41 @@ def test_probabilities_sum_to_one_and_equal_the_textbook_formula(spark):
     assert np.allclose(model.probability(4, codes), [probability(g) for g in wanted])
 
 
+def test_long_texts_are_read_in_pieces_as_in_one(monkeypatch):
+    """Characters, grams and their number do not depend on where a text is cut, spaces at the border included."""
+    import numpy as np
+
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab é ,.𝔄1\u0301") for _ in range(n)) for n in (1, 7, 60, 600)] + ["... ", " .a", "", None, "a" * 50]
+    whole = [list(language_id._characters(t)) for t in texts]
+    for piece in (1, 2, 5, 13):
+        monkeypatch.setattr(language_id, "PIECE", piece)
+        for text, parts in zip(texts, whole):
+            cut = list(language_id._characters(text))
+            assert bool(cut) == bool(parts)
+            if cut:
+                (grams, counts), (expected, _) = language_id._grams(cut), language_id._grams(parts)
+                assert np.array_equal(grams, expected) and counts.sum() == len(expected)
+
+
+def test_costs_come_from_the_models(spark, monkeypatch):
+    """Cross-entropies through the sorted arrays of many ranges equal sums over single probabilities."""
+    import numpy as np
+
+    from landfall.llm.frames import Workspace
+
+    monkeypatch.setattr(language_id, "RANGE_GRAMS", 5)
+    texts = {1: ("the cat sat on the mat", "en"), 3: ("der hund und die katze", "de"), 4: ("a cat and the hat", "en"), 5: ("der hut", "de"), 6: ("the dog", None)}
+    frame = spark.createDataFrame([(i, t, lang) for i, (t, lang) in texts.items()], "doc_id long, text string, lang string")
+    learnt = [v for i, v in texts.items() if v[1] and zlib.crc32(str(i).encode()) % 4 != 2]
+    work = Workspace(spark, "test-costs")
+    models = language_id._fit(work, language_id._order_tables(work, spark.createDataFrame(learnt, "text string, lang string")))
+    for row in language_id.language_id(frame).collect():
+        codes = language_id._grams(list(language_id._characters(texts[row.doc_id][0])))[0]
+        expected = {lang: -np.log2(models[lang].probability(4, codes)).mean() for lang in models.langs}
+        assert row.lang_pred == min(expected, key=expected.get) and abs(row.cross_entropy - min(expected.values())) < 1e-5
+
+
 def test_no_gram_of_a_large_alphabet_is_dropped(spark):
     """More different grams in one language than a model once kept; all that follow a context sum to one minus what backs off."""
     import numpy as np
