@@ -1,4 +1,8 @@
-"""From documents to training shards: quality rules, near-dedup, decontamination, mixing, sharding."""
+"""From documents to training shards: quality rules, near-dedup, decontamination, mixing, sharding.
+
+Every stage keeps all columns of its input, whatever their names. Null, empty and word-less texts fail the quality rules; rows that repeat a
+doc_id and text are one document for the filters; no rows give no rows. Only the last stage adds columns.
+"""
 
 from __future__ import annotations
 
@@ -32,9 +36,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of their sources uses them, in no case more than twice."""
+    """Documents as often as the mix of their sources uses them, in no case more than twice, one output shard of the mix after the other
+    and each in its shuffled order."""
     prepare(spark)
-    return mixing.Mix(docs).rows().select(*docs.columns)
+    return mixing.Mix(docs).documents()
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
