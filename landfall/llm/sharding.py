@@ -106,4 +106,6 @@ def sharded(docs: DataFrame, shards: list[Shard] | None = None) -> DataFrame:
     offsets = counts.select("shard", bucket, (F.sum("n").over(Window.partitionBy("shard").orderBy(bucket)) - F.col("n")).alias(before))
     in_bucket = F.row_number().over(Window.partitionBy("shard", bucket).orderBy("doc_id", "text_crc32", "size"))
     placed = rows.withColumn(number, in_bucket).join(offsets, ["shard", bucket])
-    return placed.withColumn("slot", F.col(before) + F.col(number) - 1).drop(bucket, number, before)
+    added = ["size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    placed = placed.withColumn("slot", F.col(before) + F.col(number) - 1)
+    return placed.select(*[F.col(f"`{c}`") for c in docs.columns if c not in added], *added)
