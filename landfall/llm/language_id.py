@@ -202,14 +202,27 @@ def _chunked(batch: pa.RecordBatch) -> pa.RecordBatch:
         grams = np.union1d(grams, _grams(some)[0])
         owners += numbers
         parts += some
-    every = np.concatenate(parts) if parts else np.empty(0, np.uint16)
+    letters, packed = _packed(np.concatenate(parts) if parts else np.empty(0, np.uint16))
 
     def whole(values: pa.Array) -> pa.Array:
         return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    lists = [batch.column(c) for c in ("doc_id", "train", "lang")] + [pa.array(x, pa.int64()) for x in (owners, [len(p) for p in parts])] + [pa.array(words.signed(grams))]
-    columns = [pa.array([uuid.uuid4().int >> 65]), *map(whole, lists), pa.array([pa.compress(every.tobytes(), "zstd", asbytes=True)], pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["chunk", "doc_id", "train", "lang", "owners", "sizes", "grams", "characters"])
+    lists = [batch.column(c) for c in ("doc_id", "train", "lang")] + [pa.array(x, pa.int64()) for x in (owners, [len(p) for p in parts])] + [pa.array(words.signed(grams)), pa.array(letters.astype(np.int32))]
+    columns = [pa.array([uuid.uuid4().int >> 65]), *map(whole, lists), pa.array([packed], pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["chunk", "doc_id", "train", "lang", "owners", "sizes", "grams", "letters", "characters"])
+
+
+def _packed(every: np.ndarray) -> tuple[np.ndarray, bytes]:
+    """The different characters, and the places of all among them, compressed; a byte each where they are few."""
+    letters = np.flatnonzero(np.bincount(every, minlength=1 << 16)).astype(np.uint16)
+    place = np.zeros(1 << 16, np.uint8 if len(letters) <= 256 else np.uint16)
+    place[letters] = np.arange(len(letters))
+    return letters, pa.Codec("zstd", compression_level=3).compress(place[every].tobytes(), asbytes=True)
+
+
+def _unpacked(letters: np.ndarray, packed: bytes, size: int) -> np.ndarray:
+    kind = np.dtype(np.uint8 if len(letters) <= 256 else np.uint16)
+    return letters.astype(np.uint16)[np.frombuffer(pa.decompress(packed, kind.itemsize * size, "zstd", asbytes=True), kind)] if size else np.empty(0, np.uint16)
 
 
 def _parts(owners: np.ndarray, sizes: np.ndarray, every: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
@@ -305,7 +318,7 @@ def _costs(work: Workspace, models: Models, chunks: DataFrame) -> tuple[DataFram
 def _scored(names: list[str], ranges: int):
     def score_chunk(chunk: dict) -> list[pa.Array]:
         owners, sizes = (chunk[c].values.to_numpy(zero_copy_only=False) for c in ("owners", "sizes"))
-        every = np.frombuffer(pa.decompress(chunk["characters"].as_py(), 2 * int(sizes.sum()), "zstd"), np.uint16) if len(sizes) else np.empty(0, np.uint16)
+        every = _unpacked(chunk["letters"].values.to_numpy(), chunk["characters"].as_py(), int(sizes.sum()) if len(sizes) else 0)
         n = len(chunk["doc_id"].values)
         sums, lengths = np.zeros((len(names), n)), np.zeros(n, np.int64)
         keys = chunk["grams"].values.to_numpy().view(np.uint64)
@@ -355,7 +368,7 @@ def language_id(docs: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang"), (~held_out & F.col("lang").isNotNull()).alias("train"))
     models = _fit(work, _order_tables(work, rows.filter("train and text is not null").select("text", "lang")))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    lists = f"doc_id array<{id_type}>, train array<boolean>, lang array<string>, owners array<long>, sizes array<long>, grams array<long>"
+    lists = f"doc_id array<{id_type}>, train array<boolean>, lang array<string>, owners array<long>, sizes array<long>, grams array<long>, letters array<int>"
     chunks = work.table(map_batches(rows, _chunked, f"chunk long, {lists}, characters binary"), "chunks")
     ranges = 1
     if models.langs:

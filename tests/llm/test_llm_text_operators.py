@@ -136,6 +136,15 @@ def test_long_texts_are_read_in_pieces_as_in_one(monkeypatch):
                 assert np.array_equal(grams, expected) and counts.sum() == len(expected)
 
 
+def test_characters_are_packed_and_unpacked():
+    import numpy as np
+
+    for n in (0, 1, 200, 256, 257, 70_000):
+        every = np.random.default_rng(n).integers(0, min(max(n, 1), 1 << 16), 3 * n).astype(np.uint16)
+        letters, packed = language_id._packed(every)
+        assert np.array_equal(language_id._unpacked(letters.astype(np.int32), packed, len(every)), every)
+
+
 def test_costs_come_from_the_models(spark, monkeypatch):
     """Cross-entropies through the sorted arrays of many ranges equal sums over single probabilities."""
     import numpy as np
