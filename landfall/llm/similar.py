@@ -33,11 +33,12 @@ def enough(common, left, right, percent: int):
     return 100 * common >= percent * (left + right - common)
 
 
-def star_edges(workspace: Workspace, bands: DataFrame) -> DataFrame:
-    """`(node, bands array<long>)` -> `(a, b)`: each node of a bucket to the smallest node of it."""
+def star_edges(workspace: Workspace, bands: DataFrame, heads: DataFrame | None = None) -> DataFrame:
+    """`(node, bands array<long>)` -> `(a, b)`: each node of a bucket to the smallest node of it, `heads(bucket, head)` where they are known."""
     rows = bands.select("node", F.explode("bands").alias("bucket"))
-    heads = rows.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last"))
-    heads = workspace.table(heads.filter("head <> last").select("bucket", "head"), "heads")
+    if heads is None:
+        heads = rows.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last"))
+        heads = workspace.table(heads.filter("head <> last").select("bucket", "head"), "heads")
     joined = rows.join(small_or_plain(heads), "bucket").filter("node <> head")
     return workspace.table(joined.select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "stars")
 
@@ -150,31 +151,35 @@ class _Block:
             x = self.parent[x]
         return x
 
-    def compare(self, node: int, centre: int | None, own: np.ndarray) -> list[tuple[int, int]]:
-        """Links of one streamed set that this block does not imply yet. A set linked to the centre belongs to it."""
+    def compare(self, rows: list[tuple[int, int | None, np.ndarray]]) -> list[tuple[int, int]]:
+        """Links of streamed sets that this block does not imply yet. A set linked to the centre, which comes with it, belongs to it."""
+        if not self.nodes or not rows:
+            return []
         if self.index is None:
             self.sizes = np.array([len(x) for x in self.sets])
             owner = np.repeat(np.arange(len(self.sets)), self.sizes)
-            values = np.concatenate(self.sets) if self.sets else np.empty(0, np.uint64)
+            values = np.concatenate(self.sets)
             order = np.argsort(values, kind="stable")
             self.values, self.owner, self.index = values[order], owner[order], True
-        if not self.nodes:
-            return []
-        if centre is not None and self._root(node) != self._root(centre):
-            self.parent[self._root(node)] = self._root(centre)
-        low, high = np.searchsorted(self.values, own, "left"), np.searchsorted(self.values, own, "right")
-        lengths = high - low
-        total = int(lengths.sum())
-        if not total:
-            return []
-        at = np.repeat(low - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(total)
-        common = np.bincount(self.owner[at], minlength=len(self.nodes))
-        found = []
-        for i in np.flatnonzero(enough(common, self.sizes, len(own), self.percent)):
-            other = self.nodes[i]
-            if other != node and self._root(other) != self._root(node):
-                self.parent[self._root(other)] = self._root(node)
-                found.append((node, other))
+        found, many = [], len(self.nodes)
+        for at in range(0, len(rows), BLOCK):
+            part = rows[at : at + BLOCK]
+            sizes = np.array([len(own) for _, _, own in part])
+            every = np.concatenate([own for _, _, own in part])
+            low = np.searchsorted(self.values, every, "left")
+            met = np.flatnonzero(self.values[np.minimum(low, len(self.values) - 1)] == every)
+            low, lengths = low[met], np.searchsorted(self.values, every[met], "right") - low[met]
+            place = np.repeat(low - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum()) if len(met) else met
+            streamed = np.repeat(np.repeat(np.arange(len(part)), sizes)[met], lengths)
+            common = np.bincount(streamed * many + self.owner[place], minlength=len(part) * many).reshape(len(part), many)
+            for node, centre, _ in part:
+                if centre is not None and self._root(node) != self._root(centre):
+                    self.parent[self._root(node)] = self._root(centre)
+            for row, i in zip(*(x.tolist() for x in np.nonzero(enough(common, self.sizes, sizes[:, None], self.percent)))):
+                node, other = part[row][0], self.nodes[i]
+                if other != node and self._root(other) != self._root(node):
+                    self.parent[self._root(other)] = self._root(node)
+                    found.append((node, other))
         return found
 
 
@@ -183,14 +188,20 @@ def _within_blocks(percent: int):
         now, block = None, None
         for batch in batches:
             found: list[tuple[int, int]] = []
+            waiting: list[tuple[int, int | None, np.ndarray]] = []
             columns = (batch.column(c).to_pylist() for c in ("component", "block", "slice", "streamed", "node", "linked", "shingles"))
             for component, number, part, streamed, node, linked, shingles in zip(*columns):
                 if (component, number, part) != now:
+                    if waiting:
+                        found += block.compare(waiting)
+                        waiting = []
                     now, block = (component, number, part), _Block(percent)
                 if streamed:
-                    found += block.compare(node, component if linked else None, _array(shingles))
+                    waiting.append((node, component if linked else None, _array(shingles)))
                 else:
                     block.add(node, _array(shingles))
+            if waiting:
+                found += block.compare(waiting)
             a, b = ([x[i] for x in found] for i in (0, 1))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 

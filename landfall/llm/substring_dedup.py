@@ -5,12 +5,12 @@ is the smallest within some words on either side. The cuts inside a passage are
 
 * Short ones, REACH words on either side, so that a passage of 50 words holds whole ones wherever it stands. They repeat if they are
   equal, and are extended word by word as far as the first equal one has the same words around it.
-* Long ones, of many short ones, in which a changed word leaves most shingles as they are. Those of which some short ones repeat and
-  some do not are banded by MinHash; those that share a band are compared on their full sets, and the components of their
-  links are near copies: short paragraphs in them repeat, though changed.
+* Long ones, of many short ones, in which a changed word leaves most shingles as they are. All are banded by MinHash; those that
+  share a band are compared on their full sets, and the components of their links are near copies: short paragraphs in them repeat,
+  though changed.
 
-Texts are read twice, and nothing is kept of paragraphs that do not repeat: the first reading counts short paragraphs, and a bitmap of
-fixed size tells the second one which of them may repeat.
+Texts are read twice, and nothing is kept of paragraphs that do not repeat: the first reading counts short paragraphs and the bands of long
+ones, and bitmaps of fixed size tell the second one which of them may have a partner.
 
 Runs of enough words are reported.
 """
@@ -33,8 +33,13 @@ from landfall.llm.frames import Workspace, among, map_batches, text_bytes, unuse
 from landfall.operators import probe
 
 REACH, LONG_REACH = 5, 24
+# Long paragraphs that are signed at once: their shingles stay in a core's cache.
+SIGNED_AT_ONCE = 1024
+# Keys are counted in ranges, 2 to the power of this, each of which a task holds at a time.
+RANGE_BITS = 10
+_PACK = ["range", "keys", "others"]
 # Words around a paragraph that are compared at first; those that agree in all of them are compared again in more.
-EDGE, EDGE_GROWTH = 16, 8
+EDGE, EDGE_GROWTH = 16, 32
 SHINGLE, PERCENT, RECALL = 5, 80, 0.9999
 # A run may have one paragraph in it that does not repeat; one of fewer words is not reported.
 RUN_WORDS, RUN_GAP = 20, 2
@@ -56,35 +61,73 @@ def tuned_bands(percent: int = PERCENT, recall: float = RECALL) -> tuple[int, in
     return best[1:]
 
 
-def paragraph_starts(hashes: np.ndarray, reach: int = REACH) -> np.ndarray:
-    """First words of the paragraphs; the first of equal hashes counts as the smallest. A cut has `reach` words before it."""
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """The smallest of each `width` values in a row."""
+    size, least, out = 1, values, len(values) - width + 1
+    while 2 * size <= width:
+        least, size = np.minimum(least[:-size], least[size:]), 2 * size
+    return np.minimum(least[:out], least[width - size : width - size + out])
+
+
+def paragraph_starts(hashes: np.ndarray, reach: int = REACH, firsts: np.ndarray | None = None) -> np.ndarray:
+    """First words of the paragraphs of one text, or of texts one after the other that begin at `firsts`; the first of equal hashes counts as
+    the smallest. A cut has `reach` words before it."""
     n = len(hashes)
     if n == 0:
         return np.empty(0, np.int64)
-    mixed = words.mix(hashes + np.uint64(77))
-    own = np.ones(n, bool)
-    for back in range(1, min(reach, n - 1) + 1):
-        own[back:] &= mixed[back:] < mixed[:-back]
-        own[:-back] &= mixed[:-back] <= mixed[back:]
-    own[: reach + 1] = False
-    own[0] = True
-    return np.flatnonzero(own)
-
-
-class _Cut:
-    """The paragraphs of one text, as ranges of its words."""
-
-    def __init__(self, text: bytes | None) -> None:
-        self.hashes = words.word_hashes(text)
-
-    def ranges(self, reach: int) -> list[tuple[int, int]]:
-        starts = paragraph_starts(self.hashes, reach).tolist()
-        return list(zip(starts, [*starts[1:], len(self.hashes)]))
-
-    def keys(self, ranges: list[tuple[int, int]]) -> np.ndarray:
+    firsts = np.zeros(1, np.int64) if firsts is None else firsts
+    gaps = reach * np.arange(len(firsts))
+    mixed = np.full(n + reach * len(firsts), np.uint64(2**64 - 1))
+    mixed[np.arange(n) + np.repeat(gaps, np.diff(firsts, append=n))] = words.mix(hashes + np.uint64(77))
+    if len(mixed) <= 2 * reach:
+        return firsts
+    low, own = _least(mixed, reach), mixed[reach:-reach]
+    at = reach + np.flatnonzero((own < low[: len(own)]) & (own <= low[reach + 1 :]))
+    text = np.searchsorted(firsts + gaps, at, "right") - 1
+    at -= gaps[text]
+    return np.sort(np.concatenate((firsts, at[at - firsts[text] > reach])))
+
+
+class _Cuts:
+    """Words of many texts one after the other, and their paragraphs as ranges of them."""
+
+    def __init__(self, texts: list[bytes | None]) -> None:
+        each = [words.word_hashes(text) for text in texts]
+        lengths = np.array([len(own) for own in each])
+        self.hashes = np.concatenate(each)
+        self.texts = np.flatnonzero(lengths)
+        self.firsts = (np.cumsum(lengths) - lengths)[self.texts]
+        self.raw = self.hashes.tobytes()
+
+    def ranges(self, reach: int) -> tuple[np.ndarray, np.ndarray]:
+        starts = paragraph_starts(self.hashes, reach, self.firsts)
+        return starts, np.append(starts[1:], len(self.hashes))[: len(starts)]
+
+    def owner(self, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the texts holds each paragraph, and the text's first word."""
+        at = np.searchsorted(self.firsts, starts, "right") - 1
+        return self.texts[at], self.firsts[at]
+
+    def late(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which paragraphs end at a cut that has fewer than REACH words after it. In another text these may go on and take the cut away."""
+        past = np.append(self.firsts[1:], len(self.hashes))[np.searchsorted(self.firsts, starts, "right") - 1]
+        return np.flatnonzero((ends < past) & (past - ends <= REACH))
+
+    def keys(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """64-bit hashes of the words of ranges, as signed longs."""
-        raw, digest = self.hashes.tobytes(), xxhash.xxh3_64_intdigest
-        return words.signed(np.fromiter((digest(raw[8 * a : 8 * b]) for a, b in ranges), np.uint64, len(ranges)))
+        raw, digest = self.raw, xxhash.xxh3_64_intdigest
+        return words.signed(np.fromiter((digest(raw[a:b]) for a, b in zip((8 * starts).tolist(), (8 * ends).tolist())), np.uint64, len(starts)))
+
+    def long(self, signer: _Bands, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Long paragraphs of a shingle at least, and their band keys; of shorter texts only equal ones are alike."""
+        starts, ends = self.ranges(LONG_REACH)
+        wide = ends - starts >= shingle
+        starts, ends, keys = starts[wide], ends[wide], [np.empty((0, signer.shape[0]), np.int64)]
+        for at in range(0, len(starts), SIGNED_AT_ONCE):
+            a, b = starts[at : at + SIGNED_AT_ONCE], ends[at : at + SIGNED_AT_ONCE]
+            codes = words.shingles(self.hashes[a[0] : b[-1]], shingle)
+            keys.append(signer.of_ranges(codes, a - a[0], b - a[0] - shingle + 1))
+        return starts, ends, np.concatenate(keys)
 
 
 def _set_of(hashes: np.ndarray, shingle: int) -> np.ndarray:
@@ -96,24 +139,74 @@ class _Bands:
         self.shape = (bands, rows)
         self.factors = words.mix(np.arange(31, 31 + bands * rows, dtype=np.uint64)) | np.uint64(1)
 
-    def keys(self, sets: list[np.ndarray]) -> np.ndarray:
-        """(set, band) keys of many sets, one hash function at a time."""
-        every, starts = np.concatenate(sets), np.concatenate(([0], np.cumsum([len(s) for s in sets])[:-1]))
-        minima = np.stack([np.minimum.reduceat(words.mix(every * f), starts) for f in self.factors], axis=1)
+    def of_ranges(self, values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """(set, band) keys of the values in ranges, none of them empty, one hash function at a time."""
+        values, at = np.append(values, np.uint64(0)), np.stack((starts, ends), axis=1).ravel()
+        minima = np.stack([np.minimum.reduceat(words.mix(values * f), at)[::2] for f in self.factors], axis=1)
         bands, rows = self.shape
         return words.signed(words.mix(minima.reshape(-1, bands, rows).sum(axis=2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)))
 
+    def keys(self, sets: list[np.ndarray]) -> np.ndarray:
+        ends = np.cumsum([len(s) for s in sets])
+        return self.of_ranges(np.concatenate(sets), np.concatenate(([0], ends[:-1])), ends)
+
+
+def _packed(kind: int, keys: np.ndarray, values: np.ndarray) -> list[tuple[int, bytes, bytes]]:
+    """Keys with their smallest and largest value, in packs by ranges of the keys."""
+    order = np.lexsort((values, keys))
+    keys, values = keys[order], values[order]
+    first = np.append(True, keys[1:] != keys[:-1])[: len(keys)]
+    ends = first | np.append(first[1:], True)[: len(keys)]
+    keys, values = keys[ends], values[ends]
+    number = (keys.view(np.uint64) >> np.uint64(64 - RANGE_BITS)).astype(np.int64)
+    # As signed numbers, keys from the middle on come first.
+    cuts = np.flatnonzero(np.append(True, number[1:] != number[:-1])[: len(number)]).tolist()
+    ranges = zip(cuts, [*cuts[1:], len(keys)])
+    return [(kind << RANGE_BITS | int(number[a]), keys[a:b].tobytes(), values[a:b].tobytes()) for a, b in ranges]
+
+
+def _counted(shingle: int, bands: int, rows: int):
+    """Packs of what is counted of texts: short paragraphs with the document, and bands of long ones with the paragraph's own key."""
+    signer = _Bands(bands, rows)
 
-def _nodes(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Short paragraphs, each once in a text."""
-    owner, nodes = [], []
-    for i, text in enumerate(text_bytes(batch)):
-        cut = _Cut(text)
-        own = np.unique(cut.keys(cut.ranges(REACH)))
-        nodes.append(own)
-        owner.append(np.full(len(own), i))
-    at, flat = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (owner, nodes))
-    return pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at)), pa.array(flat)], ["doc_id", "node"])
+    def counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+        cuts = _Cuts(text_bytes(batch))
+        starts, ends = cuts.ranges(REACH)
+        late = cuts.late(starts, ends)
+        starts, ends = np.append(starts, starts[late]), np.append(ends, ends[late + 1])
+        owner, _ = cuts.owner(starts)
+        known = np.array(batch.column("doc_id").is_valid())[owner]
+        documents = np.array(batch.column("doc_hash"))[owner][known]
+        long_starts, long_ends, buckets = cuts.long(signer, shingle)
+        packs = _packed(0, cuts.keys(starts[known], ends[known]), documents)
+        packs += _packed(1, buckets.ravel(), np.repeat(cuts.keys(long_starts, long_ends), bands))
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in packs], t) for i, t in enumerate((pa.int64(), pa.binary(), pa.binary()))], _PACK)
+
+    return counted
+
+
+def _shared(batches):
+    """Of packs in the order of their ranges, the keys with two different values: of short paragraphs the key, of bands the smallest value too."""
+    now, held = None, []
+
+    def found():
+        keys, values = (np.concatenate([np.frombuffer(x[i], np.int64) for x in held]) for i in (0, 1))
+        order = np.lexsort((values, keys))
+        keys, values = keys[order], values[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        several = values[first] != values[np.append(first[1:], len(keys)) - 1]
+        heads = pa.array(values[first][several], mask=np.full(int(several.sum()), now >> RANGE_BITS == 0))
+        return pa.RecordBatch.from_arrays([pa.array(keys[first][several]), heads], ["node", "head"])
+
+    for batch in batches:
+        for number, *pack in zip(*(batch.column(c).to_pylist() for c in _PACK)):
+            if number != now and held:
+                yield found()
+                held.clear()
+            now = number
+            held.append(pack)
+    if held:
+        yield found()
 
 
 def _broadcast_bits(maps: DataFrame):
@@ -130,56 +223,46 @@ def _are_set(bits: np.ndarray, hashed: np.ndarray) -> np.ndarray:
     return (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
-_PIECE = ["doc_id", "text_hash", "paragraph", "first_word", "n_words", "node", "starts", "hashes", "bands"]
+_PIECE = ["doc_id", "text_hash", "paragraph", "first_word", "n_words", "node", "n_text", "late", "starts", "hashes", "bands"]
 
 
-def _pieces(bits, shingle: int, bands: int, rows: int):
-    """Short paragraphs that may repeat. Long ones of which some short ones may and some do not: with their short ones' places, words and bands."""
+def _lists(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)), pa.array(values, pa.int64()))
+
+
+def _pieces(bits, band_bits, shingle: int, bands: int, rows: int):
+    """Short paragraphs that may repeat, and long ones that may share a band: with their short ones' places, words and those bands."""
     signer = _Bands(bands, rows)
 
     def pieces(batch: pa.RecordBatch) -> pa.RecordBatch:
-        owner, columns, starts, hashes, waiting, keys = [], [[] for _ in range(4)], [], [], [], []
-
-        def add(i: int, *values) -> None:
-            owner.append(i)
-            for column, value in zip(columns, values):
-                column.append(value)
-
-        def sign() -> None:
-            if waiting:
-                keys.extend(signer.keys(waiting).tolist())
-                waiting.clear()
-
-        for i, text in enumerate(text_bytes(batch)):
-            cut = _Cut(text)
-            short = cut.ranges(REACH)
-            nodes = cut.keys(short)
-            may = _are_set(bits.value, nodes)
-            if not may.any():
-                continue
-            for at in np.flatnonzero(may).tolist():
-                add(i, at, short[at][0], short[at][1] - short[at][0], int(nodes[at]))
-                starts.append(None)
-                hashes.append(None)
-            number = {first: at for at, (first, _) in enumerate(short)} | {len(cut.hashes): len(short)}
-            known = np.concatenate(([0], np.cumsum(may)))
-            for first, end in cut.ranges(LONG_REACH):
-                low, past = number[first], number[end]
-                if 0 < known[past] - known[low] < past - low:
-                    own = cut.hashes[first:end]
-                    waiting.append(_set_of(own, shingle))
-                    add(i, low, first, end - first, words.set_key(waiting[-1]))
-                    starts.append([a for a, _ in short[low:past]])
-                    hashes.append(own.tobytes())
-            if len(waiting) > 1024:
-                sign()
-        sign()
-        signed = iter(keys)
-        lists = [None if own is None else next(signed) for own in hashes]
-        at = pa.array(owner, pa.int64())
-        numbers = [pa.array(column, pa.int64()) for column in columns]
-        wide = [pa.array(starts, pa.list_(pa.int64())), pa.array(hashes, pa.binary()), pa.array(lists, pa.list_(pa.int64()))]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("text_hash").take(at), *numbers, *wide], _PIECE)
+        cuts = _Cuts(text_bytes(batch))
+        short, short_ends = cuts.ranges(REACH)
+        nodes = cuts.keys(short, short_ends)
+        late = cuts.late(short, short_ends)
+        late_nodes = cuts.keys(short[late], short_ends[late + 1])
+        may, late_may = _are_set(bits.value, nodes), _are_set(bits.value, late_nodes)
+        late, late_nodes = late[late_may], late_nodes[late_may]
+        starts, ends, buckets = cuts.long(signer, shingle)
+        shared = _are_set(band_bits.value, buckets)
+        held = shared.any(axis=1)
+        starts, ends, buckets, shared = starts[held], ends[held], buckets[held], shared[held]
+        low, past = np.searchsorted(short, starts), np.searchsorted(short, ends)
+        inside = np.repeat(low - np.concatenate(([0], np.cumsum(past - low)[:-1])), past - low) + np.arange((past - low).sum()) if len(low) else low
+        firsts = np.concatenate((short[may], short[late], starts))
+        owner, text = cuts.owner(firsts)
+        numbers = np.searchsorted(short, firsts) - np.searchsorted(short, text)
+        columns = [numbers, firsts - text, np.concatenate((short_ends[may], short_ends[late + 1], ends)) - firsts]
+        columns.append(np.concatenate((nodes[may], late_nodes, cuts.keys(starts, ends))))
+        none = int(may.sum()) + len(late)
+        empty = np.zeros(none, np.int64)
+        places = _lists(short[inside] - np.repeat(text[none:], past - low), np.concatenate((empty, past - low)))
+        hashes = pa.array([None] * none + [cuts.raw[8 * a : 8 * b] for a, b in zip(starts.tolist(), ends.tolist())], pa.binary())
+        lists = _lists(buckets[shared], np.concatenate((empty, shared.sum(axis=1))))
+        columns.append(np.append(cuts.firsts[1:], len(cuts.hashes))[np.searchsorted(cuts.firsts, text)] - text)
+        at, is_late = pa.array(owner), np.zeros(len(owner), bool)
+        is_late[none - len(late) : none] = True
+        own = [*[pa.array(c, pa.int64()) for c in columns], pa.array(is_late), places, hashes, lists]
+        return pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("text_hash").take(at), *own], _PIECE)
 
     return pieces
 
@@ -200,12 +283,9 @@ def _edges(reach: int):
             for s in spots:
                 first, end = s["first_word"], s["first_word"] + s["n_words"]
                 keys.append(s["spot"])
-                sides[0].append(hashes[max(0, first - reach) : first][::-1])
-                sides[1].append(hashes[end : end + reach])
-        lists = []
-        for side in sides:
-            ends = np.concatenate(([0], np.cumsum([len(x) for x in side]))).astype(np.int32)
-            lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(words.signed(np.concatenate(side)) if side else np.empty(0, np.int64))))
+                sides[0].append(hashes[max(0, first - reach) : first][::-1] if s["left"] else hashes[:0])
+                sides[1].append(hashes[end : end + reach] if s["right"] else hashes[:0])
+        lists = [_lists(words.signed(np.concatenate(side)) if side else np.empty(0, np.int64), np.array([len(x) for x in side])) for side in sides]
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *lists], ["spot", "left", "right"])
 
     return edges
@@ -217,14 +297,16 @@ def _agreeing(side: str) -> Column:
     return F.expr(f"if({differs} = 0, size(own_{side}), {differs} - 1)").cast("long").alias(side)
 
 
-def _shared_edges(work: Workspace, plain: DataFrame, pairs: DataFrame) -> DataFrame:
-    """`pairs(spot, doc_id, text_hash, first_word, n_words, first)` -> `(spot, left, right)`: words before and after a paragraph
-    that the first of its component has there too; for the first, the most that another one shares with it. A match of
-    all words that were looked at is looked at again in more of them."""
-    place, known, reach, turn = ["doc_id", "text_hash", "first_word", "n_words", "spot"], [], EDGE, 0
+def _shared_edges(work: Workspace, plain: DataFrame, pairs: DataFrame, copied: DataFrame) -> DataFrame:
+    """`pairs(spot, doc_id, text_hash, first_word, n_words, first, left, right)` -> `(spot, left, right)`: words before and after a paragraph
+    that the first of its component has there too, on the sides that are asked for; for the first, the most that another one shares with
+    it. `copied(spot, first_spot, left, right)` are known, since their texts are the same. A match of all words that were looked at is looked at again in more of them."""
+    place, known, reach, turn = ["doc_id", "text_hash", "first_word", "n_words", "spot"], [copied], EDGE, 0
+    asked = [F.max(c).alias(c) for c in ("left", "right")]
     while True:
-        spots = pairs.select(*place).unionByName(pairs.select(*[f"first.{c}" for c in place])).distinct()
-        spots = spots.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first_word", "n_words", "spot")).alias("spots"))
+        spots = pairs.select(*place, "left", "right").unionByName(pairs.select(*[f"first.{c}" for c in place], "left", "right"))
+        spots = spots.groupBy(*place).agg(*asked)
+        spots = spots.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("first_word", "n_words", "spot", "left", "right")).alias("spots"))
         readers = among(plain, work.table(spots, f"spots-{turn}"), "inner").select("text", "spots")
         edges = work.table(map_batches(readers, _edges(reach), "spot long, left array<long>, right array<long>"), f"edges-{turn}")
         edges = edges.groupBy("spot").agg(F.first("left").alias("left"), F.first("right").alias("right"))
@@ -232,33 +314,43 @@ def _shared_edges(work: Workspace, plain: DataFrame, pairs: DataFrame) -> DataFr
         first = edges.select(F.col("spot").alias("first_spot"), F.col("left").alias("first_left"), F.col("right").alias("first_right"))
         joined = pairs.select("spot", F.col("first.spot").alias("first_spot")).join(own, "spot").join(first, "first_spot")
         lengths = work.table(joined.select("spot", "first_spot", _agreeing("left"), _agreeing("right")), f"shared-{turn}")
-        known.append(lengths.filter(f"left < {reach} and right < {reach}"))
-        longer = lengths.filter(f"left >= {reach} or right >= {reach}").select("spot")
+        known.append(lengths)
+        longer = lengths.filter(f"left >= {reach} or right >= {reach}")
         if longer.isEmpty():
             break
-        pairs, reach, turn = work.table(pairs.join(longer, "spot", "left_semi"), f"longer-{turn}"), reach * EDGE_GROWTH, turn + 1
+        longer = longer.select("spot", *[(F.col(c) >= reach).alias(c) for c in ("left", "right")])
+        pairs, reach, turn = work.table(pairs.drop("left", "right").join(longer, "spot"), f"longer-{turn}"), reach * EDGE_GROWTH, turn + 1
     every = reduce(DataFrame.unionByName, known)
-    sides = [F.max(c).alias(c) for c in ("left", "right")]
-    of_first = every.groupBy(F.col("first_spot").alias("spot")).agg(*sides)
-    return work.table(every.select("spot", "left", "right").unionByName(of_first).groupBy("spot").agg(*sides), "shared")
+    of_first = every.select(F.col("first_spot").alias("spot"), "left", "right")
+    return work.table(every.select("spot", "left", "right").unionByName(of_first).groupBy("spot").agg(*asked), "shared")
 
 
 def _extended(work: Workspace, plain: DataFrame, found: DataFrame) -> DataFrame:
     """`found`, one row for each paragraph of a text, with removed, and first_word and n_words carried on to where the
-    words end that repeat. Words that lie in another paragraph of `found` stay with it; a paragraph that is only similar
-    to its first one does not hold up the extension of the next."""
+    words end that repeat. Words that lie in another paragraph of `found` stay with it.
+
+    Where the paragraph before has its first one just before this one's first, what the two share before it is what this
+    one shares, so only the ends of such sequences are compared."""
     by_doc = Window.partitionBy("doc_id", "text_hash").orderBy("paragraph")
     end = F.col("first_word") + F.col("n_words")
-    place = ["doc_id", "paragraph", "text_hash", "first_word", "n_words", "spot", "node"]
+    place = ["doc_id", "paragraph", "text_hash", "first_word", "n_words", "spot"]
     found = found.withColumn("spot", F.xxhash64("doc_id", "text_hash", "first_word", "n_words"))
-    first = found.groupBy("component").agg(F.min(F.struct(*place)).alias("first"))
+    first = found.groupBy("node").agg(F.min(F.struct(*place)).alias("first"), F.min("doc_id").alias("component_id"), F.max("doc_id").alias("last"))
+    first = first.filter("component_id <> last").drop("last")
     removed = F.struct("doc_id", "paragraph") != F.struct("first.doc_id", "first.paragraph")
-    found = found.join(first, "component").withColumn("removed", removed).withColumn("equal", F.expr("node = first.node"))
-    before = F.coalesce((F.lag(end).over(by_doc) == F.col("first_word")) & F.lag("equal").over(by_doc), F.col("first_word") == 0)
-    after = F.coalesce((F.lead("first_word").over(by_doc) == end) & F.lead("equal").over(by_doc), F.lit(False))
-    found = work.table(found.withColumn("open", ~(before & after)), "marked")
-    of_first = found.filter("spot = first.spot").groupBy("component").agg(F.max("open").alias("first_open"))
-    shared = _shared_edges(work, plain, found.filter("spot <> first.spot").join(of_first, "component").filter("open or first_open"))
+    found = found.join(first, "node").withColumn("removed", removed)
+    # A paragraph that repeats as it is goes before the one that it makes with the rest of its text.
+    found = found.withColumn("plain", ~F.min("late").over(by_doc.rangeBetween(0, 0))).filter("not (late and plain)").drop("late", "plain")
+    beside = F.struct("first.doc_id", "first.text_hash", (F.col("first.first_word") - F.col("first_word")).alias("shift"))
+    before = F.coalesce((F.lag(end).over(by_doc) == F.col("first_word")) & F.lag(beside).over(by_doc).eqNullSafe(beside), F.lit(False))
+    after = F.coalesce((F.lead("first_word").over(by_doc) == end) & F.lead(beside).over(by_doc).eqNullSafe(beside), F.lit(False))
+    found = found.withColumns({"asked_left": ~before & (F.col("first_word") > 0), "asked_right": ~after})
+    found = work.table(found, "marked")
+    pairs = found.filter("spot <> first.spot and (asked_left or asked_right)")
+    whole = F.coalesce((F.col("text_hash") == F.col("first.text_hash")) & (F.col("first_word") == F.col("first.first_word")), F.lit(False))
+    copied = pairs.filter(whole).select("spot", F.col("first.spot").alias("first_spot"), F.col("first_word").alias("left"), (F.col("n_text") - end).alias("right"))
+    pairs = pairs.filter(~whole).select("spot", "doc_id", "text_hash", "first_word", "n_words", "first", F.col("asked_left").alias("left"), F.col("asked_right").alias("right"))
+    shared = _shared_edges(work, plain, pairs, copied)
     found = found.join(shared, "spot", "left")
     low, high = F.col("first_word") - F.coalesce("left", F.lit(0)), end + F.coalesce("right", F.lit(0))
     low = F.min(low).over(by_doc.rowsBetween(Window.currentRow, Window.unboundedFollowing))
@@ -293,13 +385,12 @@ def _kept_words(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*same, *[pa.array(x, pa.int64()) for x in out[1:]]], [*names, "paragraph", "first_word", "n_words"])
 
 
-def _near_copies(work: Workspace, long: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _near_copies(work: Workspace, long: DataFrame, heads: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Short paragraphs, changed or not, of long ones that are near copies of one in another document, but for each component's first:
     doc_id, text_hash, paragraph, first_word, n_words, component (near), component_id, copies."""
-    edges = similar.star_edges(work, long.select("node", "bands"))
+    edges = similar.star_edges(work, long.select("node", "bands"), heads)
     nodes = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
     held = work.table(_with_partner(long.drop("bands"), nodes, "node"), "long-places")
-    # Equal sets may have different words; their sets are the same.
     one = held.groupBy("node").agg(F.min("hashes").alias("hashes"))
     sets = work.table(map_batches(one, _sets(shingle), "node long, shingles binary"), "long-sets")
     linked = connected_components(work, similar.links_of_stars(work, edges, sets, percent), "long-links")
@@ -333,19 +424,22 @@ def repeated_passages(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     work = Workspace(docs.sparkSession, "substring-dedup")
     plain = with_text_hash(docs.select("doc_id", "text"))
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    nodes = map_batches(plain.select("doc_id", "text"), _nodes, f"doc_id {id_type}, node long")
-    repeated = nodes.groupBy("node").agg(F.min("doc_id").alias("component_id"), F.max("doc_id").alias("last")).filter("component_id <> last")
-    repeated = work.table(repeated.select("node", F.col("node").alias("component"), "component_id"), "repeated")
-    bits = _broadcast_bits(probe.bitmap(repeated, F.col("node")))
-    place = ["doc_id", "text_hash", "paragraph", "first_word", "n_words", "node"]
-    schema = f"doc_id {id_type}, text_hash long, paragraph long, first_word long, n_words long, node long, starts array<long>, hashes binary, bands array<long>"
-    pieces = work.table(map_batches(plain, _pieces(bits, shingle, *tuned_bands(percent)), schema), "pieces")
-    found = pieces.filter("hashes is null").select(*place).join(repeated, "node")
-    place += ["component", "component_id"]
-    found = work.table(found.groupBy(*place).agg(F.count("*").alias("copies")), "found")
-    found = work.table(_extended(work, plain, found).select(*place, "copies", "removed"), "extended")
-    near = work.table(_near_copies(work, pieces.filter("hashes is not null"), shingle, percent), "near")
-    found = _between(found, _changed(near, found))
+    shape = (shingle, *tuned_bands(percent))
+    texts = plain.select("doc_id", F.xxhash64("doc_id").alias("doc_hash"), "text")
+    packs = map_batches(texts, _counted(*shape), "range long, keys binary, others binary").repartition("range").sortWithinPartitions("range")
+    counted = work.table(packs.mapInArrow(_shared, "node long, head long"), "repeated")
+    heads = counted.filter("head is not null").select(F.col("node").alias("bucket"), "head")
+    bits, band_bits = _broadcast_bits(probe.bitmap(counted.filter("head is null"), F.col("node"))), _broadcast_bits(probe.bitmap(heads, F.col("bucket")))
+    place = ["doc_id", "text_hash", "paragraph", "first_word"]
+    schema = f"doc_id {id_type}, text_hash long, paragraph long, first_word long, n_words long, node long, n_text long, late boolean, starts array<long>, hashes binary, bands array<long>"
+    pieces = work.table(map_batches(plain, _pieces(bits, band_bits, *shape), schema), "pieces")
+    # What the bitmap let through and does not repeat goes when the first ones of all nodes are known.
+    found = pieces.filter("hashes is null").groupBy(*place, "n_words", "node", "n_text", "late").agg(F.count("*").alias("copies"))
+    found = work.table(found, "found")
+    columns = [*place, "n_words", "node", F.col("node").alias("component"), "component_id", "copies", "removed"]
+    found = work.table(_extended(work, plain, found).select(*columns), "extended")
+    near = work.table(_near_copies(work, pieces.filter("hashes is not null"), heads, shingle, percent), "near")
+    found = _between(found, _changed(near))
     by_doc = Window.partitionBy("doc_id", "text_hash").orderBy("paragraph")
     apart = F.col("first_word") > F.lag(F.col("first_word") + F.col("n_words")).over(by_doc)
     jump = F.coalesce((F.col("paragraph") - F.lag("paragraph").over(by_doc) > RUN_GAP) & apart, F.lit(True))
@@ -355,25 +449,26 @@ def repeated_passages(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     return found.select("doc_id", "text_hash", "paragraph", "first_word", "n_words", "component_id", "run_words", "removed")
 
 
-def _changed(near: DataFrame, found: DataFrame) -> DataFrame:
-    """The paragraphs of near copies that do not repeat exactly, with the columns of `found`."""
-    a, b = near.alias("a"), found.select("doc_id", "text_hash", "paragraph").distinct().alias("b")
-    same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.text_hash") == F.col("b.text_hash")) & (F.col("a.paragraph") == F.col("b.paragraph"))
-    rest = a.join(b, same, "left_anti").groupBy("doc_id", "text_hash", "paragraph", "first_word", "n_words")
+def _changed(near: DataFrame) -> DataFrame:
+    """Each paragraph of near copies once, with the columns of `found`."""
+    rest = near.groupBy("doc_id", "text_hash", "paragraph", "first_word", "n_words")
     rest = rest.agg(F.min("component").alias("component"), F.min("component_id").alias("component_id"), F.max("copies").alias("copies"))
     return rest.withColumn("node", F.lit(None).cast("long")).withColumn("removed", F.lit(True))
 
 
 def _between(found: DataFrame, changed: DataFrame) -> DataFrame:
-    """Both, `changed` paragraphs without the words that extended ones beside them have taken in."""
+    """`found`, and the `changed` paragraphs that are not among them, without the words that extended ones beside them have taken in."""
     rows = found.withColumn("exact", F.lit(True)).unionByName(changed.withColumn("exact", F.lit(False)))
     by_doc = Window.partitionBy("doc_id", "text_hash").orderBy("paragraph")
     end = F.col("first_word") + F.col("n_words")
-    taken = F.max(F.when(F.col("exact"), end)).over(by_doc.rowsBetween(Window.unboundedPreceding, -1))
-    following = F.min(F.when(F.col("exact"), F.col("first_word"))).over(by_doc.rowsBetween(1, Window.unboundedFollowing))
-    low, high = F.greatest("first_word", taken), F.least(end, following)
+    taken = F.max(F.when(F.col("exact"), end)).over(by_doc.rangeBetween(Window.unboundedPreceding, -1))
+    following = F.min(F.when(F.col("exact"), F.col("first_word"))).over(by_doc.rangeBetween(1, Window.unboundedFollowing))
+    same = F.max("exact").over(by_doc.rangeBetween(0, 0))
+    rows = rows.withColumns({"taken": taken, "following": following, "same": same}).filter("exact or not same")
+    low, high = F.greatest("first_word", "taken"), F.least(end, "following")
     rows = rows.withColumn("low", F.when(F.col("exact"), F.col("first_word")).otherwise(low)).withColumn("high", F.when(F.col("exact"), end).otherwise(high))
-    return rows.filter("high > low").withColumn("first_word", F.col("low")).withColumn("n_words", F.col("high") - F.col("low")).drop("low", "high", "exact")
+    rows = rows.filter("high > low").withColumn("first_word", F.col("low")).withColumn("n_words", F.col("high") - F.col("low"))
+    return rows.drop("low", "high", "exact", "taken", "following", "same")
 
 
 def without_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:

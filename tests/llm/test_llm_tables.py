@@ -295,6 +295,49 @@ def test_passages_with_changed_words(spark):
     assert sum(left) / len(left) < 0.25 * 200 and all(set(own[d]) <= set(cut[d]) for d in docs)
 
 
+def test_changed_copies_beside_exact_ones_and_without_an_equal_paragraph(spark):
+    """Long paragraphs at the threshold are linked if all short ones of one repeat elsewhere, and if they have no short one in common."""
+    rng = random.Random(55)
+    docs, own = {}, {}
+    for i in range(40):
+        passage = [f"s{rng.randrange(10**6)}" for _ in range(200)]
+        for d in (3 * i, 3 * i + 1, 3 * i + 2):
+            held = list(passage)
+            for at in rng.sample(range(5, 195), 4 if d % 3 == 2 else 0):
+                held[at] = f"x{d}x{at}"
+            own[d] = [f"h{d}h{n}" for n in range(80)]
+            docs[d] = " ".join(own[d][:40] + held + own[d][40:])
+    # In the order of their hashes, words hold no cut.
+    line = [f"q{i}" for i in range(52)]
+    order = np.argsort(words.mix(words.word_hashes(" ".join(line).encode()) + np.uint64(77)))
+    line = [line[i] for i in order]
+    docs |= {500: " ".join(line), 501: " ".join([*line[:26], "other", *line[27:]])}
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = substring_dedup.repeated_passages(frame)
+    cut = {r.doc_id: r.text.split() for r in substring_dedup.without_passages(frame, found).collect()}
+    assert cut[500] == line and len(cut[501]) <= 2
+    left = [len(set(cut[d]) - set(own[d])) for d in own if d % 3 == 2]
+    assert sum(left) / len(left) < 0.25 * 200 and all(set(own[d]) <= set(cut[d]) for d in own)
+
+
+def test_a_paragraph_at_the_end_of_a_text_is_equal_to_one_that_goes_on(spark):
+    """A cut with fewer than five words after it may be none where the text goes on."""
+    rng = random.Random(56)
+    docs, wanted = {}, {}
+    for d in range(0, 400, 2):
+        passage = [f"s{rng.randrange(10**7)}" for _ in range(26)]
+        docs[d] = " ".join([f"a{d}a{i}" for i in range(60)] + passage)
+        docs[d + 1] = " ".join([f"b{d}b{i}" for i in range(60)] + passage + [f"c{d}c{i}" for i in range(60)])
+        starts = [substring_dedup.paragraph_starts(words.word_hashes(docs[x].encode())).tolist() for x in (d, d + 1)]
+        late = [x for x in starts[0] if x > 86 - 6]
+        inside = [[x for x in own if 60 <= x <= 86] for own in starts]
+        if late and inside[1] == [*inside[0][:-1], 86] and len(inside[1]) == 2:
+            wanted[d] = inside[1][0]
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    found = {r.doc_id for r in substring_dedup.repeated_passages(frame).collect()}
+    assert wanted and {x for d, first in wanted.items() if 86 - first >= 20 for x in (d, d + 1)} <= found
+
+
 def test_links_of_stars_equal_all_pairs(spark):
     """Sets of all similarities: components of the links found are those of all pairs at the threshold, and recall of single pairs is measured."""
     rng = np.random.default_rng(5)
