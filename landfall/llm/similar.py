@@ -73,18 +73,22 @@ def links_of_stars(workspace: Workspace, edges: DataFrame, sets: DataFrame, perc
     components as all links between nodes that share a band.
 
     Where `links` compares inside the component of many stars, this compares inside each star: a node with the head it shares a band with,
-    and, if it is not linked to it, with all nodes of that head. So stars that are chained by chance cost no more than each alone.
+    and, if it is not linked to it, with the nodes of that head that can reach the threshold. So stars that are chained by chance cost no more
+    than each alone. Of two sets at the threshold, each has one of its first shingles, as many as may be missing in the other and one
+    more, in common with the other's, in whatever order all are taken; those that the head lacks come first, so nodes that share only what
+    the head has are not compared.
     """
     heads = edges.select(F.col("a").alias("component")).distinct()
     groups = edges.select(F.col("a").alias("component"), F.col("b").alias("node"))
     members = workspace.table(groups.join(sets, "node").select("component", "node", "shingles"), "star-members")
     centres = heads.join(sets, heads["component"] == sets["node"]).select("component", F.col("shingles").alias("centre"))
     starred = members.join(centres, "component")
-    starred = workspace.table(starred.mapInArrow(_against_centre(percent), "component long, node long, linked boolean"), "star-linked")
+    starred = workspace.table(starred.mapInArrow(_with_prefix(percent), "component long, node long, linked boolean, prefix array<long>"), "star-linked")
     first = starred.filter("linked").select(F.col("component").alias("a"), F.col("node").alias("b"))
-    sizes = starred.groupBy("component").agg(F.count("*").alias("nodes"), F.count_if(~F.col("linked")).alias("rest")).filter("rest > 0 and nodes > 1")
-    sizes = sizes.select("component", F.ceil(F.col("rest") / BLOCK).alias("blocks"), F.ceil(F.col("nodes") / SLICE).alias("slices"))
-    waiting = starred.join(sizes, "component")
+    tokens = starred.select("component", "node", "linked", F.explode("prefix").alias("token"))
+    sizes = tokens.groupBy("component", "token").agg(F.count("*").alias("nodes"), F.count_if(~F.col("linked")).alias("rest")).filter("rest > 0 and nodes > 1")
+    sizes = sizes.select("component", "token", F.ceil(F.col("rest") / BLOCK).alias("blocks"), F.ceil(F.col("nodes") / SLICE).alias("slices"))
+    waiting = workspace.table(tokens.join(sizes, ["component", "token"]), "star-waiting")
     open_rows = workspace.table(members.join(waiting, ["component", "node"]), "star-open")
     return workspace.table(first.unionByName(_in_blocks(workspace, open_rows, percent, "star-rest")).distinct(), "star-links")
 
@@ -92,15 +96,17 @@ def links_of_stars(workspace: Workspace, edges: DataFrame, sets: DataFrame, perc
 def _in_blocks(workspace: Workspace, open_rows: DataFrame, percent: int, name: str) -> DataFrame:
     """Links of `open_rows(component, node, linked, shingles, blocks, slices)`: the nodes that are not linked to their centre, in blocks, with all."""
     own = F.xxhash64("node")
+    if "token" not in open_rows.columns:
+        open_rows = open_rows.withColumn("token", F.lit(0).cast("long"))
     indexed = open_rows.filter("not linked").select(
-        "component", F.pmod(own, "blocks").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"),
+        "component", "token", F.pmod(own, "blocks").alias("block"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("slice"),
         F.lit(False).alias("streamed"), "node", "linked", "shingles",
     )
     streamed = open_rows.select(
-        "component", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.pmod(own, "slices").alias("slice"),
+        "component", "token", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.pmod(own, "slices").alias("slice"),
         F.lit(True).alias("streamed"), "node", "linked", "shingles",
     )
-    key = ["component", "block", "slice"]
+    key = ["component", "token", "block", "slice"]
     blocks = indexed.unionByName(streamed).repartition(*key).sortWithinPartitions(*key, "streamed")
     return workspace.table(blocks.mapInArrow(_within_blocks(percent), LINK), name)
 
@@ -135,6 +141,25 @@ def _against_centre(percent: int):
     return run
 
 
+def _with_prefix(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            linked, prefixes, seen, inside = [], [], None, None
+            for own, other in zip(batch.column("shingles").to_pylist(), batch.column("centre").to_pylist()):
+                if other is not seen and other != seen:
+                    seen, inside = other, _array(other)
+                mine = _array(own)
+                shared = np.isin(mine, inside, assume_unique=True)
+                linked.append(enough(int(shared.sum()), len(mine), len(inside), percent))
+                needed = len(mine) + 1 - -(-percent * len(mine) // 100)
+                prefixes.append(np.concatenate((mine[~shared], mine[shared]))[:needed].view(np.int64))
+            ends = pa.array(np.concatenate(([0], np.cumsum([len(x) for x in prefixes]))).astype(np.int32))
+            lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(prefixes) if prefixes else np.empty(0, np.int64), pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("component"), batch.column("node"), pa.array(linked, pa.bool_()), lists], ["component", "node", "linked", "prefix"])
+
+    return run
+
+
 class _Block:
     """An index of some sets, against which others are compared."""
 
@@ -189,13 +214,13 @@ def _within_blocks(percent: int):
         for batch in batches:
             found: list[tuple[int, int]] = []
             waiting: list[tuple[int, int | None, np.ndarray]] = []
-            columns = (batch.column(c).to_pylist() for c in ("component", "block", "slice", "streamed", "node", "linked", "shingles"))
-            for component, number, part, streamed, node, linked, shingles in zip(*columns):
-                if (component, number, part) != now:
+            columns = (batch.column(c).to_pylist() for c in ("component", "token", "block", "slice", "streamed", "node", "linked", "shingles"))
+            for component, token, number, part, streamed, node, linked, shingles in zip(*columns):
+                if (component, token, number, part) != now:
                     if waiting:
                         found += block.compare(waiting)
                         waiting = []
-                    now, block = (component, number, part), _Block(percent)
+                    now, block = (component, token, number, part), _Block(percent)
                 if streamed:
                     waiting.append((node, component if linked else None, _array(shingles)))
                 else:
