@@ -5,7 +5,7 @@ star), and the stars' components bound where links can be. Links are then decide
 
 1. every node of a component against its smallest node: one comparison a node;
 2. where some node is not linked to it, the remaining nodes against all of the component, in blocks: a task indexes
-   a few hundred sets and streams the others past them. It hands on only links that join what it has not joined
+   a few hundred sets, fewer of long ones, and streams the others past them. It hands on only links that join what it has not joined
    yet, so what is written stays in proportion to the nodes, never to the pairs.
 
 So every pair that shares a bucket, directly or through others, is linked, or implied by links, or compared.
@@ -25,6 +25,9 @@ from landfall.llm.frames import Workspace, small_or_plain
 
 # Sets that a task indexes at once, and sets that it streams past them.
 BLOCK, SLICE = 256, 4096
+# Shingles, of 8 bytes, that a task indexes at once (about, sets being dealt by hash), that it streams past them at once, and equal pairs of
+# both that it lists at once. Whatever sets are long or alike, a task holds so much; a single longer set is taken whole.
+BLOCK_SHINGLES, PART_SHINGLES, PAIRS = 1 << 20, 1 << 18, 1 << 19
 LINK = "a long, b long"
 
 
@@ -56,13 +59,13 @@ def links(workspace: Workspace, groups: DataFrame, sets: DataFrame, percent: int
     members = workspace.table(sets.join(small_or_plain(groups), "node"), "members")
     centres = members.filter("node = component").select("component", F.col("shingles").alias("centre"))
     starred = members.filter("node <> component").join(centres, "component")
-    starred = workspace.table(starred.mapInArrow(_against_centre(percent), "component long, node long, linked boolean"), "starred")
+    starred = workspace.table(starred.mapInArrow(_against_centre(percent), "component long, node long, linked boolean, size long"), "starred")
     first = starred.filter("linked").select(F.col("component").alias("a"), F.col("node").alias("b"))
-    sizes = starred.groupBy("component").agg(F.count("*").alias("nodes"), F.count_if(~F.col("linked")).alias("rest"))
-    sizes = sizes.filter("rest > 0 and nodes > 1").select(
-        "component", F.ceil(F.col("rest") / BLOCK).alias("blocks"), F.ceil(F.col("nodes") / SLICE).alias("slices")
-    )
-    waiting = workspace.table(starred.join(sizes, "component"), "waiting")
+    rest_shingles = F.sum(F.when(~F.col("linked"), F.col("size")))
+    sizes = starred.groupBy("component").agg(F.count("*").alias("nodes"), F.count_if(~F.col("linked")).alias("rest"), rest_shingles.alias("shingles"))
+    blocks = F.ceil(F.greatest(F.col("rest") / BLOCK, F.col("shingles") / BLOCK_SHINGLES))
+    sizes = sizes.filter("rest > 0 and nodes > 1").select("component", blocks.alias("blocks"), F.ceil(F.col("nodes") / SLICE).alias("slices"))
+    waiting = workspace.table(starred.drop("size").join(sizes, "component"), "waiting")
     open_rows = workspace.table(members.select("node", "shingles").join(small_or_plain(waiting), "node"), "open")
     rest = _in_blocks(workspace, open_rows, percent, "rest")
     return workspace.table(first.unionByName(rest).distinct(), "links")
@@ -128,15 +131,16 @@ def _array(shingles: bytes) -> np.ndarray:
 def _against_centre(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked, seen, inside = [], None, None
+            linked, sizes, seen, inside = [], [], None, None
             for own, other in zip(batch.column("shingles").to_pylist(), batch.column("centre").to_pylist()):
                 if other is not seen and other != seen:
                     seen, inside = other, _array(other)
                 mine = _array(own)
+                sizes.append(len(mine))
                 common = len(np.intersect1d(mine, inside, assume_unique=True))
                 linked.append(enough(common, len(mine), len(inside), percent))
-            columns = [batch.column("component"), batch.column("node"), pa.array(linked, pa.bool_())]
-            yield pa.RecordBatch.from_arrays(columns, ["component", "node", "linked"])
+            columns = [batch.column("component"), batch.column("node"), pa.array(linked, pa.bool_()), pa.array(sizes, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["component", "node", "linked", "size"])
 
     return run
 
@@ -186,45 +190,58 @@ class _Block:
             values = np.concatenate(self.sets)
             order = np.argsort(values, kind="stable")
             self.values, self.owner, self.index = values[order], owner[order], True
-        found, many = [], len(self.nodes)
-        for at in range(0, len(rows), BLOCK):
-            part = rows[at : at + BLOCK]
-            sizes = np.array([len(own) for _, _, own in part])
-            every = np.concatenate([own for _, _, own in part])
-            low = np.searchsorted(self.values, every, "left")
-            met = np.flatnonzero(self.values[np.minimum(low, len(self.values) - 1)] == every)
-            low, lengths = low[met], np.searchsorted(self.values, every[met], "right") - low[met]
-            place = np.repeat(low - np.concatenate(([0], np.cumsum(lengths)[:-1])), lengths) + np.arange(lengths.sum()) if len(met) else met
-            streamed = np.repeat(np.repeat(np.arange(len(part)), sizes)[met], lengths)
-            common = np.bincount(streamed * many + self.owner[place], minlength=len(part) * many).reshape(len(part), many)
-            for node, centre, _ in part:
-                if centre is not None and self._root(node) != self._root(centre):
-                    self.parent[self._root(node)] = self._root(centre)
-            for row, i in zip(*(x.tolist() for x in np.nonzero(enough(common, self.sizes, sizes[:, None], self.percent)))):
-                node, other = part[row][0], self.nodes[i]
-                if other != node and self._root(other) != self._root(node):
-                    self.parent[self._root(other)] = self._root(node)
-                    found.append((node, other))
+            self.sets = []
+        found = []
+        common = self._common([own for _, _, own in rows])
+        sizes = np.array([len(own) for _, _, own in rows])
+        for node, centre, _ in rows:
+            if centre is not None and self._root(node) != self._root(centre):
+                self.parent[self._root(node)] = self._root(centre)
+        for row, i in zip(*(x.tolist() for x in np.nonzero(enough(common, self.sizes, sizes[:, None], self.percent)))):
+            node, other = rows[row][0], self.nodes[i]
+            if other != node and self._root(other) != self._root(node):
+                self.parent[self._root(other)] = self._root(node)
+                found.append((node, other))
         return found
 
+    def _common(self, sets: list[np.ndarray]) -> np.ndarray:
+        """How many shingles each streamed set has in common with each indexed one."""
+        many = len(self.nodes)
+        every = np.concatenate(sets)
+        low = np.searchsorted(self.values, every, "left")
+        met = np.flatnonzero(self.values[np.minimum(low, len(self.values) - 1)] == every)
+        low, lengths = low[met], np.searchsorted(self.values, every[met], "right") - low[met]
+        streamed = np.repeat(np.arange(len(sets)), [len(own) for own in sets])[met]
+        common, ends, at = np.zeros(len(sets) * many, np.int64), np.cumsum(lengths), 0
+        while at < len(met):
+            upto = max(at + 1, int(np.searchsorted(ends, ends[at] - lengths[at] + PAIRS, "right")))
+            held = lengths[at:upto]
+            place = np.repeat(low[at:upto] - (np.cumsum(held) - held), held) + np.arange(held.sum())
+            common += np.bincount(np.repeat(streamed[at:upto], held) * many + self.owner[place], minlength=len(common))
+            at = upto
+        return common.reshape(len(sets), many)
+
 
 def _within_blocks(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, block = None, None
         for batch in batches:
-            found: list[tuple[int, int]] = []
+            found, held = [], 0
             waiting: list[tuple[int, int | None, np.ndarray]] = []
             columns = (batch.column(c).to_pylist() for c in ("component", "token", "block", "slice", "streamed", "node", "linked", "shingles"))
             for component, token, number, part, streamed, node, linked, shingles in zip(*columns):
-                if (component, token, number, part) != now:
+                if (component, token, number, part) != now or len(waiting) >= BLOCK or held >= PART_SHINGLES:
                     if waiting:
                         found += block.compare(waiting)
-                        waiting = []
+                    waiting, held = [], 0
+                if (component, token, number, part) != now:
                     now, block = (component, token, number, part), _Block(percent)
+                own = _array(shingles)
                 if streamed:
-                    waiting.append((node, component if linked else None, _array(shingles)))
+                    waiting.append((node, component if linked else None, own))
+                    held += len(own)
                 else:
-                    block.add(node, _array(shingles))
+                    block.add(node, own)
             if waiting:
                 found += block.compare(waiting)
             a, b = ([x[i] for x in found] for i in (0, 1))

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from landfall.llm import minhash_dedup, similar, words
@@ -71,6 +74,41 @@ def test_small_blocks_change_nothing(spark, monkeypatch):
     assert {i: c for i, (_, c, _) in got.items()} == brute.near_components(texts, 3, 85)
 
 
+def test_a_block_of_long_alike_sets_takes_little_memory():
+    rng = np.random.default_rng(4)
+    common = rng.integers(0, 2**63, 1500, dtype=np.uint64)
+    sets = {i: np.sort(np.concatenate((common, rng.integers(0, 2**63, 500, dtype=np.uint64)))) for i in range(240)}
+    sets |= {i + 240: np.sort(np.concatenate((sets[i][:-20], rng.integers(0, 2**63, 20, dtype=np.uint64)))) for i in range(0, 240, 10)}
+    rows = [(i, streamed) for streamed in (False, True) for i in sets]
+    columns = {name: pa.array([0] * len(rows), pa.int64()) for name in ("component", "token", "block", "slice")}
+    columns |= {"streamed": [s for _, s in rows], "node": [i for i, _ in rows], "linked": [False] * len(rows), "shingles": [sets[i].tobytes() for i, _ in rows]}
+    batch = pa.RecordBatch.from_pydict(columns)
+    tracemalloc.start()
+    found = [tuple(map(int, pair)) for out in similar._within_blocks(80)(iter([batch])) for pair in zip(*(c.to_pylist() for c in out.columns))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sorted(tuple(sorted(pair)) for pair in found) == [(i, i + 240) for i in range(0, 240, 10)]
+    assert peak < 150e6
+
+
+def test_blocks_of_long_sets_are_smaller_and_change_nothing(spark, monkeypatch):
+    for name, most in (("BLOCK_SHINGLES", 500), ("PART_SHINGLES", 300), ("PAIRS", 7)):
+        monkeypatch.setattr(similar, name, most)
+    dealt, in_blocks = [], similar._in_blocks
+
+    def seen(workspace, open_rows, percent, name):
+        dealt.append(open_rows.agg(F.max("blocks")).first()[0])
+        return in_blocks(workspace, open_rows, percent, name)
+
+    monkeypatch.setattr(similar, "_in_blocks", seen)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(100)]
+    texts = {i: _edited(base, rng, rng.randrange(9)) for i in range(70)}
+    got = _answer(minhash_dedup.near_duplicates(_frame(spark, [(i, t, 1, "en") for i, t in texts.items()]), 3, 85))
+    assert {i: c for i, (_, c, _) in got.items()} == brute.near_components(texts, 3, 85)
+    assert dealt[0] > 5
+
+
 @pytest.mark.parametrize("size", [1, 12, 400])
 def test_signature_agreement_estimates_similarity(size):
     rng = np.random.default_rng(size)
