@@ -256,3 +256,30 @@ def test_named_files_with_odd_names(spark, tmp_path):
     found = archives_at(spark, [f"file:{tmp_path}/{name}" for name in names])
     assert sorted(r.zip_file_name for r in archive_rows(found).filter("entry_index is null").collect()) == sorted(names)
     assert archive_rows(archives_at(spark, [])).collect() == []
+
+
+def test_large_folder_is_listed_by_tasks(spark, folder, monkeypatch):
+    """What the driver would not hold is listed and opened by tasks, with the rows that Spark's own listing gives."""
+    (folder / "in" / "deeper").mkdir(parents=True)
+    (folder / ".hidden").mkdir()
+    long = archive([(f"{i}.json", str(i) * 9_000_000) for i in range(3)])
+    contents = {
+        "in/b c%20+.zip": archive([("1.json", "{}"), ("1.json", "x")]), "in/deeper/é.zip": archive([]), "in/long.zip": long, "long torn.zip": long[:-5000],
+        "torn.zip": b"PK\x03\x04torn", "empty.zip": b"", "_none.zip": b"", "_a=b.zip": b"", ".hidden/none.zip": b"", "in/drt_dq_210102_000000_0000.zip": long[:200],
+    }
+    for name, content in contents.items():
+        (folder / name).write_bytes(content)
+    (folder / "gone.zip").symlink_to(folder / "nothing")
+    monkeypatch.setattr(archives, "WHOLE", 10_000)
+
+    def found():
+        files = archive_files(spark, str(folder), after="_a")
+        scanned = archive_rows(files).withColumn("content", F.md5("content"))
+        return [sorted(map(repr, frame.collect())) for frame in (files.select("zip_file_name", "path", "length"), scanned)]
+
+    by_spark = found()
+    monkeypatch.setattr(archives, "MANY", 2)
+    assert not [leaf for leaf in _leaves(archive_files(spark, str(folder))._jdf.queryExecution().executedPlan()) if "binaryFile" in leaf.toString()]
+    assert found() == by_spark and len(by_spark[0]) == 9
+    rows = archive_rows(archives_at(spark, [f"file:{folder}/torn.zip", f"file:{folder}/gone.zip", f"file:{folder}/in/long.zip"]))
+    assert sorted((r.zip_file_name, r.zip_ok) for r in rows.filter("entry_index is null").collect()) == [("long.zip", True), ("torn.zip", False)]
