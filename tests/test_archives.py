@@ -283,3 +283,31 @@ def test_large_folder_is_listed_by_tasks(spark, folder, monkeypatch):
     assert found() == by_spark and len(by_spark[0]) == 9
     rows = archive_rows(archives_at(spark, [f"file:{folder}/torn.zip", f"file:{folder}/gone.zip", f"file:{folder}/in/long.zip"]))
     assert sorted((r.zip_file_name, r.zip_ok) for r in rows.filter("entry_index is null").collect()) == [("long.zip", True), ("torn.zip", False)]
+
+
+def test_small_files_of_a_batch_share_tasks(spark, tmp_path):
+    """As many tasks as their bytes need, instead of one for every few files."""
+    names = [f"{i:03d}.zip" for i in range(300)]
+    for name in names:
+        (tmp_path / name).write_bytes(archive([("1.json", name)]))
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "16m")
+    try:
+        rows = archive_rows(archives_at(spark, [f"file:{tmp_path}/{name}" for name in names]))
+        assert rows.rdd.getNumPartitions() < 20
+        assert sorted(r.content for r in rows.filter("entry_index is not null").collect()) == names
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_parsing_is_built_once(spark):
+    """Its expressions are a thousand calls to the JVM, which every batch of a stream made anew."""
+    from landfall.operators import classify
+    from landfall.sources import documents
+
+    assert documents._parsing() is documents._parsing() and classify._assessment() is classify._assessment()
+    rows = files(spark, {"a.zip": archive([("1.json", manifest()), ("2.json", "{}")])})
+    for _ in range(2):
+        found = classify.assess(documents.parse(archive_rows(rows))).filter("entry_index is not null")
+        assert sorted((r.json_file_name, r.verdict) for r in found.collect()) == [("1.json", classify.OK), ("2.json", classify.BAD_JSON)]
