@@ -50,43 +50,46 @@ class Fixture:
 
     def passenger_lists(self) -> DataFrame:
         """k, part, passengers. The explicit shuffle on both keys spreads the parts of one heavy order."""
-        line, nation = F.col("l_linenumber"), F.col("s_nationkey")
         suppliers = self.table("supplier").select("s_suppkey", "s_nationkey")
+        line = F.struct("l_linenumber", "s_nationkey", "l_quantity", "l_linestatus", "l_returnflag", "l_partkey")
+        return (
+            self.table("lineitem")
+            .withColumnRenamed("l_orderkey", "k")
+            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(self._heavy_orders(), "k", "left")
+            .select("k", (F.col("l_partkey") % F.coalesce("parts", F.lit(1))).alias("part"), line.alias("p"))
+            .repartition("k", "part")
+            .groupBy("k", "part")
+            .agg(F.collect_list("p").alias("lines"))
+            .select("k", "part", F.transform("lines", self._passenger).alias("passengers"))
+        )
+
+    def _passenger(self, p: Column) -> Column:
+        """Made after the shuffle, which moves the columns of a line only."""
+        line, nation = p["l_linenumber"], p["s_nationkey"]
         country = F.concat(F.lit("N"), _padded(nation, 2))
         age = (
             F.when(line == 5, "unknown")
             .when(line == 6, F.lit(None))
             .when((line == 4) & (F.col("k") % 41 == 0), "99999")
-            .otherwise(F.col("l_quantity").cast("int").cast("string"))
+            .otherwise(p["l_quantity"].cast("int").cast("string"))
         )
-        passenger = F.struct(
+        return F.struct(
             F.when(line % 3 == 0, "P").when(line % 3 == 1, "I").alias("DocumentType"),
             country.alias("DocumentIssuingCountryCode"),
             F.when(nation < 10, "Y").otherwise("").alias("NationalityCountryEEAFlag"),
             age.alias("Age"),
             F.lit("LHR").alias("DisembarkationPortCode"),
-            F.when(F.col("l_linestatus") == "O", "Y")
+            F.when(p["l_linestatus"] == "O", "Y")
             .when(line == 7, "XY")
             .otherwise("N")
             .alias("InTransitFlag"),
             F.lit("GBR").alias("DisembarkationPortCountryCode"),
             country.alias("NationalityCountryCode"),
-            F.when(F.col("l_returnflag") == "A", F.concat(F.lit("P"), F.col("l_partkey").cast("string")))
-            .when(F.col("l_returnflag") == "R", "")
+            F.when(p["l_returnflag"] == "A", F.concat(F.lit("P"), p["l_partkey"].cast("string")))
+            .when(p["l_returnflag"] == "R", "")
             .alias("PassengerIdentifier"),
         )
-        return (
-            self.table("lineitem")
-            .withColumnRenamed("l_orderkey", "k")
-            .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(self._heavy_orders(), "k", "left")
-            .select(
-                "k", (F.col("l_partkey") % F.coalesce("parts", F.lit(1))).alias("part"), passenger.alias("p")
-            )
-            .repartition("k", "part")
-            .groupBy("k", "part")
-            .agg(F.collect_list("p").alias("passengers"))
-        )
 
     def keyed_entries(self) -> DataFrame:
         """Every entry of every archive without its content; plus `repeat`, `second` and `prior`."""
