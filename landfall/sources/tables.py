@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from landfall import schema
 from landfall.functions import dates
-from landfall.session import exists, folders, prepare, remove
+from landfall.session import exists, folders, prepare, remove, shuffles_dropped
 
 PASSENGER_FACT, JSON_LEDGER, ZIP_LEDGER = "passenger_fact", "json_ledger", "zip_ledger"
 SCHEMAS = {
@@ -39,6 +39,7 @@ LOOKED_UP = {
     JSON_LEDGER: ["json_file_name", "zip_file_name"],
     ZIP_LEDGER: ["zip_file_name"],
 }
+COMPRESSION = "zstd"
 # Rows whose name holds no date go to one of so many periods of their own.
 UNDATED, UNDATED_PERIODS = "undated", 16
 # How long a check that a later one has replaced stays for those who are reading it.
@@ -187,15 +188,18 @@ class Store:
 
         Rebalancing gathers a period into few files, and splits one that is too large for a task.
         """
-        (
+        writer = (
             rows.hint("rebalance", *[F.col(name) for name in PARTITIONS])
             .sortWithinPartitions(*PARTITIONS, SORTED_BY[table])
             .write.mode("overwrite")
             .options(**{f"parquet.bloom.filter.enabled#{column}": "true" for column in LOOKED_UP[table]})
+            # Else a filter takes a megabyte for each column and row group, however few names there are.
+            .options(**{"parquet.bloom.filter.adaptive.enabled": "true", "compression": COMPRESSION})
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*PARTITIONS)
-            .parquet(self.path(table))
         )
+        with shuffles_dropped(self.spark):
+            writer.parquet(self.path(table))
 
     def _drop_partitions(self, table: str, partitions: Iterable[tuple[str, int]]) -> None:
         """Remove whole partitions. A dynamic overwrite cannot: it leaves alone what gets no row."""
@@ -214,5 +218,6 @@ class Store:
 def written(rows: DataFrame, path: str) -> DataFrame:
     """Write once and read back: cuts the lineage, and gives the planner the true size, from which it
     decides by itself whether the rows may be broadcast."""
-    rows.write.mode("overwrite").parquet(path)
+    with shuffles_dropped(rows.sparkSession):
+        rows.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
